@@ -1,0 +1 @@
+"""Column expressions shared by operators; all are Spark built-ins."""
