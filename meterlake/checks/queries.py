@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import wraps
+from functools import cached_property, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,12 +48,12 @@ REVENUE_DIGITS = 8
 SCORE_DIGITS = 10
 
 
-def query(build: Query) -> Query:
+def query(build: Callable[[Inputs], DataFrame]) -> Query:
     """Register a query under the name of its function."""
 
     @wraps(build)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(pin_utc(spark), sf_dir)
+        return build(Inputs(pin_utc(spark), sf_dir))
 
     QUERIES[build.__name__] = run
     return run
@@ -73,48 +73,102 @@ def plain(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 # -- shared steps ---------------------------------------------------------------
 
 
-def _conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(fixtures.usage(spark, sf_dir))
+class Inputs:
+    """The test tables of one run, and the steps several queries start from. Each is
+    planned at most once per run.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark = spark
+        self.sf_dir = sf_dir
+
+    def table(self, name: str) -> DataFrame:
+        return fixtures.table(self.spark, self.sf_dir, name)
+
+    def scratch(self, label: str) -> str:
+        return scratch_path(self.spark, label)
 
+    @cached_property
+    def usage(self) -> DataFrame:
+        return fixtures.usage(self.spark, self.sf_dir)
 
-def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.tag_quality(_conformed(spark, sf_dir))
+    @cached_property
+    def org(self) -> DataFrame:
+        return fixtures.org(self.spark, self.sf_dir)
 
+    @cached_property
+    def tickets(self) -> DataFrame:
+        return fixtures.tickets(self.spark, self.sf_dir)
 
-def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.accepted(_tagged(spark, sf_dir))
+    @cached_property
+    def billing(self) -> DataFrame:
+        return fixtures.billing(self.spark, self.sf_dir)
 
+    @cached_property
+    def conformed(self) -> DataFrame:
+        return conform(self.usage)
 
-def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(_clean(spark, sf_dir), fixtures.org(spark, sf_dir))
+    @cached_property
+    def tagged(self) -> DataFrame:
+        return quality.tag_quality(self.conformed)
 
+    @cached_property
+    def clean(self) -> DataFrame:
+        return quality.accepted(self.tagged)
 
-def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = service_profile(_clean(spark, sf_dir))
-    return score_against(_enriched(spark, sf_dir), profile)
+    @cached_property
+    def rejected(self) -> DataFrame:
+        return quality.rejected(self.tagged)
 
+    @cached_property
+    def enriched(self) -> DataFrame:
+        return enrich(self.clean, self.org)
 
-def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.daily_usage(_silver(spark, sf_dir))
+    @cached_property
+    def profile(self) -> DataFrame:
+        return service_profile(self.clean)
 
+    @cached_property
+    def silver(self) -> DataFrame:
+        return score_against(self.enriched, self.profile)
 
-def _daily_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily mart for questions about cost alone, which need no scoring."""
-    unscored = _enriched(spark, sf_dir).withColumn("cost_anomaly_flag", F.lit(False))
-    return marts.daily_usage(unscored)
+    @cached_property
+    def unscored(self) -> DataFrame:
+        """For marts asked about cost alone."""
+        return self.enriched.withColumn("cost_anomaly_flag", F.lit(False))
 
+    @cached_property
+    def daily_cost(self) -> DataFrame:
+        return marts.daily_usage(self.unscored)
 
-def _busiest_by_events(spark: SparkSession, sf_dir: str) -> Column:
-    events = _clean(spark, sf_dir).withColumn("one", F.lit(1))
-    return busiest(events, "org_id", "one").select("org_id").scalar()
+    @cached_property
+    def cost_14d(self) -> DataFrame:
+        return marts.trailing_cost(self.daily_cost, self.newest_usage)
 
+    @cached_property
+    def genai(self) -> DataFrame:
+        return marts.genai_by_day(self.clean, fixtures.GENAI_SERVICE)
 
-def _newest_usage(spark: SparkSession, sf_dir: str) -> Column:
-    return marts.newest_day(_clean(spark, sf_dir))
+    @cached_property
+    def ticket_days(self) -> DataFrame:
+        return marts.tickets_by_day(self.tickets)
 
+    @cached_property
+    def anomalies(self) -> DataFrame:
+        return marts.anomaly_by_day(self.silver)
 
-def _newest_ticket(spark: SparkSession, sf_dir: str) -> Column:
-    return marts.newest_day(fixtures.tickets(spark, sf_dir), "created_at")
+    @property
+    def newest_usage(self) -> Column:
+        return marts.newest_day(self.clean)
+
+    @property
+    def newest_ticket(self) -> Column:
+        return marts.newest_day(self.tickets, "created_at")
+
+    @property
+    def busiest_by_events(self) -> Column:
+        events = self.clean.withColumn("one", F.lit(1))
+        return busiest(events, "org_id", "one").select("org_id").scalar()
 
 
 EVENT_COLUMNS = (
@@ -127,46 +181,46 @@ EVENT_COLUMNS = (
 
 
 @query
-def conform_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(_conformed(spark, sf_dir).select(*EVENT_COLUMNS, "schema_version"))
+def conform_usage(t: Inputs) -> DataFrame:
+    return plain(t.conformed.select(*EVENT_COLUMNS, "schema_version"))
 
 
 @query
-def dq_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(_clean(spark, sf_dir).select(*EVENT_COLUMNS))
+def dq_clean(t: Inputs) -> DataFrame:
+    return plain(t.clean.select(*EVENT_COLUMNS))
 
 
 @query
-def dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = quality.rejected(_tagged(spark, sf_dir))
+def dq_quarantine(t: Inputs) -> DataFrame:
+    bad = t.rejected
     return plain(bad.select(*EVENT_COLUMNS, "value", "unit", "dq_rule"))
 
 
 @query
-def dq_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.reason_breakdown(quality.rejected(_tagged(spark, sf_dir)))
+def dq_breakdown(t: Inputs) -> DataFrame:
+    return quality.reason_breakdown(t.rejected)
 
 
 @query
-def dq_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(quality.reject_samples(quality.rejected(_tagged(spark, sf_dir))))
+def dq_samples(t: Inputs) -> DataFrame:
+    return plain(quality.reject_samples(t.rejected))
 
 
 @query
-def dq_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean, bad = quality.split_quality(_conformed(spark, sf_dir))
-    return quality.conservation(fixtures.usage(spark, sf_dir), clean, bad)
+def dq_conservation(t: Inputs) -> DataFrame:
+    clean, bad = quality.split_quality(t.conformed)
+    return quality.conservation(t.usage, clean, bad)
 
 
 @query
-def enrich_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def enrich_usage(t: Inputs) -> DataFrame:
     attributes = ("org_name", "plan_tier", "industry", "hq_region")
-    return plain(_enriched(spark, sf_dir).select(*EVENT_COLUMNS, *attributes))
+    return plain(t.enriched.select(*EVENT_COLUMNS, *attributes))
 
 
 @query
-def unknown_org_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lost = _enriched(spark, sf_dir).where("org_name is null")
+def unknown_org_events(t: Inputs) -> DataFrame:
+    lost = t.enriched.where("org_name is null")
     return plain(lost.select(*EVENT_COLUMNS))
 
 
@@ -174,25 +228,25 @@ def unknown_org_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def service_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(service_profile(_clean(spark, sf_dir)))
+def service_statistics(t: Inputs) -> DataFrame:
+    return plain(t.profile)
 
 
 @query
-def outlier_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def outlier_scores(t: Inputs) -> DataFrame:
     scores = [f"score_{m}" for m in DETECTORS]
-    return plain(_silver(spark, sf_dir).select("event_id", "service", *scores), SCORE_DIGITS)
+    return plain(t.silver.select("event_id", "service", *scores), SCORE_DIGITS)
 
 
 @query
-def outlier_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+def outlier_flags(t: Inputs) -> DataFrame:
     flags = [f"flag_{m}" for m in DETECTORS]
-    return plain(_silver(spark, sf_dir).select("event_id", *flags, "cost_anomaly_flag"))
+    return plain(t.silver.select("event_id", *flags, "cost_anomaly_flag"))
 
 
 @query
-def outlier_union_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = flag_outside_band(_clean(spark, sf_dir))
+def outlier_union_flag(t: Inputs) -> DataFrame:
+    flagged = flag_outside_band(t.clean)
     return plain(flagged.select("event_id", "service", "cost_usd", "cost_anomaly_flag"))
 
 
@@ -200,37 +254,35 @@ def outlier_union_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(_daily(spark, sf_dir))
+def daily_usage(t: Inputs) -> DataFrame:
+    return plain(marts.daily_usage(t.silver))
 
 
 @query
-def cost_rolling_14d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = _newest_usage(spark, sf_dir)
-    return plain(marts.trailing_cost(_daily_cost(spark, sf_dir), newest))
+def cost_rolling_14d(t: Inputs) -> DataFrame:
+    return plain(t.cost_14d)
 
 
 @query
-def tickets_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(marts.tickets_by_day(fixtures.tickets(spark, sf_dir)))
+def tickets_by_day(t: Inputs) -> DataFrame:
+    return plain(t.ticket_days)
 
 
 @query
-def revenue_per_invoice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    invoices = marts.revenue_per_invoice(fixtures.billing(spark, sf_dir))
+def revenue_per_invoice(t: Inputs) -> DataFrame:
+    invoices = marts.revenue_per_invoice(t.billing)
     return plain(invoices, REVENUE_DIGITS)
 
 
 @query
-def revenue_by_org_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    months = marts.revenue_by_month(fixtures.billing(spark, sf_dir))
+def revenue_by_org_month(t: Inputs) -> DataFrame:
+    months = marts.revenue_by_month(t.billing)
     return plain(months, REVENUE_DIGITS)
 
 
 @query
-def genai_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = _clean(spark, sf_dir)
-    return plain(marts.genai_by_day(clean, fixtures.GENAI_SERVICE))
+def genai_by_day(t: Inputs) -> DataFrame:
+    return plain(t.genai)
 
 
 def _spelled_out(anomalies: DataFrame) -> DataFrame:
@@ -241,97 +293,88 @@ def _spelled_out(anomalies: DataFrame) -> DataFrame:
 
 
 @query
-def anomaly_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _spelled_out(marts.anomaly_by_day(_silver(spark, sf_dir)))
+def anomaly_mart(t: Inputs) -> DataFrame:
+    return _spelled_out(t.anomalies)
 
 
 # -- questions ------------------------------------------------------------------
 
 
 @query
-def q_daily_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_daily_range(t: Inputs) -> DataFrame:
     """Every organisation, first half of the newest month."""
-    daily = _daily_cost(spark, sf_dir)
-    start = F.trunc(_newest_usage(spark, sf_dir), "month")
+    daily = t.daily_cost
+    start = F.trunc(t.newest_usage, "month")
     return plain(questions.daily_range(daily, start, F.date_add(start, 14)))
 
 
 @query
-def q_daily_range_one_org(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_daily_range_one_org(t: Inputs) -> DataFrame:
     """All days of the organisation with most events."""
-    daily = _daily_cost(spark, sf_dir)
-    first = _clean(spark, sf_dir).select(F.min("event_date")).scalar()
-    last = _newest_usage(spark, sf_dir)
-    org = _busiest_by_events(spark, sf_dir)
+    daily = t.daily_cost
+    first = t.clean.select(F.min("event_date")).scalar()
+    last = t.newest_usage
+    org = t.busiest_by_events
     return plain(questions.daily_range(daily, first, last, org))
 
 
 @query
-def q_top_services(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = _newest_usage(spark, sf_dir)
-    cost = marts.trailing_cost(_daily_cost(spark, sf_dir), newest)
-    return plain(questions.top_services(cost, 3))
+def q_top_services(t: Inputs) -> DataFrame:
+    return plain(questions.top_services(t.cost_14d, 3))
 
 
 @query
-def q_top_services_one_org(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = _newest_usage(spark, sf_dir)
-    cost = marts.trailing_cost(_daily_cost(spark, sf_dir), newest)
-    return plain(questions.top_services(cost, 3, _busiest_by_events(spark, sf_dir)))
+def q_top_services_one_org(t: Inputs) -> DataFrame:
+    return plain(questions.top_services(t.cost_14d, 3, t.busiest_by_events))
 
 
 @query
-def busiest_org_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tickets = marts.tickets_by_day(fixtures.tickets(spark, sf_dir))
-    return questions.busiest_org(tickets, as_of=_newest_ticket(spark, sf_dir))
+def busiest_org_30d(t: Inputs) -> DataFrame:
+    return questions.busiest_org(t.ticket_days, as_of=t.newest_ticket)
 
 
 @query
-def q_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tickets = marts.tickets_by_day(fixtures.tickets(spark, sf_dir))
-    since = F.date_sub(_newest_ticket(spark, sf_dir), 29)
-    return plain(questions.ticket_evolution(tickets, since))
+def q_tickets(t: Inputs) -> DataFrame:
+    since = F.date_sub(t.newest_ticket, 29)
+    return plain(questions.ticket_evolution(t.ticket_days, since))
 
 
 @query
-def q_tickets_busiest_org(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tickets = marts.tickets_by_day(fixtures.tickets(spark, sf_dir))
-    newest = _newest_ticket(spark, sf_dir)
+def q_tickets_busiest_org(t: Inputs) -> DataFrame:
+    tickets = t.ticket_days
+    newest = t.newest_ticket
     org = questions.busiest_org(tickets, as_of=newest).select("org_id").scalar()
     since = F.date_sub(newest, 29)
     return plain(questions.ticket_evolution(tickets, since, org))
 
 
 @query
-def q_critical_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tickets = marts.tickets_by_day(fixtures.tickets(spark, sf_dir))
-    since = F.date_sub(_newest_ticket(spark, sf_dir), 29)
-    return plain(questions.critical_tickets(tickets, since))
+def q_critical_tickets(t: Inputs) -> DataFrame:
+    since = F.date_sub(t.newest_ticket, 29)
+    return plain(questions.critical_tickets(t.ticket_days, since))
 
 
 @query
-def q_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    revenue = marts.revenue_by_month(fixtures.billing(spark, sf_dir))
+def q_revenue(t: Inputs) -> DataFrame:
+    revenue = marts.revenue_by_month(t.billing)
     return plain(questions.monthly_revenue(revenue), REVENUE_DIGITS)
 
 
 @query
-def q_genai(spark: SparkSession, sf_dir: str) -> DataFrame:
-    genai = marts.genai_by_day(_clean(spark, sf_dir), fixtures.GENAI_SERVICE)
-    since = F.date_sub(_newest_usage(spark, sf_dir), 13)
-    return plain(questions.genai_usage(genai, since))
+def q_genai(t: Inputs) -> DataFrame:
+    since = F.date_sub(t.newest_usage, 13)
+    return plain(questions.genai_usage(t.genai, since))
 
 
 @query
-def q_worst_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    anomalies = marts.anomaly_by_day(_silver(spark, sf_dir))
-    return _spelled_out(questions.worst_anomalies(anomalies, 2))
+def q_worst_anomalies(t: Inputs) -> DataFrame:
+    return _spelled_out(questions.worst_anomalies(t.anomalies, 2))
 
 
 @query
-def q_worst_anomalies_one_org(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_worst_anomalies_one_org(t: Inputs) -> DataFrame:
     """The organisation whose anomalies have most flagged events."""
-    anomalies = marts.anomaly_by_day(_silver(spark, sf_dir))
+    anomalies = t.anomalies
     org = busiest(anomalies, "org_id", "event_count").select("org_id").scalar()
     return _spelled_out(questions.worst_anomalies(anomalies, 10, org))
 
@@ -340,10 +383,10 @@ def q_worst_anomalies_one_org(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def master_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def master_scan(t: Inputs) -> DataFrame:
     """Resources as CSV with JSON text in a cell, read back with their types."""
-    landing = scratch_path(spark, "landing")
-    fixtures.table(spark, sf_dir, "orders").select(
+    landing = t.scratch("landing")
+    t.table("orders").select(
         F.col("o_orderkey").alias("resource_id"),
         F.col("o_custkey").alias("org_id"),
         F.col("o_orderpriority").alias("service"),
@@ -352,13 +395,13 @@ def master_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("state"),
         F.to_json(F.struct("o_orderpriority", "o_orderstatus")).alias("tags_json"),
     ).write.options(header=True, escape='"').csv(f"{landing}/resources.csv")
-    return plain(scan_master(spark, MASTERS["resources"], landing))
+    return plain(scan_master(t.spark, MASTERS["resources"], landing))
 
 
 @query
-def master_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def master_dedupe(t: Inputs) -> DataFrame:
     """One line per order: the last shipped, of those the dearest."""
-    lines = fixtures.table(spark, sf_dir, "lineitem").select(
+    lines = t.table("lineitem").select(
         "l_orderkey", F.col("l_shipdate").cast("date").alias("l_shipdate"),
         "l_extendedprice", "l_linenumber", "l_partkey",
     )
@@ -381,33 +424,31 @@ def _land_orgs(orgs: DataFrame, landing: str) -> None:
 
 
 @query
-def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def latest_snapshot(t: Inputs) -> DataFrame:
     """Two snapshots of the organisations, the newer without every tenth of them and
     delivered with each row twice; only the newer is read.
     """
-    orgs = fixtures.org(spark, sf_dir)
-    bronze = scratch_path(spark, "bronze")
+    orgs = t.org
+    bronze = t.scratch("bronze")
     kept = orgs.where("org_id % 10 <> 0").withColumn("plan_tier", F.lower("plan_tier"))
     for day, rows in ((1, orgs), (2, kept.unionByName(kept))):
-        landing = scratch_path(spark, "landing")
+        landing = t.scratch("landing")
         _land_orgs(rows, landing)
         ingest_masters(
-            spark, landing, bronze, dt.date(2024, 2, day), ["customers_orgs"]
+            t.spark, landing, bronze, dt.date(2024, 2, day), ["customers_orgs"]
         )
-    snapshot = current_master(spark, bronze, "customers_orgs")
+    snapshot = current_master(t.spark, bronze, "customers_orgs")
     return plain(snapshot.drop("ingest_ts", "source_file"))
 
 
 # -- streaming ------------------------------------------------------------------
 
 
-def _land_events(
-    spark: SparkSession, sf_dir: str, damaged: bool = False, copies: bool = False
-) -> str:
+def _land_events(t: Inputs, damaged: bool = False, copies: bool = False) -> str:
     """Usage as JSON lines. `copies` delivers every fifth event once more, in other
     files; `damaged` breaks cells and lines.
     """
-    events = fixtures.usage(spark, sf_dir).withColumn(
+    events = t.usage.withColumn(
         "timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     )
     number, tokens = F.col("event_id"), F.col("genai_tokens").cast("string")
@@ -425,7 +466,7 @@ def _land_events(
     line = F.to_json(F.struct(*events.columns))
     if damaged:
         line = F.when(number % 101 == 0, F.left(line, F.lit(12))).otherwise(line)
-    landing = scratch_path(spark, "landing")
+    landing = t.scratch("landing")
     lines = events.select("event_id", line.alias("value"))
     lines.select("value").write.text(f"{landing}/first")
     if copies:
@@ -435,12 +476,12 @@ def _land_events(
 
 
 @query
-def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_dedupe(t: Inputs) -> DataFrame:
     """Intake of lines of which a fifth arrives twice."""
-    landing = _land_events(spark, sf_dir, copies=True)
-    bronze = scratch_path(spark, "bronze")
-    ingest_events(spark, f"{landing}/*", bronze, scratch_path(spark, "checkpoints"))
-    events = read_zone(spark, bronze).where("event_id is not null")
+    landing = _land_events(t, copies=True)
+    bronze = t.scratch("bronze")
+    ingest_events(t.spark, f"{landing}/*", bronze, t.scratch("checkpoints"))
+    events = read_zone(t.spark, bronze).where("event_id is not null")
     return plain(
         events.select(
             "event_id", "org_id", "service", "event_date", "cost_usd_increment",
@@ -450,9 +491,9 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def malformed_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+def malformed_rescue(t: Inputs) -> DataFrame:
     """Outcome of lines with quoted numbers, unreadable cells and cut-off lines."""
-    lines = scan_lines(spark, f"{_land_events(spark, sf_dir, damaged=True)}/*")
+    lines = scan_lines(t.spark, f"{_land_events(t, damaged=True)}/*")
     tagged = quality.tag_quality(conform(typed_events(lines)))
     return plain(
         tagged.groupBy(F.coalesce("dq_rule", F.lit("accepted")).alias("outcome")).agg(
@@ -476,18 +517,17 @@ def _append_bronze(events: DataFrame, path: str) -> None:
 
 
 @query
-def stream_quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = _bronze_zone(fixtures.usage(spark, sf_dir))
-    silver, bad = scratch_path(spark, "silver"), scratch_path(spark, "quarantine")
+def stream_quality_split(t: Inputs) -> DataFrame:
+    bronze = _bronze_zone(t.usage)
+    silver, bad = t.scratch("silver"), t.scratch("quarantine")
     finish(
         *start_silver(
-            spark, bronze, fixtures.org(spark, sf_dir), silver, bad,
-            scratch_path(spark, "checkpoints"),
+            t.spark, bronze, t.org, silver, bad, t.scratch("checkpoints")
         )
     )
-    clean = read_zone(spark, silver).withColumn("dq_rule", F.lit("accepted"))
+    clean = read_zone(t.spark, silver).withColumn("dq_rule", F.lit("accepted"))
     shown = ("event_date", "dq_rule", "cost_usd")
-    both = clean.select(*shown).unionByName(read_zone(spark, bad).select(*shown))
+    both = clean.select(*shown).unionByName(read_zone(t.spark, bad).select(*shown))
     return plain(
         both.groupBy("event_date", F.col("dq_rule").alias("outcome")).agg(
             F.count("*").alias("rows"), F.sum("cost_usd").alias("cost_usd")
@@ -496,33 +536,35 @@ def stream_quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_scored(t: Inputs) -> DataFrame:
     """Events scored on arrival against the stored profile."""
-    bronze = _bronze_zone(fixtures.usage(spark, sf_dir))
-    stored = scratch_path(spark, "profile")
-    write_snapshot(service_profile(_clean(spark, sf_dir)), stored)
-    silver, bad = scratch_path(spark, "silver"), scratch_path(spark, "quarantine")
+    bronze = _bronze_zone(t.usage)
+    stored = t.scratch("profile")
+    write_snapshot(t.profile, stored)
+    silver, bad = t.scratch("silver"), t.scratch("quarantine")
     finish(
         *start_silver(
-            spark, bronze, fixtures.org(spark, sf_dir), silver, bad,
-            scratch_path(spark, "checkpoints"), read_zone(spark, stored),
+            t.spark, bronze, t.org, silver, bad,
+            t.scratch("checkpoints"), read_zone(t.spark, stored),
         )
     )
     flags = [f"flag_{m}" for m in DETECTORS]
     return plain(
-        read_zone(spark, silver).select("event_id", *flags, "cost_anomaly_flag")
+        read_zone(t.spark, silver).select("event_id", *flags, "cost_anomaly_flag")
     )
 
 
 @query
-def stream_daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days closed by the watermark, per service."""
-    zone = _bronze_zone(_clean(spark, sf_dir))
-    out = scratch_path(spark, "windows")
-    stream = windowed_usage(stream_zone(spark, zone))
-    finish(append_to(stream, out, scratch_path(spark, "checkpoints")))
+def stream_daily_window(t: Inputs) -> DataFrame:
+    """Days closed by the watermark, per service. The zone is replayed in one batch, so
+    that the order of its files cannot make rows late.
+    """
+    zone = _bronze_zone(t.clean)
+    out = t.scratch("windows")
+    stream = windowed_usage(stream_zone(t.spark, zone, files_per_trigger=None))
+    finish(append_to(stream, out, t.scratch("checkpoints")))
     return plain(
-        read_zone(spark, out).select(
+        read_zone(t.spark, out).select(
             F.to_date("window_start").alias("event_date"), "service", "cost_usd",
             "genai_tokens", "event_count",
         )
@@ -530,20 +572,20 @@ def stream_daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def stream_mart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_mart_refresh(t: Inputs) -> DataFrame:
     """Daily mart kept up by two runs of the stream: version 1 events, then the rest."""
-    usage, orgs = fixtures.usage(spark, sf_dir), fixtures.org(spark, sf_dir)
-    profile = service_profile(_clean(spark, sf_dir))
-    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
-    bad, checkpoints = scratch_path(spark, "bad"), scratch_path(spark, "checkpoints")
-    store = ServingStore(spark, scratch_path(spark, "serving"), 8)
+    bronze, silver = t.scratch("bronze"), t.scratch("silver")
+    bad, checkpoints = t.scratch("bad"), t.scratch("checkpoints")
+    store = ServingStore(t.spark, t.scratch("serving"), 8)
     since = None
     for version in (1, 2):
-        _append_bronze(usage.where(F.col("schema_version") == version), bronze)
+        _append_bronze(t.usage.where(F.col("schema_version") == version), bronze)
         started = dt.datetime.now(dt.timezone.utc)
-        finish(*start_silver(spark, bronze, orgs, silver, bad, checkpoints, profile))
+        finish(
+            *start_silver(t.spark, bronze, t.org, silver, bad, checkpoints, t.profile)
+        )
         refresh_mart(
-            store, "org_daily_usage_by_service", read_zone(spark, silver),
+            store, "org_daily_usage_by_service", read_zone(t.spark, silver),
             marts.daily_usage, since,
         )
         since = started
@@ -554,13 +596,12 @@ def stream_mart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+def upsert_merge(t: Inputs) -> DataFrame:
     """A mart without request events, then the version 2 days in full, loaded twice."""
-    flagged = _enriched(spark, sf_dir).withColumn("cost_anomaly_flag", F.lit(False))
-    store = ServingStore(spark, scratch_path(spark, "serving"), 8)
+    store = ServingStore(t.spark, t.scratch("serving"), 8)
     name = "org_daily_usage_by_service"
-    store.load(name, marts.daily_usage(flagged.where("metric <> 'requests'")))
-    later = marts.daily_usage(flagged.where("schema_version = 2"))
+    store.load(name, marts.daily_usage(t.unscored.where("metric <> 'requests'")))
+    later = marts.daily_usage(t.unscored.where("schema_version = 2"))
     store.load(name, later)
     store.load(name, later)
     return plain(
@@ -571,30 +612,26 @@ def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def reload_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reload_snapshot(t: Inputs) -> DataFrame:
     """Trailing cost as of a week ago, replaced by that of the newest day."""
-    daily = _daily_cost(spark, sf_dir)
-    store = ServingStore(spark, scratch_path(spark, "serving"), 8)
+    store = ServingStore(t.spark, t.scratch("serving"), 8)
     name = "org_service_cost_14d"
-    newest = daily.select(F.max("event_date")).first()[0]
-    for as_of in (newest - dt.timedelta(days=7), newest):
-        store.load(name, marts.trailing_cost(daily, as_of))
+    for as_of in (F.date_sub(t.newest_usage, 7), t.newest_usage):
+        store.load(name, marts.trailing_cost(t.daily_cost, as_of))
     return plain(store.table(name))
 
 
 @query
-def serving_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def serving_counts(t: Inputs) -> DataFrame:
     """Rows of the serving tables after loading the marts into them."""
-    store = ServingStore(spark, scratch_path(spark, "serving"), 8)
-    silver = _silver(spark, sf_dir)
-    daily = marts.daily_usage(silver)
+    store = ServingStore(t.spark, t.scratch("serving"), 8)
     loads = {
-        "org_daily_usage_by_service": daily,
-        "org_service_cost_14d": marts.trailing_cost(daily),
-        "tickets_by_org_date": marts.tickets_by_day(fixtures.tickets(spark, sf_dir)),
-        "revenue_by_org_month": marts.revenue_by_month(fixtures.billing(spark, sf_dir)),
-        "genai_tokens_by_org_date": marts.genai_by_day(silver, fixtures.GENAI_SERVICE),
-        "cost_anomaly_by_org_date": marts.anomaly_by_day(silver),
+        "org_daily_usage_by_service": marts.daily_usage(t.silver),
+        "org_service_cost_14d": t.cost_14d,
+        "tickets_by_org_date": t.ticket_days,
+        "revenue_by_org_month": marts.revenue_by_month(t.billing),
+        "genai_tokens_by_org_date": t.genai,
+        "cost_anomaly_by_org_date": t.anomalies,
     }
     for name, mart in loads.items():
         store.load(name, mart)
@@ -604,52 +641,51 @@ def serving_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- reports --------------------------------------------------------------------
 
 
-def _zones(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    clean, bad = quality.split_quality(_conformed(spark, sf_dir))
-    daily = _daily_cost(spark, sf_dir)
+def _zones(t: Inputs) -> dict[str, DataFrame]:
+    clean, bad = quality.split_quality(t.conformed)
     return {
-        "bronze": fixtures.usage(spark, sf_dir),
+        "bronze": t.usage,
         "silver": clean,
         "quarantine": bad,
-        "daily": daily,
-        "cost_14d": marts.trailing_cost(daily),
-        "tickets": marts.tickets_by_day(fixtures.tickets(spark, sf_dir)),
-        "revenue": marts.revenue_by_month(fixtures.billing(spark, sf_dir)),
-        "genai": marts.genai_by_day(clean, fixtures.GENAI_SERVICE),
+        "daily": t.daily_cost,
+        "cost_14d": t.cost_14d,
+        "tickets": t.ticket_days,
+        "revenue": marts.revenue_by_month(t.billing),
+        "genai": t.genai,
     }
 
 
 @query
-def zone_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.zone_manifest(_zones(spark, sf_dir))
+def zone_manifest(t: Inputs) -> DataFrame:
+    return reports.zone_manifest(_zones(t))
 
 
 @query
-def rerun_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rerun_stability(t: Inputs) -> DataFrame:
     """Silver, quarantine and the daily mart written twice to the same place."""
-    clean, bad = quality.split_quality(_conformed(spark, sf_dir))
-    zones = {"silver": clean, "quarantine": bad, "daily": _daily_cost(spark, sf_dir)}
-    base = scratch_path(spark, "zones")
+    clean, bad = quality.split_quality(t.conformed)
+    zones = {"silver": clean, "quarantine": bad, "daily": t.daily_cost}
+    base = t.scratch("zones")
     manifests = []
     for run in (1, 2):
         for name, df in zones.items():
             write_snapshot(df, f"{base}/{name}", "event_date")
         counts = reports.zone_manifest(
-            {name: read_zone(spark, f"{base}/{name}") for name in zones}
+            {name: read_zone(t.spark, f"{base}/{name}") for name in zones}
         )
-        kept = scratch_path(spark, "manifest")
+        kept = t.scratch("manifest")
         counts.write.parquet(kept)
-        manifests.append(read_zone(spark, kept))
+        manifests.append(read_zone(t.spark, kept))
     return reports.rerun_check(*manifests)
 
 
 @query
-def partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def partition_report(t: Inputs) -> DataFrame:
     """Days of the silver zone with their rows, and whether they are stored."""
-    path = scratch_path(spark, "silver")
-    write_snapshot(_clean(spark, sf_dir), path, "event_date")
-    rows = read_zone(spark, path).groupBy("event_date").agg(F.count("*").alias("rows"))
-    sizes = reports.partition_report(spark, path, "event_date")
+    path = t.scratch("silver")
+    write_snapshot(t.clean, path, "event_date")
+    rows = read_zone(t.spark, path).groupBy("event_date").agg(F.count("*").alias("rows"))
+    sizes = reports.partition_report(t.spark, path, "event_date")
     return plain(
         sizes.join(rows, "event_date", "left").select(
             "event_date", "rows", F.expr("files > 0 and bytes > 0").alias("stored")
@@ -658,8 +694,8 @@ def partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def zone_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+def zone_size(t: Inputs) -> DataFrame:
     """Partitions, files and bytes of the silver zone; sizes depend on the writer."""
-    path = scratch_path(spark, "silver")
-    write_snapshot(_clean(spark, sf_dir), path, "event_date")
-    return reports.zone_size(reports.partition_report(spark, path, "event_date"))
+    path = t.scratch("silver")
+    write_snapshot(t.clean, path, "event_date")
+    return reports.zone_size(reports.partition_report(t.spark, path, "event_date"))

@@ -13,13 +13,16 @@ from meterlake.operators.quality import accepted, rejected, tag_quality
 from meterlake.streaming.runs import append_to
 
 
-def stream_zone(spark: SparkSession, path: str, files_per_trigger: int = 64) -> DataFrame:
-    """A Parquet zone as a stream of the rows added to it. Its schema comes from the
-    files already there.
+def stream_zone(
+    spark: SparkSession, path: str, files_per_trigger: int | None = 64
+) -> DataFrame:
+    """A Parquet zone as a stream of the rows added to it, all waiting files at once if
+    `files_per_trigger` is None. Its schema comes from the files already there.
     """
-    schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema)
-    return reader.option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
 
 
 def split_and_score(
