@@ -88,6 +88,10 @@ class Inputs:
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)
 
+    def store(self) -> ServingStore:
+        """An empty serving store; the tables number their organisations."""
+        return ServingStore(self.spark, self.scratch("serving"), 8, "bigint")
+
     @cached_property
     def usage(self) -> DataFrame:
         return fixtures.usage(self.spark, self.sf_dir)
@@ -576,7 +580,7 @@ def stream_mart_refresh(t: Inputs) -> DataFrame:
     """Daily mart kept up by two runs of the stream: version 1 events, then the rest."""
     bronze, silver = t.scratch("bronze"), t.scratch("silver")
     bad, checkpoints = t.scratch("bad"), t.scratch("checkpoints")
-    store = ServingStore(t.spark, t.scratch("serving"), 8)
+    store = t.store()
     since = None
     for version in (1, 2):
         _append_bronze(t.usage.where(F.col("schema_version") == version), bronze)
@@ -598,7 +602,7 @@ def stream_mart_refresh(t: Inputs) -> DataFrame:
 @query
 def upsert_merge(t: Inputs) -> DataFrame:
     """A mart without request events, then the version 2 days in full, loaded twice."""
-    store = ServingStore(t.spark, t.scratch("serving"), 8)
+    store = t.store()
     name = "org_daily_usage_by_service"
     store.load(name, marts.daily_usage(t.unscored.where("metric <> 'requests'")))
     later = marts.daily_usage(t.unscored.where("schema_version = 2"))
@@ -614,7 +618,7 @@ def upsert_merge(t: Inputs) -> DataFrame:
 @query
 def reload_snapshot(t: Inputs) -> DataFrame:
     """Trailing cost as of a week ago, replaced by that of the newest day."""
-    store = ServingStore(t.spark, t.scratch("serving"), 8)
+    store = t.store()
     name = "org_service_cost_14d"
     for as_of in (F.date_sub(t.newest_usage, 7), t.newest_usage):
         store.load(name, marts.trailing_cost(t.daily_cost, as_of))
@@ -624,7 +628,7 @@ def reload_snapshot(t: Inputs) -> DataFrame:
 @query
 def serving_counts(t: Inputs) -> DataFrame:
     """Rows of the serving tables after loading the marts into them."""
-    store = ServingStore(t.spark, t.scratch("serving"), 8)
+    store = t.store()
     loads = {
         "org_daily_usage_by_service": marts.daily_usage(t.silver),
         "org_service_cost_14d": t.cost_14d,

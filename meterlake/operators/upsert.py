@@ -56,9 +56,9 @@ def upsert(
     touched = [r[0] for r in fresh.select(partition_by).distinct().collect()]
     if not touched:
         return
-    existing = read_zone(spark, path)
+    existing = read_zone(spark, path, fresh.schema)
     affected = existing.where(F.col(partition_by).isin(touched))
-    result = merged(affected, fresh.select(*existing.columns), keys)
+    result = merged(affected, fresh, keys)
     result.write.mode("overwrite").parquet(f"{staging}/merged")
     write_partitions(
         read_zone(spark, f"{staging}/merged"), path, partition_by, sort_within

@@ -14,6 +14,7 @@ from meterlake.operators.outliers import score_against, service_profile
 from meterlake.operators.quality import accepted, rejected, tag_quality
 from meterlake.plans.reports import zone_manifest
 from meterlake.plans.serving import TABLES, ServingStore
+from meterlake.sources.events import bronze_schema
 from meterlake.sources.masters import current_master, ingest_masters
 from meterlake.sources.schemas import MASTERS
 from meterlake.sources.zones import read_zone, write_snapshot
@@ -62,6 +63,13 @@ class Lakehouse:
     def read(self, path: str) -> DataFrame:
         return read_zone(self.spark, path)
 
+    def bronze_events(self) -> DataFrame:
+        return read_zone(self.spark, self.events, bronze_schema())
+
+    def rejected_events(self) -> DataFrame:
+        schema = rejected(tag_quality(conform(self.bronze_events()))).schema
+        return read_zone(self.spark, self.quarantine, schema)
+
     # -- steps ------------------------------------------------------------------
 
     def land_masters(self, ingest_date: dt.date | None = None) -> None:
@@ -81,7 +89,7 @@ class Lakehouse:
         """Quality gate first, on rows as they came; then statistics over what passed,
         so that rejects do not shift them; then one pass that enriches and scores.
         """
-        tagged = tag_quality(conform(self.read(self.events)))
+        tagged = tag_quality(conform(self.bronze_events()))
         write_snapshot(rejected(tagged), self.quarantine, "event_date")
         clean = accepted(tagged)
         write_snapshot(service_profile(clean), self.profile)
@@ -122,9 +130,9 @@ class Lakehouse:
             masters = masters.union(snapshot.select(F.lit(1)))
         zones = {
             "bronze/masters": masters,
-            "bronze/usage_events": self.read(self.events),
+            "bronze/usage_events": self.bronze_events(),
             "silver/usage_events_enriched": self.read(self.silver),
-            "quarantine/usage_events": self.read(self.quarantine),
+            "quarantine/usage_events": self.rejected_events(),
         }
         for name in TABLES:
             zones[f"gold/{name}"] = self.read(self.gold(name))

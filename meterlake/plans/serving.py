@@ -13,6 +13,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from meterlake.operators.upsert import upsert
 from meterlake.plans import questions
@@ -30,7 +31,7 @@ class ServingTable:
 
     name: str
     clustering: tuple[tuple[str, str], ...]
-    columns: tuple[str, ...]
+    layout: str
     measured_key: bool = False
 
     @property
@@ -41,44 +42,53 @@ class ServingTable:
         direction = {"asc": F.asc, "desc": F.desc}
         return [F.asc("org_id"), *[direction[d](c) for c, d in self.clustering]]
 
+    def schema(self, org_type: str) -> StructType:
+        return StructType.fromDDL(f"org_id {org_type}, {self.layout}, {BUCKET} int")
 
-# Table names, columns, and clustering columns with their directions.
+
+# Table names, columns with their types, and clustering columns with
+# their directions.
 TABLES = {
     t.name: t
     for t in (
         ServingTable(
             "org_daily_usage_by_service",
             (("event_date", "asc"), ("service", "asc")),
-            (
-                "cost_usd", "requests", "genai_tokens", "carbon_kg", "event_count",
-                "has_anomaly", "org_name", "plan_tier", "industry", "hq_region",
-            ),
+            "event_date date, service string, cost_usd double, requests double,"
+            " genai_tokens bigint, carbon_kg double, event_count bigint,"
+            " has_anomaly boolean, org_name string, plan_tier string,"
+            " industry string, hq_region string",
         ),
         ServingTable(
             "org_service_cost_14d",
             (("total_cost_usd", "desc"), ("service", "asc")),
-            ("org_name",),
+            "total_cost_usd double, service string, org_name string",
             measured_key=True,
         ),
         ServingTable(
             "tickets_by_org_date",
             (("event_date", "desc"), ("severity", "asc")),
-            ("ticket_count", "sla_breach_count", "sla_breach_rate", "avg_csat"),
+            "event_date date, severity string, ticket_count bigint,"
+            " sla_breach_count bigint, sla_breach_rate double, avg_csat double",
         ),
         ServingTable(
             "revenue_by_org_month",
             (("month", "desc"),),
-            ("revenue_usd", "subtotal", "credits", "taxes", "currency"),
+            "month date, revenue_usd double, subtotal double, credits double,"
+            " taxes double, currency string",
         ),
         ServingTable(
             "genai_tokens_by_org_date",
             (("event_date", "desc"),),
-            ("total_tokens", "cost_usd", "event_count"),
+            "event_date date, total_tokens bigint, cost_usd double,"
+            " event_count bigint",
         ),
         ServingTable(
             "cost_anomaly_by_org_date",
             (("anomaly_score", "desc"), ("event_date", "desc"), ("service", "asc")),
-            ("methods", "scores", "event_count", "org_name"),
+            "anomaly_score double, event_date date, service string,"
+            " methods array<string>, scores map<string, double>,"
+            " event_count bigint, org_name string",
             measured_key=True,
         ),
     )
@@ -87,11 +97,14 @@ TABLES = {
 
 @dataclass(frozen=True)
 class ServingStore:
-    """Serving tables below `root`. `buckets` is fixed for the life of a store."""
+    """Serving tables below `root`. `buckets` is fixed for the life of a store, and so
+    is the type of organisation ids.
+    """
 
     spark: SparkSession
     root: str
     buckets: int = 64
+    org_type: str = "string"
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -100,8 +113,9 @@ class ServingStore:
         return F.pmod(F.xxhash64(org_id), F.lit(self.buckets)).cast("int")
 
     def _laid_out(self, mart: DataFrame, table: ServingTable) -> DataFrame:
-        return mart.select(*table.keys, *table.columns).withColumn(
-            BUCKET, self._bucket(F.col("org_id"))
+        rows = mart.withColumn("org_id", F.col("org_id").cast(self.org_type))
+        return rows.withColumn(BUCKET, self._bucket(F.col("org_id"))).to(
+            table.schema(self.org_type)
         )
 
     def load(self, name: str, mart: DataFrame) -> None:
@@ -124,9 +138,9 @@ class ServingStore:
 
     def table(self, name: str, org_id: Any = None) -> DataFrame:
         """A serving table, or the one bucket of it that holds `org_id`."""
-        df = read_zone(self.spark, self.path(name))
+        df = read_zone(self.spark, self.path(name), TABLES[name].schema(self.org_type))
         if org_id is not None:
-            key = F.lit(org_id).cast(df.schema["org_id"].dataType)
+            key = F.lit(org_id).cast(self.org_type)
             df = df.where(F.col(BUCKET) == self._bucket(key))
         return df.drop(BUCKET)
 

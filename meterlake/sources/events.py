@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from meterlake.sources.schemas import event_schema
 
@@ -18,6 +24,16 @@ def text_schema() -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
+def bronze_schema() -> StructType:
+    """Typed events as they are stored, with what is known about their defects."""
+    return (
+        event_schema()
+        .add(BROKEN_LINE, "string")
+        .add("malformed_fields", ArrayType(StringType()))
+        .add("event_date", "date")
+    )
+
+
 def scan_lines(spark: SparkSession, landing: str) -> DataFrame:
     """Bounded scan, for replays."""
     reader = spark.read.schema(text_schema())
@@ -46,8 +62,18 @@ def with_source_lane(lines: DataFrame, lanes: int) -> DataFrame:
     return lines.withColumn(SOURCE_LANE, F.pmod(split, F.lit(lanes)))
 
 
+def _text(name: str) -> Column:
+    """A cell of a readable line. Cells parsed before the break of a cut-off line do
+    not count; wrapping the column also keeps filters on it from being applied inside
+    the JSON reader, which would judge such a line by those cells and drop it.
+    """
+    return F.when(F.col(BROKEN_LINE).isNull(), F.col(name))
+
+
 def _parsed(field: StructField) -> Column:
-    raw = F.col(field.name)
+    raw = _text(field.name)
+    if isinstance(field.dataType, StringType):
+        return raw
     if isinstance(field.dataType, LongType):
         # "5.0" is still the whole number five
         number = raw.try_cast("decimal(38,6)")
@@ -62,10 +88,11 @@ def typed_events(lines: DataFrame) -> DataFrame:
     A cell whose text does not parse becomes null and its column name is listed in
     `malformed_fields`, so that the quality rules can tell it from a missing one.
     """
-    fields = [f for f in event_schema() if not isinstance(f.dataType, StringType)]
+    fields = event_schema().fields
     failed = [
-        F.when(F.col(f.name).isNotNull() & _parsed(f).isNull(), F.lit(f.name))
+        F.when(_text(f.name).isNotNull() & _parsed(f).isNull(), F.lit(f.name))
         for f in fields
+        if not isinstance(f.dataType, StringType)
     ]
     # withColumns evaluates every expression against the text columns
     return lines.withColumns(

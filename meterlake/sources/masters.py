@@ -12,6 +12,9 @@ from meterlake.sources.schemas import MASTERS, Master
 from meterlake.sources.zones import latest_snapshot, read_zone, write_partitions
 
 
+AUDIT_LAYOUT = "ingest_ts timestamp, source_file string, ingest_date date"
+
+
 def scan_master(spark: SparkSession, master: Master, landing: str) -> DataFrame:
     """Typed CSV scan. A doubled quote inside a quoted cell is a literal quote, so
     JSON text survives; a cell that does not fit its type becomes null.
@@ -74,4 +77,5 @@ def master_path(bronze: str, name: str) -> str:
 
 
 def current_master(spark: SparkSession, bronze: str, name: str) -> DataFrame:
-    return latest_snapshot(read_zone(spark, master_path(bronze, name)))
+    layout = f"{MASTERS[name].layout}, {AUDIT_LAYOUT}"
+    return latest_snapshot(read_zone(spark, master_path(bronze, name), layout))

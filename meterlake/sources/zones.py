@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
-def read_zone(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_zone(
+    spark: SparkSession, path: str, schema: StructType | str | None = None
+) -> DataFrame:
+    """A zone. Where the schema is known it should be given: a partitioned zone
+    without rows has no file to take it from.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def balanced(df: DataFrame, *columns: str) -> DataFrame:
