@@ -18,6 +18,8 @@ from meterlake.streaming.runs import append_to, finish
 # without a word, so it spans the history that may still arrive.
 WATERMARK = "60 days"
 COPY_LANES = 256
+# Upper limit of files a batch writes per day.
+FILES_PER_DAY = 16
 
 
 def once_per_event(
@@ -53,17 +55,28 @@ def bronze_events(
     )
 
 
+def gathered_by_day(events: DataFrame, files_per_day: int) -> DataFrame:
+    """Bring the rows of a day to a few tasks before they are written. After the
+    deduplication every task holds rows of every day, and would write a file for each.
+    """
+    lane = F.pmod(F.xxhash64("event_id", F.spark_partition_id()), F.lit(files_per_day))
+    return (
+        events.withColumn("_lane", lane).repartition("event_date", "_lane").drop("_lane")
+    )
+
+
 def start_intake(
     spark: SparkSession,
     landing: str,
     bronze: str,
     checkpoints: str,
     every: str | None = None,
+    files_per_day: int = FILES_PER_DAY,
     **options,
 ) -> StreamingQuery:
     """Start the intake; `options` are those of `bronze_events`."""
     return append_to(
-        bronze_events(spark, landing, **options),
+        gathered_by_day(bronze_events(spark, landing, **options), files_per_day),
         bronze,
         f"{checkpoints.rstrip('/')}/usage_events_bronze",
         "event_date",
