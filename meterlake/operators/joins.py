@@ -13,7 +13,7 @@ from pyspark.sql.types import (
     MapType,
 )
 
-from meterlake.session import cut_lineage
+from meterlake.session import cut_lineage, stored
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 _FIXED_WIDTH = (BooleanType, DateType, DoubleType, IntegerType, LongType)
@@ -55,8 +55,8 @@ def heavy_keys(facts: DataFrame, keys: list[str], share: int) -> DataFrame:
     needs to be no heavier than that. There are fewer than `share` such keys, and
     their lanes add up to at most twice `share`, whatever the data.
     """
-    counts = cut_lineage(
-        facts.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("_n"))
+    counts = stored(
+        facts.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("_n")), "keys"
     )
     fair = max((counts.agg(F.sum("_n")).first()[0] or 0) / share, 1.0)
     return cut_lineage(

@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterlake.operators.joins import lookup_join
-from meterlake.session import cut_lineage
+from meterlake.session import cut_lineage, stored
 
 # Values a single ranking task may be handed; always compared with exact counts.
 SMALL_ROWS = 1_000_000
@@ -104,7 +104,7 @@ def _narrow_and_pick(rows: DataFrame, wanted: DataFrame, small_rows: int) -> Dat
         remaining = unresolved.agg(F.sum("_inside")).first()[0] or 0
         if not remaining:
             break
-        rows = cut_lineage(_rows_inside(rows, unresolved, keys))
+        rows = stored(_rows_inside(rows, unresolved, keys), "inside")
         wanted = unresolved.select("_g", "_target", "_rank")
         keys = ["_g", "_target"]  # from now on every target has rows of its own
         if remaining <= small_rows:

@@ -83,6 +83,11 @@ def busiest_org(
     return busiest(recent, "org_id", "ticket_count", total="tickets")
 
 
+def first_org(mart: DataFrame) -> DataFrame:
+    """One organisation to try a question with: the least id, so always the same."""
+    return mart.agg(F.min("org_id").alias("org_id"))
+
+
 def monthly_revenue(revenue: DataFrame, org_id: Any = None) -> DataFrame:
     columns = (
         "org_id", "month", "revenue_usd", "subtotal", "credits", "taxes", "currency"

@@ -84,8 +84,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/meterlake/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Materialise `df`, of any size, as a Parquet table below the shared folder."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` with a reliable checkpoint (survives executor loss)."""
+    """Materialise a small `df` with a reliable checkpoint (survives executor loss)."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:

@@ -18,8 +18,7 @@ from meterlake.streaming.runs import append_to, finish
 # without a word, so it spans the history that may still arrive.
 WATERMARK = "60 days"
 COPY_LANES = 256
-# Upper limit of files a batch writes per day.
-FILES_PER_DAY = 16
+FILES_PER_TRIGGER = 4
 
 
 def once_per_event(
@@ -30,7 +29,8 @@ def once_per_event(
     Rows are first deduplicated per id *and* lane, then per id: an id delivered a
     million times is spread over the lanes, and at most one copy per lane and batch
     meets in one task. Rows without an id cannot be told apart and all stay; the
-    quality rules reject them later, with a reason.
+    quality rules reject them later, with a reason. They take a branch of their own,
+    without state, which reads the new files a second time.
     """
     timed = events.withWatermark("timestamp", watermark)
     keyed = timed.where("event_id is not null")
@@ -45,7 +45,7 @@ def bronze_events(
     spark: SparkSession,
     landing: str,
     watermark: str = WATERMARK,
-    files_per_trigger: int = 4,
+    files_per_trigger: int = FILES_PER_TRIGGER,
     copy_lanes: int = COPY_LANES,
 ) -> DataFrame:
     """The stream of typed, deduplicated events with their day."""
@@ -71,12 +71,17 @@ def start_intake(
     bronze: str,
     checkpoints: str,
     every: str | None = None,
-    files_per_day: int = FILES_PER_DAY,
+    files_per_trigger: int = FILES_PER_TRIGGER,
     **options,
 ) -> StreamingQuery:
-    """Start the intake; `options` are those of `bronze_events`."""
+    """Start the intake; `options` are those of `bronze_events`. A batch writes at most
+    as many files per day as it reads in all.
+    """
+    events = bronze_events(
+        spark, landing, files_per_trigger=files_per_trigger, **options
+    )
     return append_to(
-        gathered_by_day(bronze_events(spark, landing, **options), files_per_day),
+        gathered_by_day(events, files_per_trigger),
         bronze,
         f"{checkpoints.rstrip('/')}/usage_events_bronze",
         "event_date",

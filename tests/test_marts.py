@@ -62,6 +62,7 @@ def test_tickets(spark, day):
     assert [r.severity for r in recent] == ["critical"]
     assert questions.critical_tickets(mart, day(1)).count() == 1
     assert questions.busiest_org(mart).first() == ("a", 5)
+    assert questions.first_org(mart).first() == ("a",)
 
 
 def test_revenue(spark, day):
