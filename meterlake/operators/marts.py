@@ -171,15 +171,19 @@ def anomaly_by_day(silver: DataFrame) -> DataFrame:
     keys of that map, and `anomaly_score` is the greatest value in it. That last one
     ranks unit-free scores next to amounts of money, which is kept as specified.
     """
-    measures = {
-        m: (F.max(F.when(F.col(f"flag_{m}"), F.col(f"score_{m}"))), F.max)
+    strongest = [
+        F.max(F.when(F.col(f"flag_{m}"), F.col(f"score_{m}"))).alias(m)
         for m in DETECTORS
-    }
-    measures["event_count"] = _count()
-    flagged = silver.where("cost_anomaly_flag")
+    ]
     every = F.create_map(*[c for m in DETECTORS for c in (F.lit(m), F.col(m))])
     return (
-        rollup(flagged, list(DAILY_KEYS), measures, ["org_name"])
+        silver.where("cost_anomaly_flag")
+        .groupBy(*DAILY_KEYS)
+        .agg(
+            *strongest,
+            F.count("*").alias("event_count"),
+            F.max("org_name").alias("org_name"),
+        )
         .withColumn("scores", F.map_filter(every, lambda _, v: v.isNotNull()))
         .select(
             *DAILY_KEYS,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.operators.joins import BROADCAST_BYTES, lookup_join
-from meterlake.operators.quantiles import SMALL_ROWS, exact_quantiles, usable
+from meterlake.operators.quantiles import SMALL_ROWS, exact_quantiles
 from meterlake.session import cut_lineage
 
 # Thresholds of the detectors and the quantiles of the band.
@@ -33,17 +33,16 @@ def service_band(
     moments = [
         F.avg("cost_usd").alias("mean_cost"),
         F.stddev_samp("cost_usd").alias("std_cost"),
-        F.count(usable("cost_usd")).alias("n_values"),
     ]
-    if not exact:
+    if exact:
+        band = exact_quantiles(costs, "service", "cost_usd", BAND, moments, small_rows)
+    else:
         quantiles = [
             F.percentile_approx("cost_usd", p).alias(name) for name, p in BAND.items()
         ]
-        return cut_lineage(costs.groupBy("service").agg(*moments, *quantiles))
-    groups = cut_lineage(costs.groupBy("service").agg(*moments))
-    return cut_lineage(
-        exact_quantiles(costs, "service", "cost_usd", BAND, groups, small_rows)
-    )
+        n_values = F.count("cost_usd").alias("n_values")
+        band = costs.groupBy("service").agg(*moments, n_values, *quantiles)
+    return cut_lineage(band)
 
 
 def _costs(events: DataFrame) -> DataFrame:
@@ -66,14 +65,15 @@ def service_profile(
     )
     if exact:
         # a deviation exists exactly where a cost does, so the counts carry over
-        full = exact_quantiles(
-            spread, "service", "deviation", {"mad": 0.5}, band, small_rows
+        mad = exact_quantiles(
+            spread, "service", "deviation", {"mad": 0.5}, small_rows=small_rows,
+            groups=band.select("service", "n_values"),
         )
     else:
         mad = spread.groupBy("service").agg(
             F.percentile_approx("deviation", 0.5).alias("mad")
         )
-        full = band.join(mad, "service", "left")
+    full = band.join(mad.select("service", "mad"), "service", "left")
     return cut_lineage(full.select("service", "n_values", *PROFILE))
 
 

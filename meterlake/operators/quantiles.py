@@ -38,47 +38,48 @@ def exact_quantiles(
     by: str,
     value: str,
     probs: dict[str, float],
-    groups: DataFrame,
+    also: list[Column] | None = None,
     small_rows: int = SMALL_ROWS,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
-    """`groups` (one row per `by`, with the exact count `n_values` of usable values, as
-    `usable` defines them) extended by one column per entry of `probs`: the least value
-    whose rank reaches p * n_values.
+    """One row per group: `by`, the aggregates in `also`, the number of values as
+    `n_values`, and one column per entry of `probs`, each the least value whose rank
+    reaches p * n_values.
 
-    Null and NaN values are skipped. Rows with a null group get no quantiles (nothing
-    can be joined to them either).
+    Null and NaN values are skipped. The null group is counted but gets no quantiles
+    beyond the small size, since nothing can be joined to it anyway. `groups` may give
+    the counts (`by`, `n_values`) if they are known, and saves a pass.
     """
-    total = groups.agg(F.sum("n_values")).first()[0] or 0
-    values = df.select(F.col(by).alias("_g"), usable(value).alias("_x")).dropna()
-    if total <= small_rows:
-        answers = values.groupBy(F.col("_g").alias(by)).agg(
+    x = F.when(~F.isnan(value), F.col(value).cast("double"))
+    measured = df.withColumn("_x", x).groupBy(by)
+    counted = [*(also or []), F.count("_x").alias("n_values")]
+    if groups is None:
+        groups = cut_lineage(measured.agg(*counted))
+    if (groups.agg(F.sum("n_values")).first()[0] or 0) <= small_rows:
+        sorted_lists = [
+            F.expr(f"percentile_disc({p}D) within group (order by _x)").alias(name)
+            for name, p in probs.items()
+        ]
+        return measured.agg(*counted, *sorted_lists)
+
+    wanted = groups.select(
+        F.col(by).alias("_g"),
+        F.explode(F.array(*[_want(n, p) for n, p in probs.items()])).alias("_w"),
+    ).select("_g", "_w.*")
+    values = df.select(F.col(by).alias("_g"), x.alias("_x")).dropna()
+    answers = (
+        _narrow_and_pick(values, wanted, small_rows)
+        .groupBy(F.col("_g").alias(by))
+        .agg(
             *[
-                F.expr(f"percentile_disc({p}D) within group (order by _x)").alias(name)
-                for name, p in probs.items()
+                F.max(F.when(F.col("_target") == name, F.col("_x"))).alias(name)
+                for name in probs
             ]
         )
-    else:
-        wanted = groups.select(
-            F.col(by).alias("_g"),
-            F.explode(F.array(*[_want(n, p) for n, p in probs.items()])).alias("_w"),
-        ).select("_g", "_w.*")
-        answers = (
-            _narrow_and_pick(values, wanted, small_rows)
-            .groupBy(F.col("_g").alias(by))
-            .agg(
-                *[
-                    F.max(F.when(F.col("_target") == name, F.col("_x"))).alias(name)
-                    for name in probs
-                ]
-            )
-        )
+    )
     return groups.join(answers, by, "left")
 
 
-def usable(value: str) -> Column:
-    return F.when(~F.isnan(value), F.col(value).cast("double"))
-
-
 def _want(name: str, p: float) -> Column:
     n = F.col("n_values")
     rank = F.greatest(F.lit(1).cast("bigint"), n - F.floor(n - F.lit(float(p)) * n))

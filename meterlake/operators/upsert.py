@@ -37,15 +37,19 @@ def upsert(
     partition_by: str,
     version: str | None = None,
     sort_within: list[Column | str] | None = None,
+    unique: bool = False,
 ) -> None:
     """Merge `incoming` into the table at `path`; the last write per key stays.
 
+    `unique` states that `incoming` has each key once, as grouped results do, and
+    saves looking for repeated ones.
+
     Only partitions that `incoming` touches are read and rewritten. The result goes
     to `staging` first, because a table cannot be overwritten while it is read; a
     failure between the two steps leaves the complete rows there.
     """
     spark = incoming.sparkSession
-    fresh = latest_per_key(incoming, keys, version)
+    fresh = incoming if unique else latest_per_key(incoming, keys, version)
     if not table_exists(spark, path):
         write_partitions(fresh, path, partition_by, sort_within)
         return

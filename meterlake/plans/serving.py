@@ -118,9 +118,10 @@ class ServingStore:
             table.schema(self.org_type)
         )
 
-    def load(self, name: str, mart: DataFrame) -> None:
+    def load(self, name: str, mart: DataFrame, unique: bool = True) -> None:
         """Bring a mart into its serving table: merge by key, or reload the table if
-        its key holds a measure. Loading the same mart again changes nothing.
+        its key holds a measure. Loading the same mart again changes nothing. Marts
+        have each key once; rows that may repeat keys need `unique=False`.
         """
         table = TABLES[name]
         rows = self._laid_out(mart, table)
@@ -134,6 +135,7 @@ class ServingStore:
                 table.keys,
                 BUCKET,
                 sort_within=table.order(),
+                unique=unique,
             )
 
     def table(self, name: str, org_id: Any = None) -> DataFrame:

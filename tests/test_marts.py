@@ -45,6 +45,19 @@ def test_trailing_window_edges(spark, day, explicit):
     }
 
 
+def test_trailing_window_opens_only_its_days(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    spark.range(60).selectExpr(
+        "'a' as org_id", "'db' as service", "1.0D as cost_usd", "'A' as org_name",
+        "date_add(date '2025-07-01', int(id)) as event_date",
+    ).write.partitionBy("event_date").parquet(path)
+    cost = marts.trailing_cost(spark.read.parquet(path))
+    assert cost.first().total_cost_usd == 14.0
+    plan = cost._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert "event_date" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
 def test_tickets(spark, day):
     layout = "org_id string, created_at date, severity string, csat double, sla_breached boolean"
     rows = [

@@ -73,6 +73,13 @@ def test_upsert_is_idempotent_and_last_write_wins(store, daily, day):
     assert [r.cost_usd for r in rows] == [1.0, 9.0, 3.0]
 
 
+def test_repeated_keys_in_one_load(store, daily, day):
+    rows = daily(*[("a", day(1), "db", float(i)) for i in range(5)])
+    for _ in range(2):
+        store.load(DAILY, rows, unique=False)
+        assert [r.cost_usd for r in store.table(DAILY).collect()] == [4.0]
+
+
 def test_untouched_buckets_keep_their_files(spark, store, daily, day):
     orgs = [f"org{i}" for i in range(20)]
     store.load(DAILY, daily(*[(o, day(1), "db", 1.0) for o in orgs]))
