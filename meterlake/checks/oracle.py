@@ -296,7 +296,7 @@ _BODIES = {
         cast(null as varchar) as marketing_source,
         case when org_id % 5 <> 0 then cast(org_id % 10 as double) end as nps_score,
         '2024-02-02' as ingest_date from org where org_id % 10 <> 0""",
-    "stream_dedupe": """select cast(event_id as varchar) as event_id,
+    "stream_dedupe": """select distinct cast(event_id as varchar) as event_id,
         cast(org_id as varchar) as org_id, service,
         cast(event_date as varchar) as event_date,
         round(cost_usd, 6) as cost_usd_increment,

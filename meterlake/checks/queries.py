@@ -484,7 +484,9 @@ def stream_dedupe(t: Inputs) -> DataFrame:
     """Intake of lines of which a fifth arrives twice."""
     landing = _land_events(t, copies=True)
     bronze = t.scratch("bronze")
-    ingest_events(t.spark, f"{landing}/*", bronze, t.scratch("checkpoints"))
+    ingest_events(
+        t.spark, f"{landing}/*", bronze, t.scratch("checkpoints"), files_per_trigger=32
+    )
     events = read_zone(t.spark, bronze).where("event_id is not null")
     return plain(
         events.select(

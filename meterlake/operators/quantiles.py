@@ -68,7 +68,7 @@ def exact_quantiles(
     ).select("_g", "_w.*")
     values = df.select(F.col(by).alias("_g"), x.alias("_x")).dropna()
     answers = (
-        _narrow_and_pick(values, wanted, small_rows)
+        _narrow_and_pick(values, wanted, len(probs), small_rows)
         .groupBy(F.col("_g").alias(by))
         .agg(
             *[
@@ -93,21 +93,24 @@ def _sort_and_pick(values: DataFrame, wanted: DataFrame, keys: list[str]) -> Dat
     return ranked.join(wanted, [*keys, "_rank"]).select("_g", "_target", "_x")
 
 
-def _narrow_and_pick(rows: DataFrame, wanted: DataFrame, small_rows: int) -> DataFrame:
-    keys = ["_g"]
+def _narrow_and_pick(
+    rows: DataFrame, wanted: DataFrame, targets: int, small_rows: int
+) -> DataFrame:
+    keys, slots = ["_g"], targets
     found: list[DataFrame] = []
     while True:
         # fixed before use: a second evaluation of a sketch may differ
         brackets = cut_lineage(_brackets(rows, wanted, keys))
-        counted = cut_lineage(_count_against(rows, brackets, keys))
+        counted = cut_lineage(_count_against(rows, brackets, keys, slots))
         found.append(counted.dropna(subset=["_x"]).select("_g", "_target", "_x"))
         unresolved = counted.where("_x is null")
         remaining = unresolved.agg(F.sum("_inside")).first()[0] or 0
         if not remaining:
             break
-        rows = stored(_rows_inside(rows, unresolved, keys), "inside")
+        rows = stored(_rows_inside(rows, unresolved, keys, slots), "inside")
         wanted = unresolved.select("_g", "_target", "_rank")
-        keys = ["_g", "_target"]  # from now on every target has rows of its own
+        # from now on every target has rows of its own
+        keys, slots = ["_g", "_target"], 1
         if remaining <= small_rows:
             found.append(_sort_and_pick(rows, wanted, keys))
             break
@@ -144,30 +147,51 @@ def _brackets(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _against(rows: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
-    """Every row next to each bracket of its group, as column `_b`."""
-    fields = [c for c in brackets.columns if c not in keys]
-    per_key = brackets.groupBy(*keys).agg(F.collect_list(F.struct(*fields)).alias("_b"))
-    joined = lookup_join(rows, per_key, keys)
-    return joined.select(*keys, "_x", F.explode("_b").alias("_b")).select(
-        *keys, "_x", *[F.col(f"_b.{f}").alias(f) for f in fields]
+def _beside(
+    rows: DataFrame, table: DataFrame, keys: list[str], slots: int
+) -> tuple[DataFrame, DataFrame]:
+    """Every row next to what `table` says about the targets of its key, one set of
+    columns per target (`_low0`, `_low1`, ...), so that rows need not be multiplied.
+    Also the table itself with the targets of a key as a list, in the same order.
+    """
+    fields = [c for c in table.columns if c not in keys]
+    fields.sort(key=lambda c: c != "_target")  # the order within the list
+    listed = table.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("_slots")
     )
+    flat = [
+        F.get("_slots", F.lit(i))[c].alias(f"{c}{i}")
+        for i in range(slots)
+        for c in fields
+    ]
+    return lookup_join(rows, listed.select(*keys, *flat), keys), listed
 
 
-def _count_against(rows: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
+def _count_against(
+    rows: DataFrame, brackets: DataFrame, keys: list[str], slots: int
+) -> DataFrame:
     """Settle a rank that falls on a bracket end; else give the open interval that
     holds it, how many rows are inside, and the rank counted from there.
     """
-    counts = (
-        _against(rows, brackets, keys)
-        .groupBy("_g", "_target", "_rank", "_low", "_high")
-        .agg(
-            F.count_if(F.col("_x") < F.col("_low")).alias("_lt_low"),
-            F.count_if(F.col("_x") <= F.col("_low")).alias("_le_low"),
-            F.count_if(F.col("_x") < F.col("_high")).alias("_lt_high"),
-            F.count_if(F.col("_x") <= F.col("_high")).alias("_le_high"),
-            F.count("*").alias("_n"),
+    beside, listed = _beside(rows, brackets, keys, slots)
+    x = F.col("_x")
+    tallies = [
+        F.struct(
+            F.count_if(x < F.col(f"_low{i}")).alias("_lt_low"),
+            F.count_if(x <= F.col(f"_low{i}")).alias("_le_low"),
+            F.count_if(x < F.col(f"_high{i}")).alias("_lt_high"),
+            F.count_if(x <= F.col(f"_high{i}")).alias("_le_high"),
         )
+        for i in range(slots)
+    ]
+    tallied = beside.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.array(*tallies).alias("_tallies")
+    )
+    counts = (
+        tallied.join(listed, keys)
+        .select(*keys, "_n", "_tallies", F.posexplode("_slots").alias("_i", "_slot"))
+        .select(*keys, "_n", "_slot.*", F.get("_tallies", F.col("_i")).alias("_t"))
+        .select("*", "_t.*")
     )
     settled = F.expr(
         "case when _rank between _lt_low + 1 and _le_low then _low"
@@ -200,10 +224,25 @@ def _count_against(rows: DataFrame, brackets: DataFrame, keys: list[str]) -> Dat
     ).select("_g", "_target", "_x", "_next.*")
 
 
-def _rows_inside(rows: DataFrame, unresolved: DataFrame, keys: list[str]) -> DataFrame:
+def _rows_inside(
+    rows: DataFrame, unresolved: DataFrame, keys: list[str], slots: int
+) -> DataFrame:
+    """Rows in the open interval of a target, once for each such target."""
     limits = unresolved.select("_g", "_target", "_from", "_to")
+    if "_target" in keys:
+        limits = limits.withColumn("_name", F.col("_target"))
+    else:
+        limits = limits.withColumnRenamed("_target", "_name")
+    beside, _ = _beside(rows, limits, keys, slots)
+    inside = [
+        F.expr(
+            f"_name{i} is not null and (_from{i} is null or _x > _from{i})"
+            f" and (_to{i} is null or _x < _to{i})"
+        )
+        for i in range(slots)
+    ]
+    hits = F.array(*[F.when(test, F.col(f"_name{i}")) for i, test in enumerate(inside)])
     return (
-        _against(rows, limits, keys)
-        .where("(_from is null or _x > _from) and (_to is null or _x < _to)")
-        .select("_g", "_target", "_x")
+        beside.where(reduce(Column.__or__, inside))
+        .select("_g", "_x", F.explode(F.array_compact(hits)).alias("_target"))
     )

@@ -60,7 +60,8 @@ def refresh_mart(
     """Rebuild a day-grained mart for the days that changed, and merge it by key.
 
     Whole days are recomputed from silver instead of adding increments, so repeating
-    a refresh, or overlapping two, cannot count an event twice.
+    a refresh, or overlapping two, cannot count an event twice: choose `since` with
+    some slack for clocks that differ.
     """
     if TABLES[name].measured_key:
         raise ValueError(f"{name} has a measure in its key and is reloaded as a whole")
