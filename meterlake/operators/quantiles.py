@@ -28,8 +28,8 @@ from meterlake.session import cut_lineage, stored
 # Values a single ranking task may be handed; always compared with exact counts.
 SMALL_ROWS = 1_000_000
 SKETCH_K = 4000
-GRID = 1000
-MARGIN = 4  # grid cells added on each side for the error of the sketch
+GRID = 2000
+MARGIN = 3  # grid cells added on each side: about twice the error of the sketch
 MERGE_LANES = 64
 
 
