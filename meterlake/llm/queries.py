@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import held_out, table
 from meterlake.llm.exact_dedup import exact_duplicates
 from meterlake.llm.language import identify, train
+from meterlake.llm.packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return pack(table(spark, sf_dir, "documents"), tokenizer, ["doc_id"])
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     said = identify(docs.select("doc_id", "text"), train(docs), ["doc_id"])
@@ -27,6 +34,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Query] = {
+    "op2_packing": op2_packing,
     "op6_language": op6_language,
     "op7_exact_dedup": op7_exact_dedup,
 }
