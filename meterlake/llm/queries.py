@@ -12,6 +12,7 @@ from meterlake.llm.common import held_out, table
 from meterlake.llm.exact_dedup import exact_duplicates
 from meterlake.llm.language import identify, train
 from meterlake.llm.packing import pack
+from meterlake.llm.pii import summarised
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +34,13 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), digest=True).drop("row")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summarised(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op6_language": op6_language,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_pii": op8_pii,
 }
