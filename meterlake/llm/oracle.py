@@ -15,4 +15,39 @@ SELECT doc_id,
 FROM d
 """
 
-LLM_ORACLE: dict[str, str] = {"op7_exact_dedup": OP7}
+OP4 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3),
+                           lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+    FROM words
+), shingles AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id
+        AND 4 * a.n >= 3 * b.n AND 4 * b.n >= 3 * a.n
+    GROUP BY a.doc_id, b.doc_id
+    HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION
+    SELECT reach.x, pairs.y FROM reach JOIN pairs ON reach.y = pairs.x
+), least AS (
+    SELECT x, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT doc_id, len(s) AS n_shingles, component_id
+FROM sets JOIN least ON x = doc_id
+"""
+
+LLM_ORACLE: dict[str, str] = {
+    "op4_ngram_join": OP4,
+    "op7_exact_dedup": OP7,
+}

@@ -13,6 +13,7 @@ from meterlake.llm.exact_dedup import exact_duplicates
 from meterlake.llm.language import identify, train
 from meterlake.llm.packing import pack
 from meterlake.llm.pii import summarised
+from meterlake.llm.shingle_join import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer, ["doc_id"])
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("row", "first_row")
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     said = identify(docs.select("doc_id", "text"), train(docs), ["doc_id"])
@@ -40,6 +45,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
+    "op4_ngram_join": op4_ngram_join,
     "op6_language": op6_language,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_pii": op8_pii,
