@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.llm.byte_bpe import encode
 from meterlake.llm.common import held_out, table
 from meterlake.llm.exact_dedup import exact_duplicates
 from meterlake.llm.language import identify, train
@@ -43,10 +44,17 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarised(table(spark, sf_dir, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents")
+    return encode(docs, ranks, public_tokenizers.PATTERN, ["doc_id"])
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op4_ngram_join": op4_ngram_join,
     "op6_language": op6_language,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_pii": op8_pii,
+    "op10_byte_bpe": op10_byte_bpe,
 }
