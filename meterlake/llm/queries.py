@@ -15,6 +15,7 @@ from meterlake.llm.language import identify, train
 from meterlake.llm.packing import pack
 from meterlake.llm.pii import summarised
 from meterlake.llm.shingle_join import near_duplicates
+from meterlake.llm.top_k import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row", "first_row")
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     said = identify(docs.select("doc_id", "text"), train(docs), ["doc_id"])
@@ -53,6 +58,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op4_ngram_join": op4_ngram_join,
+    "op5_top_k": op5_top_k,
     "op6_language": op6_language,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_pii": op8_pii,
