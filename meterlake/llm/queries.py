@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.llm import language, main_text
 from meterlake.llm.byte_bpe import encode
 from meterlake.llm.common import held_out, table
 from meterlake.llm.exact_dedup import exact_duplicates
-from meterlake.llm.language import identify, train
 from meterlake.llm.packing import pack
 from meterlake.llm.pii import summarised
 from meterlake.llm.shingle_join import near_duplicates
@@ -25,6 +25,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer, ["doc_id"])
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = main_text.extract(pages, main_text.train(pages), ["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row", "first_row")
 
@@ -35,7 +41,7 @@ def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    said = identify(docs.select("doc_id", "text"), train(docs), ["doc_id"])
+    said = language.identify(docs.select("doc_id", "text"), language.train(docs), ["doc_id"])
     return said.select(
         "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "ambiguous"
     )
@@ -57,6 +63,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
+    "op3_main_text": op3_main_text,
     "op4_ngram_join": op4_ngram_join,
     "op5_top_k": op5_top_k,
     "op6_language": op6_language,
