@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from meterlake.llm.licenses import scan_sql
+
 OP7 = r"""
 WITH d AS (
     SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
@@ -69,4 +71,5 @@ LLM_ORACLE: dict[str, str] = {
     "op5_top_k": OP5,
     "op4_ngram_join": OP4,
     "op7_exact_dedup": OP7,
+    "op9_licenses": scan_sql(),
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import language, main_text
+from meterlake.llm import language, licenses, main_text
 from meterlake.llm.byte_bpe import encode
 from meterlake.llm.common import held_out, table
 from meterlake.llm.exact_dedup import exact_duplicates
@@ -55,6 +55,16 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarised(table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select(
+        "doc_id",
+        F.size("sentence_ids").cast("long").alias("n_sentences"),
+        F.array_join("sentence_ids", ",").alias("sentence_ids"),
+        F.array_join("licences", ",").alias("licenses"),
+    )
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents")
@@ -69,5 +79,6 @@ LLM_QUERIES: dict[str, Query] = {
     "op6_language": op6_language,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_pii": op8_pii,
+    "op9_licenses": op9_licenses,
     "op10_byte_bpe": op10_byte_bpe,
 }
