@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import language, licenses, main_text
+from meterlake.llm import language, licenses, main_text, quality
 from meterlake.llm.byte_bpe import encode
 from meterlake.llm.common import held_out, table
 from meterlake.llm.exact_dedup import exact_duplicates
@@ -20,6 +20,17 @@ from meterlake.llm.top_k import top_k
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, ["doc_id"]).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return pack(table(spark, sf_dir, "documents"), tokenizer, ["doc_id"])
@@ -72,6 +83,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op3_main_text": op3_main_text,
     "op4_ngram_join": op4_ngram_join,
