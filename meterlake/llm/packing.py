@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -19,9 +21,9 @@ from meterlake.session import stored
 
 SEQUENCE = 2048
 END_ID = 0
-# Words of one worker are remembered up to this many, then forgotten all at once; words
-# longer than this are not remembered.
-CACHE_WORDS = 400_000
+# Words and stems of one worker are remembered up to this many, then forgotten all at
+# once; longer ones are not remembered.
+CACHE_WORDS = 300_000
 CACHE_LETTERS = 64
 SLICE_CHARS = 1 << 20
 # White space to Python, not to the tokenizer: it would hide characters from it.
@@ -30,11 +32,28 @@ _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _PIECE = "piece int, start long, length long, ids_crc32 long, ids binary"
 
 
+# Marks that end a word when they follow a letter: the tokenizer splits before them. An
+# apostrophe is not among them.
+_MARKS = "".join(
+    c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'"
+)
+# Letters that stand for themselves, whatever is around them, once in lower case.
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers have for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
 class WordEncoder:
     """Ids of a text, word by word, each word tokenized once.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text
-    are those of its words, one after the other.
+    The tokenizer drops white space and never joins across it, so the ids of a text are
+    those of its words, one after the other. Nor does it join a letter with a mark after
+    it, so a word's ids are those of its stem and of the marks at its end.
     """
 
     def __init__(self, path: str):
@@ -42,33 +61,72 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.words: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        """Ids of any text, by the tokenizer's own steps."""
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def plain(self, letters: str) -> bytes:
+        """Ids of plain lower-case letters, which need no preparation."""
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def word(self, word: str) -> bytes:
+        """Ids of a word, of which each stem is tokenized once in any case of letters."""
+        stem = word.rstrip(_MARKS)
+        if not stem.isalpha() or not (stem.isascii() or _PLAIN.fullmatch(stem)):
+            return self.whole(word)
+        tail = word[len(stem) :]
+        key = stem.lower()
+        ids = self.stems.get(key)
+        if ids is None:
+            ids = self.plain(key)
+            if len(key) <= CACHE_LETTERS:
+                self.stems[key] = ids
+        if not tail:
+            return ids
+        more = self.tails.get(tail)
+        if more is None:
+            more = self.whole(tail)
+            if len(tail) <= CACHE_LETTERS:
+                self.tails[tail] = more
+        return ids + more
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
-        words = [None if _odd(t) else t.split() for t in texts]
-        wanted: set[str] = set()
-        for part in words:
-            wanted.update(part or ())
-        if len(self.known) + len(wanted) > CACHE_WORDS:
-            self.known.clear()
-        new = [w for w in wanted if w not in self.known]
-        spare = dict(zip(new, self._ids(new), strict=True)) if new else {}
-        long = {w: spare.pop(w) for w in new if len(w) > CACHE_LETTERS}
-        self.known.update(spare)
-        ids = []
-        for text, part in zip(texts, words, strict=True):
-            if part is None:
-                ids.append(self._ids([text])[0])
-            elif long:
-                ids.append(b"".join([long[w] if w in long else self.known[w] for w in part]))
+        for cache in (self.words, self.stems, self.tails):
+            if len(cache) > CACHE_WORDS:
+                cache.clear()
+        known = self.words
+        for text in texts:
+            if _odd(text):
+                yield self.whole(text)
+                continue
+            parts = text.split()
+            long = {}
+            for word in set(parts).difference(known):
+                (known if len(word) <= CACHE_LETTERS else long)[word] = self.word(word)
+            if long:
+                yield b"".join([long[w] if w in long else known[w] for w in parts])
             else:
-                ids.append(b"".join(map(self.known.__getitem__, part)))
-        return ids
+                yield b"".join(map(known.__getitem__, parts))
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder_of(path: str) -> WordEncoder:
+    """This worker's encoder for a tokenizer file."""
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 def _odd(text: str) -> bool:
@@ -89,7 +147,7 @@ def tokenized(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         task = TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
         end = np.array([END_ID], dtype="<u4").tobytes()
