@@ -241,10 +241,9 @@ def _judged(slice_: pa.Table) -> pa.Table:
 # --- step 3: clusters ------------------------------------------------------------------
 
 _STAR = pa.schema(
-    [("part", pa.int64()), ("slice", pa.int64()), ("u", pa.int64()), ("v", pa.int64()),
-     ("data", pa.binary())]
+    [("part", pa.int64()), ("slice", pa.int64()), ("data", pa.binary())]
 )
-_STAR_SQL = "part long, slice long, u long, v long, data binary"
+_STAR_SQL = "part long, slice long, data binary"
 _SETS = pa.schema(
     [("row", pa.int64()), ("slice", pa.int64()), ("n", pa.int64()), ("hashes", pa.binary())]
 )
@@ -281,7 +280,7 @@ def _slice_counts(parts: int) -> Callable[[pa.Table], pa.Table]:
         n = n.astype("<u2")
         return _table(
             [
-                (part, number, None, None, _packed(high[a:b], low[a:b], n[a:b]))
+                (part, number, _packed(high[a:b], low[a:b], n[a:b]))
                 for part, a, b in _cut(every, _bounds(parts, 1 << 64))
             ],
             _STAR,
@@ -301,7 +300,7 @@ def _totals(part: pa.Table) -> pa.Table:
     parts, slices = (part.column(c).to_pylist() for c in ("part", "slice"))
     return _table(
         [
-            (parts[k], slices[k], None, None, _packed(total[a:b]))
+            (parts[k], slices[k], _packed(total[a:b]))
             for k, (a, b) in enumerate(zip(at, at[1:], strict=False))
         ],
         _STAR,
@@ -336,13 +335,13 @@ def _stars(parts: int) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
         first = np.flatnonzero(new)
         least = np.repeat(doc[first], np.diff(np.append(first, len(token))))
         edges = np.unique(np.stack([doc, least], axis=1)[doc != least], axis=0)
-        own_part = -1 - key[0].as_py()
-        out = [(own_part, None, u, v, None) for u, v in edges.tolist()]
+        number = key[0].as_py()
+        out = [(-1 - number, number, _packed(edges[:, 0], edges[:, 1]))]
         token, doc = token[first], doc[first]
         abroad = total[token] > local[token]
         token, doc = every[token[abroad]], doc[abroad].astype("<i8")
         out += [
-            (part, None, None, None, _packed(token[a:b], doc[a:b]))
+            (part, None, _packed(token[a:b], doc[a:b]))
             for part, a, b in _cut(token, _bounds(parts, 1 << 64))
         ]
         return _table(out, _STAR)
@@ -351,9 +350,12 @@ def _stars(parts: int) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
 
 
 def _joined_stars(part: pa.Table) -> pa.Table:
-    """Edges from the least sets of slices to the least one of all, by shingle."""
-    if part.column("data").null_count:
-        return part.select(["u", "v"])
+    """Edges from the least sets of slices to the least one of all, by shingle; the
+    edges of one slice as they are."""
+    if not part.column("slice").null_count:
+        found = [_unpacked(x.as_buffer(), "<i8", "<i8") for x in part.column("data")]
+        ends = [pa.array(np.concatenate([x[k] for x in found])) for k in (0, 1)]
+        return pa.Table.from_arrays(ends, schema=_EDGES)
     found = [_unpacked(x.as_buffer(), "<u8", "<i8") for x in part.column("data")]
     token, doc = (np.concatenate([x[k] for x in found]) for k in (0, 1))
     order = np.lexsort((doc, token))
