@@ -1,6 +1,6 @@
 """Run the lakehouse from a landing folder, then print evidence and sample answers.
 
-    spark-submit --py-files ... -m meterlake LANDING ROOT [--ingest-date 2025-08-31]
+    python -m meterlake LANDING ROOT [--ingest-date 2025-08-31] [--exact-profile]
 """
 
 from __future__ import annotations
@@ -24,10 +24,11 @@ def main() -> None:
     parser.add_argument("--ingest-date", type=dt.date.fromisoformat)
     parser.add_argument("--buckets", type=int, default=64)
     parser.add_argument("--shuffle-partitions", type=int)
+    parser.add_argument("--exact-profile", action="store_true")
     args = parser.parse_args()
 
     spark = build_session("meterlake", args.master, args.shuffle_partitions)
-    lake = Lakehouse(spark, args.landing, args.root, args.buckets)
+    lake = Lakehouse(spark, args.landing, args.root, args.buckets, args.exact_profile)
     lake.run(args.ingest_date)
 
     def show(title: str, df, rows: int = 20) -> None:

@@ -325,10 +325,7 @@ _BODIES = {
     "stream_daily_window": """select cast(event_date as varchar) as event_date, service,
         round(sum(cost_usd), 6) as cost_usd,
         cast(sum(genai_tokens) as bigint) as genai_tokens, count(*) as event_count
-        from clean
-        where event_date + interval 1 day
-              <= (select max(ts) - interval 1 hour from clean)
-        group by event_date, service""",
+        from clean group by event_date, service""",
     "stream_mart_refresh": _DAILY,
     "upsert_merge": """select org_id, cast(event_date as varchar) as event_date,
         service, round(sum(cost_usd), 6) as cost_usd,
@@ -337,6 +334,14 @@ _BODIES = {
     "reload_snapshot": """select org_id, round(total_cost_usd, 6) as total_cost_usd,
         service, org_name from cost_14d""",
     "serving_counts": _counts(_SERVING_COUNTS),
+    "first_org": "select min(org_id) as org_id from daily",
+    "master_audit": """select cast(org_id as varchar) as org_id,
+        '2024-02-01' as ingest_date, true as landed, true as stamped from org""",
+    "master_quarantine": """select org_name,
+        case when org_id % 7 = 0 then 'org_id_null' else 'accepted' end as dq_rule,
+        '2024-02-01' as ingest_date from org""",
+    "zone_size": """select count(distinct event_date) as partitions, true as adds_up
+        from clean""",
     "zone_manifest": _counts(_ZONE_COUNTS),
     "rerun_stability": """select zone, rows as first_rows, rows as second_rows,
         true as stable from (
@@ -347,6 +352,44 @@ _BODIES = {
         count(*) as rows, true as stored from clean group by event_date""",
 }
 
+# The same question asked in another way, or in two ways at once.
+_BODIES["enrich_usage_spread"] = _BODIES["enrich_usage"]
+_BODIES["outlier_flags_levels"] = _BODIES["outlier_flags"]
+_BODIES["upsert_retry"] = _BODIES["upsert_merge"]
+_BODIES["service_statistics_levels"] = (
+    _BODIES["service_statistics"]
+    + """ union all select null, count(cost_usd), round(avg(cost_usd), 6),
+        round(stddev_samp(cost_usd), 6), null, null, null, null from clean"""
+)
+_BODIES["stream_future_event"] = (
+    _BODIES["stream_dedupe"]
+    + " union all select '-1', '1', 'signup', '2099-01-01', 1.0::double, null"
+)
+
+
+def _asked_twice(every: str, one: str) -> str:
+    return f"select *, 'all' as asked from ({every}) union all select *, 'one' from ({one})"
+
+
+_BUSIEST = " where org_id = (select org_id from busiest_events)"
+_BODIES |= {
+    "serving_daily_range": _asked_twice(
+        _BODIES["q_daily_range"], _BODIES["q_daily_range_one_org"]
+    ),
+    "serving_top_services": _asked_twice(
+        _BODIES["q_top_services"], _BODIES["q_top_services_one_org"]
+    ),
+    "serving_tickets": _asked_twice(_BODIES["q_tickets"], _BODIES["q_tickets_busiest_org"]),
+    "serving_revenue": _asked_twice(_BODIES["q_revenue"], _BODIES["q_revenue"] + _BUSIEST),
+    "serving_genai": _asked_twice(
+        _BODIES["q_genai"],
+        _BODIES["q_genai"] + " and org_id = (select org_id from busiest_events)",
+    ),
+    "serving_anomalies": _asked_twice(
+        _BODIES["q_worst_anomalies"], _BODIES["q_worst_anomalies_one_org"]
+    ),
+}
+
 ORACLE: dict[str, str] = {
     name: f"with {_VIEWS.strip()}\n{body}" for name, body in _BODIES.items()
 }

@@ -25,16 +25,22 @@ from meterlake.operators.outliers import (
     service_profile,
 )
 from meterlake.operators.ranking import busiest
+from meterlake.operators.upsert import READY, merged, note
 from meterlake.plans import questions, reports
-from meterlake.plans.serving import ServingStore
+from meterlake.plans.serving import BUCKET, TABLES, ServingStore
 from meterlake.session import pin_utc, scratch_path
 from meterlake.sources import fixtures
 from meterlake.sources.events import scan_lines, typed_events
-from meterlake.sources.masters import current_master, ingest_masters, scan_master
+from meterlake.sources.masters import (
+    current_master,
+    ingest_masters,
+    rejected_master,
+    scan_master,
+)
 from meterlake.sources.schemas import MASTERS
 from meterlake.sources.zones import read_zone, write_snapshot
 from meterlake.streaming.ingest import ingest_events
-from meterlake.streaming.marts import refresh_mart, windowed_usage
+from meterlake.streaming.marts import complete_windows, refresh_mart, windowed_usage
 from meterlake.streaming.runs import append_to, finish
 from meterlake.streaming.silver import start_silver, stream_zone
 
@@ -222,6 +228,14 @@ def enrich_usage(t: Inputs) -> DataFrame:
     return plain(t.enriched.select(*EVENT_COLUMNS, *attributes))
 
 
+@query
+def enrich_usage_spread(t: Inputs) -> DataFrame:
+    """The shuffle join with heavy keys spread, whatever the size of the lookup."""
+    attributes = ("org_name", "plan_tier", "industry", "hq_region")
+    spread = enrich(t.clean, t.org, max_bytes=0)
+    return plain(spread.select(*EVENT_COLUMNS, *attributes))
+
+
 @query
 def unknown_org_events(t: Inputs) -> DataFrame:
     lost = t.enriched.where("org_name is null")
@@ -236,6 +250,15 @@ def service_statistics(t: Inputs) -> DataFrame:
     return plain(t.profile)
 
 
+@query
+def service_statistics_levels(t: Inputs) -> DataFrame:
+    """By sketches, counts and narrowing alone; all events once more without a service,
+    which are counted and have no quantiles.
+    """
+    nameless = t.clean.withColumn("service", F.lit(None).cast("string"))
+    return plain(service_profile(t.clean.unionByName(nameless), small_rows=0))
+
+
 @query
 def outlier_scores(t: Inputs) -> DataFrame:
     scores = [f"score_{m}" for m in DETECTORS]
@@ -248,6 +271,15 @@ def outlier_flags(t: Inputs) -> DataFrame:
     return plain(t.silver.select("event_id", *flags, "cost_anomaly_flag"))
 
 
+@query
+def outlier_flags_levels(t: Inputs) -> DataFrame:
+    """Flags against a profile taken in levels, joined by shuffle."""
+    profile = service_profile(t.clean, small_rows=0)
+    silver = score_against(t.enriched, profile, max_bytes=0)
+    flags = [f"flag_{m}" for m in DETECTORS]
+    return plain(silver.select("event_id", *flags, "cost_anomaly_flag"))
+
+
 @query
 def outlier_union_flag(t: Inputs) -> DataFrame:
     flagged = flag_outside_band(t.clean)
@@ -337,6 +369,11 @@ def busiest_org_30d(t: Inputs) -> DataFrame:
     return questions.busiest_org(t.ticket_days, as_of=t.newest_ticket)
 
 
+@query
+def first_org(t: Inputs) -> DataFrame:
+    return questions.first_org(t.daily_cost)
+
+
 @query
 def q_tickets(t: Inputs) -> DataFrame:
     since = F.date_sub(t.newest_ticket, 29)
@@ -445,6 +482,38 @@ def latest_snapshot(t: Inputs) -> DataFrame:
     return plain(snapshot.drop("ingest_ts", "source_file"))
 
 
+@query
+def master_audit(t: Inputs) -> DataFrame:
+    """What a snapshot says about where its rows came from."""
+    landing, bronze = t.scratch("landing"), t.scratch("bronze")
+    _land_orgs(t.org, landing)
+    ingest_masters(t.spark, landing, bronze, dt.date(2024, 2, 1), ["customers_orgs"])
+    snapshot = current_master(t.spark, bronze, "customers_orgs")
+    folder = landing.rsplit("/", 1)[-1]
+    return plain(
+        snapshot.select(
+            "org_id",
+            "ingest_date",
+            F.col("source_file").contains(f"{folder}/customers_orgs.csv").alias("landed"),
+            F.col("ingest_ts").isNotNull().alias("stamped"),
+        )
+    )
+
+
+@query
+def master_quarantine(t: Inputs) -> DataFrame:
+    """Every seventh organisation is delivered without its id; all of them are kept."""
+    landing, bronze = t.scratch("landing"), t.scratch("bronze")
+    _land_orgs(t.org.withColumn("org_id", F.expr("if(org_id % 7 = 0, null, org_id)")), landing)
+    ingest_masters(t.spark, landing, bronze, dt.date(2024, 2, 1), ["customers_orgs"])
+    accepted = current_master(t.spark, bronze, "customers_orgs").withColumn(
+        "dq_rule", F.lit("accepted")
+    )
+    shown = ["org_name", "dq_rule", "ingest_date"]
+    lost = rejected_master(t.spark, bronze, "customers_orgs")
+    return plain(accepted.select(*shown).unionByName(lost.select(*shown)))
+
+
 # -- streaming ------------------------------------------------------------------
 
 
@@ -496,6 +565,29 @@ def stream_dedupe(t: Inputs) -> DataFrame:
     )
 
 
+@query
+def stream_future_event(t: Inputs) -> DataFrame:
+    """One file per batch, and first of all an event dated far in the future."""
+    lines = t.spark.read.text(f"{_land_events(t)}/*")
+    future = (
+        '{"event_id": -1, "timestamp": "2099-01-01T00:00:00.000000", "org_id": 1,'
+        ' "service": "signup", "cost_usd_increment": 1.0}'
+    )
+    landing, bronze = t.scratch("landing"), t.scratch("bronze")
+    t.spark.range(1).select(F.lit(future).alias("value")).write.text(f"{landing}/first")
+    lines.repartition(3, F.xxhash64("value")).write.text(f"{landing}/second")
+    ingest_events(
+        t.spark, f"{landing}/*", bronze, t.scratch("checkpoints"), files_per_trigger=1
+    )
+    events = read_zone(t.spark, bronze).where("event_id is not null")
+    return plain(
+        events.select(
+            "event_id", "org_id", "service", "event_date", "cost_usd_increment",
+            "genai_tokens",
+        )
+    )
+
+
 @query
 def malformed_rescue(t: Inputs) -> DataFrame:
     """Outcome of lines with quoted numbers, unreadable cells and cut-off lines."""
@@ -562,15 +654,16 @@ def stream_scored(t: Inputs) -> DataFrame:
 
 @query
 def stream_daily_window(t: Inputs) -> DataFrame:
-    """Days closed by the watermark, per service. The zone is replayed in one batch, so
-    that the order of its files cannot make rows late.
+    """Totals per day and service. Files hold events of all days and come one by one, so
+    most of them are late for the stream; the windows it lacks are completed.
     """
-    zone = _bronze_zone(t.clean)
+    zone = _bronze_zone(t.clean.repartition(4, F.xxhash64("event_id", "timestamp")))
     out = t.scratch("windows")
-    stream = windowed_usage(stream_zone(t.spark, zone, files_per_trigger=None))
+    stream = windowed_usage(stream_zone(t.spark, zone, files_per_trigger=1))
     finish(append_to(stream, out, t.scratch("checkpoints")))
+    emitted = read_zone(t.spark, out, stream.schema)
     return plain(
-        read_zone(t.spark, out).select(
+        complete_windows(emitted, read_zone(t.spark, zone)).select(
             F.to_date("window_start").alias("event_date"), "service", "cost_usd",
             "genai_tokens", "event_count",
         )
@@ -617,6 +710,100 @@ def upsert_merge(t: Inputs) -> DataFrame:
     )
 
 
+@query
+def upsert_retry(t: Inputs) -> DataFrame:
+    """The same load, interrupted while its partitions were swapped: a bucket is gone,
+    the merged rows are complete. The next load puts it right.
+    """
+    store = t.store()
+    name = "org_daily_usage_by_service"
+    path, staging = store.path(name), store.staging(name)
+    before = marts.daily_usage(t.unscored.where("metric <> 'requests'"))
+    later = marts.daily_usage(t.unscored.where("schema_version = 2"))
+    store.load(name, before)
+    whole = store.laid_out(name, before)
+    torn = t.scratch("torn")
+    whole.where(F.col(BUCKET) != 0).write.parquet(torn)
+    merged(whole, store.laid_out(name, later), TABLES[name].keys).write.parquet(
+        f"{staging}/interrupted/merged"
+    )
+    note(t.spark, staging, "interrupted", READY)
+    write_snapshot(read_zone(t.spark, torn), path, BUCKET)
+    store.load(name, later)
+    return plain(
+        store.table(name).select(
+            "org_id", "event_date", "service", "cost_usd", "requests", "event_count"
+        )
+    )
+
+
+def _asked_twice(every: DataFrame, one: DataFrame) -> DataFrame:
+    """Answers for all organisations and for one, side by side."""
+    return every.withColumn("asked", F.lit("all")).unionByName(
+        one.withColumn("asked", F.lit("one"))
+    )
+
+
+@query
+def serving_daily_range(t: Inputs) -> DataFrame:
+    store = t.store()
+    store.load("org_daily_usage_by_service", marts.daily_usage(t.unscored))
+    start = F.trunc(t.newest_usage, "month")
+    first = t.clean.select(F.min("event_date")).scalar()
+    return plain(
+        _asked_twice(
+            store.daily_range(None, start, F.date_add(start, 14)),
+            store.daily_range(t.busiest_by_events, first, t.newest_usage),
+        )
+    )
+
+
+@query
+def serving_top_services(t: Inputs) -> DataFrame:
+    store = t.store()
+    store.load("org_service_cost_14d", t.cost_14d)
+    one = store.top_services(t.busiest_by_events, 3)
+    return plain(_asked_twice(store.top_services(None, 3), one))
+
+
+@query
+def serving_tickets(t: Inputs) -> DataFrame:
+    store = t.store()
+    store.load("tickets_by_org_date", t.ticket_days)
+    since = F.date_sub(t.newest_ticket, 29)
+    org = questions.busiest_org(t.ticket_days, as_of=t.newest_ticket)
+    one = store.tickets(org.select("org_id").scalar(), since)
+    return plain(_asked_twice(store.tickets(None, since), one))
+
+
+@query
+def serving_revenue(t: Inputs) -> DataFrame:
+    store = t.store()
+    store.load("revenue_by_org_month", marts.revenue_by_month(t.billing))
+    answers = _asked_twice(store.revenue(None), store.revenue(t.busiest_by_events))
+    return plain(answers, REVENUE_DIGITS)
+
+
+@query
+def serving_genai(t: Inputs) -> DataFrame:
+    store = t.store()
+    daily = marts.genai_from_daily(t.daily_cost, fixtures.GENAI_SERVICE)
+    store.load("genai_tokens_by_org_date", daily)
+    since = F.date_sub(t.newest_usage, 13)
+    one = store.genai(t.busiest_by_events, since)
+    return plain(_asked_twice(store.genai(None, since), one))
+
+
+@query
+def serving_anomalies(t: Inputs) -> DataFrame:
+    store = t.store()
+    store.load("cost_anomaly_by_org_date", t.anomalies)
+    org = busiest(t.anomalies, "org_id", "event_count").select("org_id").scalar()
+    return _spelled_out(
+        _asked_twice(store.worst_anomalies(None, 2), store.worst_anomalies(org, 10))
+    )
+
+
 @query
 def reload_snapshot(t: Inputs) -> DataFrame:
     """Trailing cost as of a week ago, replaced by that of the newest day."""
@@ -701,7 +888,12 @@ def partition_report(t: Inputs) -> DataFrame:
 
 @query
 def zone_size(t: Inputs) -> DataFrame:
-    """Partitions, files and bytes of the silver zone; sizes depend on the writer."""
+    """Partitions of the silver zone, and whether its files and bytes, which depend on
+    the writer, are those of its partitions together.
+    """
     path = t.scratch("silver")
     write_snapshot(t.clean, path, "event_date")
-    return reports.zone_size(reports.partition_report(t.spark, path, "event_date"))
+    report = reports.partition_report(t.spark, path, "event_date")
+    added = report.select(F.sum("bytes")).scalar() == F.col("bytes")
+    some = F.col("files") >= F.col("partitions")
+    return reports.zone_size(report).select("partitions", (added & some).alias("adds_up"))

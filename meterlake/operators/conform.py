@@ -22,8 +22,8 @@ def conform(events: DataFrame) -> DataFrame:
         {
             "event_date": F.to_date("timestamp"),
             "cost_usd": F.col("cost_usd_increment"),
-            "requests": F.expr("if(metric = 'requests', value, null)"),
-            "genai_tokens": F.ifnull("genai_tokens", F.lit(0).cast("bigint")),
+            "requests": F.when(F.col("metric") == "requests", F.col("value")),
+            "genai_tokens": F.coalesce("genai_tokens", F.lit(0).cast("bigint")),
         }
     )
 

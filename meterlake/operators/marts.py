@@ -17,6 +17,7 @@ from meterlake.operators.outliers import DETECTORS
 COST_WINDOW_DAYS = 14
 GENAI_SERVICE = "genai"
 
+# The columns of the marts, here and in the groupings below.
 DAILY_KEYS = ("org_id", "service", "event_date")
 
 
@@ -164,6 +165,19 @@ def genai_by_day(silver: DataFrame, service: str = GENAI_SERVICE) -> DataFrame:
     )
 
 
+def genai_from_daily(daily: DataFrame, service: str = GENAI_SERVICE) -> DataFrame:
+    """The same from the daily mart, which holds all its measures already."""
+    return (
+        daily.where(F.col("service") == service)
+        .groupBy("org_id", "event_date")
+        .agg(
+            F.sum("genai_tokens").alias("total_tokens"),
+            F.sum("cost_usd").alias("cost_usd"),
+            F.sum("event_count").alias("event_count"),
+        )
+    )
+
+
 def anomaly_by_day(silver: DataFrame) -> DataFrame:
     """Organisation x service x day, flagged events only.
 
@@ -171,19 +185,13 @@ def anomaly_by_day(silver: DataFrame) -> DataFrame:
     keys of that map, and `anomaly_score` is the greatest value in it. That last one
     ranks unit-free scores next to amounts of money, which is kept as specified.
     """
-    strongest = [
-        F.max(F.when(F.col(f"flag_{m}"), F.col(f"score_{m}"))).alias(m)
-        for m in DETECTORS
-    ]
+    strongest = {
+        m: (F.max(F.when(F.col(f"flag_{m}"), F.col(f"score_{m}"))), F.max) for m in DETECTORS
+    }
     every = F.create_map(*[c for m in DETECTORS for c in (F.lit(m), F.col(m))])
+    flagged = silver.where("cost_anomaly_flag")
     return (
-        silver.where("cost_anomaly_flag")
-        .groupBy(*DAILY_KEYS)
-        .agg(
-            *strongest,
-            F.count("*").alias("event_count"),
-            F.max("org_name").alias("org_name"),
-        )
+        rollup(flagged, list(DAILY_KEYS), strongest | {"event_count": _count()}, ["org_name"])
         .withColumn("scores", F.map_filter(every, lambda _, v: v.isNotNull()))
         .select(
             *DAILY_KEYS,

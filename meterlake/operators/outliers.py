@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterlake.operators.joins import BROADCAST_BYTES, lookup_join
 from meterlake.operators.quantiles import SMALL_ROWS, exact_quantiles
-from meterlake.session import cut_lineage
+from meterlake.session import cut_lineage, stored
 
 # Thresholds of the detectors and the quantiles of the band.
 NEGATIVE_COST = -0.01
@@ -46,7 +46,9 @@ def service_band(
 
 
 def _costs(events: DataFrame) -> DataFrame:
-    return events.select("service", F.col("cost_usd").cast("double").alias("cost_usd"))
+    """Service and cost; a cost that is no number is none, here as in the quantiles."""
+    cost = F.col("cost_usd").cast("double")
+    return events.select("service", F.when(~F.isnan(cost), cost).alias("cost_usd"))
 
 
 def service_profile(
@@ -56,8 +58,11 @@ def service_profile(
 
     The band, plus the median absolute deviation from the median. `exact=False`
     takes quantiles from Spark's approximate aggregate instead: fewer passes, and a
-    bounded rank error.
+    bounded rank error. The exact ones take several passes, over a stored table of the
+    two columns they need.
     """
+    if exact:
+        events = stored(_costs(events), "costs")
     band = service_band(events, exact, small_rows)
     medians = band.select("service", "p50")
     spread = lookup_join(_costs(events), medians, "service").select(

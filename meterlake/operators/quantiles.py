@@ -46,8 +46,8 @@ def exact_quantiles(
     `n_values`, and one column per entry of `probs`, each the least value whose rank
     reaches p * n_values.
 
-    Null and NaN values are skipped. The null group is counted but gets no quantiles
-    beyond the small size, since nothing can be joined to it anyway. `groups` may give
+    Null and NaN values are skipped. The null group is counted but gets no quantiles,
+    whatever the size, since nothing can be joined to it anyway. `groups` may give
     the counts (`by`, `n_values`) if they are known, and saves a pass.
     """
     x = F.when(~F.isnan(value), F.col(value).cast("double"))
@@ -60,9 +60,12 @@ def exact_quantiles(
             F.expr(f"percentile_disc({p}D) within group (order by _x)").alias(name)
             for name, p in probs.items()
         ]
-        return measured.agg(*counted, *sorted_lists)
+        named = F.col(by).isNotNull()
+        return measured.agg(*counted, *sorted_lists).withColumns(
+            {name: F.when(named, F.col(name)) for name in probs}
+        )
 
-    wanted = groups.select(
+    wanted = groups.dropna(subset=[by]).select(
         F.col(by).alias("_g"),
         F.explode(F.array(*[_want(n, p) for n, p in probs.items()])).alias("_w"),
     ).select("_g", "_w.*")

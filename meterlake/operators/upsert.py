@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.operators.dedupe import one_row_per_key
@@ -29,6 +31,45 @@ def merged(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFra
     return left.join(right, same, "left_anti").unionByName(incoming)
 
 
+JOURNAL = "load string, state string, at timestamp"
+READY, DONE = "ready", "done"
+
+
+def note(spark: SparkSession, staging: str, load: str, state: str) -> None:
+    """Write to the journal how far a load has come."""
+    row = spark.range(1).select(
+        F.lit(load).alias("load"), F.lit(state).alias("state"), F.current_timestamp().alias("at")
+    )
+    row.write.mode("append").parquet(f"{staging}/journal")
+
+
+def unfinished_loads(spark: SparkSession, staging: str) -> list[str]:
+    """Loads whose merged rows are complete but may not have reached the table."""
+    if not table_exists(spark, f"{staging}/journal"):
+        return []
+    notes = read_zone(spark, f"{staging}/journal", JOURNAL)
+    open_ = notes.groupBy("load").agg(
+        F.min("at").alias("at"), F.bool_or(F.col("state") == DONE).alias("done")
+    )
+    return [r["load"] for r in open_.where("not done").orderBy("at", "load").collect()]
+
+
+def finish_loads(
+    spark: SparkSession,
+    path: str,
+    staging: str,
+    partition_by: str,
+    sort_within: list[Column | str] | None = None,
+) -> None:
+    """Write the merged rows of loads that were interrupted. They hold their partitions
+    whole, so this puts right a table that was left without some of them.
+    """
+    for load in unfinished_loads(spark, staging):
+        rows = read_zone(spark, f"{staging}/{load}/merged")
+        write_partitions(rows, path, partition_by, sort_within)
+        note(spark, staging, load, DONE)
+
+
 def upsert(
     incoming: DataFrame,
     path: str,
@@ -38,32 +79,43 @@ def upsert(
     version: str | None = None,
     sort_within: list[Column | str] | None = None,
     unique: bool = False,
+    replaces: Column | None = None,
 ) -> None:
     """Merge `incoming` into the table at `path`; the last write per key stays.
 
     `unique` states that `incoming` has each key once, as grouped results do, and
-    saves looking for repeated ones.
+    saves looking for repeated ones. `replaces` is a condition on stored rows that
+    `incoming` recomputes: those of them it no longer has go.
 
-    Only partitions that `incoming` touches are read and rewritten. The result goes
-    to `staging` first, because a table cannot be overwritten while it is read; a
-    failure between the two steps leaves the complete rows there.
+    Only partitions that `incoming` touches are read and rewritten, or all with rows
+    that it replaces. The merged rows go to a folder of their own below `staging` first,
+    because a table cannot be overwritten while it is read, and a journal there says
+    when they are complete. Swapping partitions is not atomic: a load that was
+    interrupted is finished by the next one before it reads the table. One load at a
+    time may write a table.
     """
     spark = incoming.sparkSession
+    finish_loads(spark, path, staging, partition_by, sort_within)
     fresh = incoming if unique else latest_per_key(incoming, keys, version)
     if not table_exists(spark, path):
         write_partitions(fresh, path, partition_by, sort_within)
         return
+    load = uuid.uuid4().hex
     # computed once, then read twice: for the touched partitions and for the merge
-    fresh.write.mode("overwrite").parquet(f"{staging}/incoming")
-    fresh = read_zone(spark, f"{staging}/incoming")
+    fresh.write.parquet(f"{staging}/{load}/incoming")
+    fresh = read_zone(spark, f"{staging}/{load}/incoming", fresh.schema)
+    existing = read_zone(spark, path, fresh.schema)
     # one value per touched partition: bounded by the number of partitions
-    touched = [r[0] for r in fresh.select(partition_by).distinct().collect()]
+    parts = fresh.select(partition_by)
+    if replaces is not None:
+        parts = parts.union(existing.where(replaces).select(partition_by))
+    touched = [r[0] for r in parts.distinct().collect()]
     if not touched:
         return
-    existing = read_zone(spark, path, fresh.schema)
     affected = existing.where(F.col(partition_by).isin(touched))
+    if replaces is not None:
+        affected = affected.where(~F.coalesce(replaces, F.lit(False)))
     result = merged(affected, fresh, keys)
-    result.write.mode("overwrite").parquet(f"{staging}/merged")
-    write_partitions(
-        read_zone(spark, f"{staging}/merged"), path, partition_by, sort_within
-    )
+    result.write.parquet(f"{staging}/{load}/merged")
+    note(spark, staging, load, READY)
+    finish_loads(spark, path, staging, partition_by, sort_within)

@@ -29,6 +29,7 @@ class Lakehouse:
     landing: str
     root: str
     buckets: int = 64
+    exact_profile: bool = False
 
     def at(self, zone: str) -> str:
         return f"{self.root.rstrip('/')}/{zone}"
@@ -92,7 +93,7 @@ class Lakehouse:
         tagged = tag_quality(conform(self.bronze_events()))
         write_snapshot(rejected(tagged), self.quarantine, "event_date")
         clean = accepted(tagged)
-        write_snapshot(service_profile(clean), self.profile)
+        write_snapshot(service_profile(clean, self.exact_profile), self.profile)
         orgs = current_master(self.spark, self.bronze, "customers_orgs")
         scored = score_against(enrich(clean, orgs), self.read(self.profile))
         write_snapshot(scored, self.silver, "event_date")
@@ -109,14 +110,18 @@ class Lakehouse:
             "revenue_by_org_month": marts.revenue_by_month(
                 current_master(self.spark, self.bronze, "billing_monthly")
             ),
-            "genai_tokens_by_org_date": marts.genai_by_day(silver),
+            "genai_tokens_by_org_date": marts.genai_from_daily(self.read(daily)),
+            "revenue_per_invoice": marts.revenue_per_invoice(
+                current_master(self.spark, self.bronze, "billing_monthly")
+            ),
             "cost_anomaly_by_org_date": marts.anomaly_by_day(silver),
         }.items():
             write_snapshot(mart, self.gold(name))
 
     def load_serving(self) -> None:
+        """The marts are recomputed as a whole, so the tables are replaced as a whole."""
         for name in TABLES:
-            self.serving.load(name, self.read(self.gold(name)))
+            self.serving.load(name, self.read(self.gold(name)), whole=True)
 
     def newest_day(self) -> dt.date:
         daily = self.read(self.gold("org_daily_usage_by_service"))

@@ -112,30 +112,45 @@ class ServingStore:
     def _bucket(self, org_id: Column) -> Column:
         return F.pmod(F.xxhash64(org_id), F.lit(self.buckets)).cast("int")
 
-    def _laid_out(self, mart: DataFrame, table: ServingTable) -> DataFrame:
+    def staging(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/_staging/{name}"
+
+    def laid_out(self, name: str, mart: DataFrame) -> DataFrame:
+        """A mart's rows as its table holds them, with their bucket."""
+        table = TABLES[name]
         rows = mart.withColumn("org_id", F.col("org_id").cast(self.org_type))
         return rows.withColumn(BUCKET, self._bucket(F.col("org_id"))).to(
             table.schema(self.org_type)
         )
 
-    def load(self, name: str, mart: DataFrame, unique: bool = True) -> None:
+    def load(
+        self,
+        name: str,
+        mart: DataFrame,
+        unique: bool = True,
+        whole: bool = False,
+        replaces: Column | None = None,
+    ) -> None:
         """Bring a mart into its serving table: merge by key, or reload the table if
         its key holds a measure. Loading the same mart again changes nothing. Marts
-        have each key once; rows that may repeat keys need `unique=False`.
+        have each key once; rows that may repeat keys need `unique=False`. A mart that
+        was recomputed as a `whole` takes the place of the table; one recomputed for
+        the rows with `replaces` takes theirs.
         """
         table = TABLES[name]
-        rows = self._laid_out(mart, table)
-        if table.measured_key:
+        rows = self.laid_out(name, mart)
+        if table.measured_key or whole:
             write_snapshot(rows, self.path(name), BUCKET, table.order())
         else:
             upsert(
                 rows,
                 self.path(name),
-                f"{self.root.rstrip('/')}/_staging/{name}",
+                self.staging(name),
                 table.keys,
                 BUCKET,
                 sort_within=table.order(),
                 unique=unique,
+                replaces=replaces,
             )
 
     def table(self, name: str, org_id: Any = None) -> DataFrame:

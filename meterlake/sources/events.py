@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -74,11 +76,15 @@ def _parsed(field: StructField) -> Column:
     raw = _text(field.name)
     if isinstance(field.dataType, StringType):
         return raw
-    if isinstance(field.dataType, LongType):
+    if isinstance(field.dataType, (LongType, IntegerType)):
         # "5.0" is still the whole number five
         number = raw.try_cast("decimal(38,6)")
-        whole = F.when(number == F.floor(number), number.try_cast("bigint"))
-        return F.coalesce(raw.try_cast("bigint"), whole)
+        whole = F.when(number == F.floor(number), number.try_cast(field.dataType))
+        return F.coalesce(raw.try_cast(field.dataType), whole)
+    if isinstance(field.dataType, DoubleType):
+        # "NaN" and "Infinity" are no measurements
+        number = raw.try_cast("double")
+        return F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
     return raw.try_cast(field.dataType)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.operators.dedupe import one_row_per_key
+from meterlake.operators.quality import REASON
 from meterlake.sources.schemas import MASTERS, Master
 from meterlake.sources.zones import latest_snapshot, read_zone, write_partitions
 
@@ -48,9 +49,24 @@ def snapshot_master(
     landing: str,
     ingest_date: dt.date | None = None,
 ) -> DataFrame:
-    """The deduplicated, stamped snapshot of one master."""
+    """The deduplicated, stamped snapshot of one master; rows without a key are not in
+    it, see `keyless_rows`.
+    """
+    rows = with_audit(scan_master(spark, master, landing), ingest_date)
+    keys = list(master.keys)
+    return one_row_per_key(rows.dropna(subset=keys), keys)
+
+
+def keyless_rows(
+    spark: SparkSession,
+    master: Master,
+    landing: str,
+    ingest_date: dt.date | None = None,
+) -> DataFrame:
+    """Rows of a master that have no key, every one of them, with the reason."""
     rows = with_audit(scan_master(spark, master, landing), ingest_date)
-    return one_row_per_key(rows, list(master.keys))
+    missing = [F.when(F.col(k).isNull(), F.lit(f"{k}_null")) for k in master.keys]
+    return rows.withColumn(REASON, F.coalesce(*missing)).where(F.col(REASON).isNotNull())
 
 
 def ingest_masters(
@@ -60,9 +76,16 @@ def ingest_masters(
     ingest_date: dt.date | None = None,
     names: list[str] | None = None,
 ) -> list[str]:
-    """Write one dated snapshot per master; a second run on a day replaces it."""
+    """Write one dated snapshot per master; a second run on a day replaces it. Rows
+    without a key are kept apart by day, until a run on that day has others.
+    """
     done = []
     for name in names or list(MASTERS):
+        write_partitions(
+            keyless_rows(spark, MASTERS[name], landing, ingest_date),
+            keyless_path(bronze, name),
+            "ingest_date",
+        )
         write_partitions(
             snapshot_master(spark, MASTERS[name], landing, ingest_date),
             master_path(bronze, name),
@@ -76,6 +99,16 @@ def master_path(bronze: str, name: str) -> str:
     return f"{bronze.rstrip('/')}/masters/{name}"
 
 
+def keyless_path(bronze: str, name: str) -> str:
+    return f"{bronze.rstrip('/')}/masters_without_key/{name}"
+
+
+def rejected_master(spark: SparkSession, bronze: str, name: str) -> DataFrame:
+    """Rows without a key of all snapshots."""
+    layout = f"{MASTERS[name].layout}, {AUDIT_LAYOUT}, {REASON} string"
+    return read_zone(spark, keyless_path(bronze, name), layout)
+
+
 def current_master(spark: SparkSession, bronze: str, name: str) -> DataFrame:
     layout = f"{MASTERS[name].layout}, {AUDIT_LAYOUT}"
     return latest_snapshot(read_zone(spark, master_path(bronze, name), layout))

@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Readers pass over names that begin with an underscore.
+LAYOUT = "_layout"
+
 
 def read_zone(
     spark: SparkSession, path: str, schema: StructType | str | None = None
 ) -> DataFrame:
-    """A zone. Where the schema is known it should be given: a partitioned zone
-    without rows has no file to take it from.
+    """A zone. A partitioned zone without rows has no file to take its schema from; then
+    it is the one `write_snapshot` left beside the data.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    if schema is None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+        text = spark.read.text(f"{path.rstrip('/')}/{LAYOUT}").first()[0]
+        schema = StructType.fromJson(json.loads(text))
+    return spark.read.schema(schema).parquet(path)
 
 
 def balanced(df: DataFrame, *columns: str) -> DataFrame:
@@ -33,13 +46,18 @@ def write_snapshot(
     partition_by: str | None = None,
     sort_within: list[Column | str] | None = None,
 ) -> None:
-    """Replace the whole table: partitions absent from `df` disappear as well."""
+    """Replace the whole table: partitions absent from `df` disappear as well. The schema
+    of a partitioned table is kept with it, for when it has no rows.
+    """
     lead = [partition_by] if partition_by else []
     out = balanced(df, *lead)
     if sort_within:
         out = out.sortWithinPartitions(*lead, *sort_within)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*lead) if lead else writer).parquet(path)
+    if lead:
+        layout = df.sparkSession.createDataFrame([(df.schema.json(),)], "value string")
+        layout.coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}/{LAYOUT}")
 
 
 def write_partitions(
@@ -71,6 +89,10 @@ def latest_snapshot(df: DataFrame, column: str = "ingest_date") -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)
+    try:
+        spark.read.schema("probe int").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True

@@ -14,9 +14,9 @@ from meterlake.sources.events import (
 )
 from meterlake.streaming.runs import append_to, finish
 
-# Files come in any order of event time. A narrow watermark would drop whole files
-# without a word, so it spans the history that may still arrive.
+# How long after an event's arrival its copies are still recognised.
 WATERMARK = "60 days"
+ARRIVAL = "arrived_at"
 COPY_LANES = 256
 FILES_PER_TRIGGER = 4
 
@@ -24,7 +24,11 @@ FILES_PER_TRIGGER = 4
 def once_per_event(
     events: DataFrame, watermark: str = WATERMARK, lane: str | None = SOURCE_LANE
 ) -> DataFrame:
-    """Drop repeated event ids within the watermark.
+    """Drop repeated event ids that arrive within the watermark.
+
+    The watermark follows the time of arrival, not the time that events claim: files
+    come in any order, and a single event dated in the future would make everything
+    after it late and lost. So no event is ever late, whatever its timestamp.
 
     Rows are first deduplicated per id *and* lane, then per id: an id delivered a
     million times is spread over the lanes, and at most one copy per lane and batch
@@ -32,13 +36,15 @@ def once_per_event(
     quality rules reject them later, with a reason. They take a branch of their own,
     without state, which reads the new files a second time.
     """
-    timed = events.withWatermark("timestamp", watermark)
+    timed = events.withColumn(ARRIVAL, F.current_timestamp()).withWatermark(
+        ARRIVAL, watermark
+    )
     keyed = timed.where("event_id is not null")
     if lane is not None:
         keyed = keyed.dropDuplicatesWithinWatermark(["event_id", lane])
     keyed = keyed.dropDuplicatesWithinWatermark(["event_id"])
     both = keyed.unionByName(timed.where("event_id is null"))
-    return both.drop(lane) if lane is not None else both
+    return both.drop(ARRIVAL, *([lane] if lane is not None else []))
 
 
 def bronze_events(

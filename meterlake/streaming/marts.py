@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.plans.serving import TABLES, ServingStore
+from meterlake.session import cut_lineage
 
 
 def windowed_usage(
@@ -16,12 +17,54 @@ def windowed_usage(
 ) -> DataFrame:
     """Cost, tokens and events per service and time window, as an append stream.
 
-    A window is final, and emitted, once the watermark has passed its end; the newest
-    stays open until later events arrive. Partial sums are built before the shuffle.
+    A window is emitted once the watermark has passed its end. The newest stays open
+    until later events arrive, and events later than `lateness` come too late for the
+    stream: `complete_windows` has both. Partial sums are built before the shuffle.
     """
+    return _by_window(silver.withWatermark("timestamp", lateness), window)
+
+
+def complete_windows(
+    emitted: DataFrame, silver: DataFrame, window: str = "1 day"
+) -> DataFrame:
+    """All windows: those the stream has emitted whole, and the others from silver.
+
+    A window's events are counted in silver, by time and service alone. Where the
+    stream has fewer, or none, the window is summed up anew; it is one of the newest, or
+    was touched late, so silver is read in full for few windows only.
+    """
+    keys = ["window_start", "service"]
+    held = (
+        silver.groupBy(F.window("timestamp", window), "service")
+        .agg(F.count("*").alias("_held"))
+        .select(F.col("window.start").alias("window_start"), "service", "_held")
+    )
+    sent = emitted.select(*keys, F.col("event_count").alias("_sent"))
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(f"h.{key}").eqNullSafe(F.col(f"s.{key}"))
+    open_ = cut_lineage(
+        held.alias("h").join(sent.alias("s"), same, "left")
+        .where("_sent is null or _sent <> _held")
+        .select("h.*").drop("_held")
+    )
+    starts = open_.select("window_start").distinct()
+    in_window = F.window("timestamp", window)["start"].alias("window_start")
+    rows = silver.select("*", in_window).join(starts, "window_start", "left_semi")
+    anew = _by_window(rows.drop("window_start"), window)
+
+    def of(df: DataFrame, how: str) -> DataFrame:
+        same = F.lit(True)
+        for key in keys:
+            same = same & F.col(f"w.{key}").eqNullSafe(F.col(f"o.{key}"))
+        return df.alias("w").join(open_.alias("o"), same, how)
+
+    return of(emitted, "left_anti").unionByName(of(anew, "left_semi"))
+
+
+def _by_window(rows: DataFrame, window: str) -> DataFrame:
     return (
-        silver.withWatermark("timestamp", lateness)
-        .groupBy(F.window("timestamp", window), "service")
+        rows.groupBy(F.window("timestamp", window), "service")
         .agg(
             F.sum("cost_usd").alias("cost_usd"),
             F.sum("genai_tokens").alias("genai_tokens"),
@@ -57,7 +100,8 @@ def refresh_mart(
     build: Callable[[DataFrame], DataFrame],
     since: dt.datetime | None = None,
 ) -> list[dt.date | None]:
-    """Rebuild a day-grained mart for the days that changed, and merge it by key.
+    """Rebuild a day-grained mart for the days that changed, and merge it by key. Keys of
+    those days that the mart no longer has go.
 
     Whole days are recomputed from silver instead of adding increments, so repeating
     a refresh, or overlapping two, cannot count an event twice: choose `since` with
@@ -70,5 +114,5 @@ def refresh_mart(
         in_days = F.col("event_date").isin([d for d in days if d is not None])
         if None in days:
             in_days = in_days | F.col("event_date").isNull()
-        store.load(name, build(silver.where(in_days)))
+        store.load(name, build(silver.where(in_days)), replaces=in_days)
     return days
