@@ -153,6 +153,8 @@ RULES = (
 )
 # A sentence without one of these is none of the above.
 HINT = r"(?i)licen[cs]e|permission|redistribut|free software|\bmpl\b|unencumbered"
+# What an identifier line names ends there.
+NAMED = r"(?i)(spdx-license-identifier:[ \t]*[A-Za-z0-9.-]+)"
 # A line that starts like the middle of a sentence goes on with one that has no end.
 WRAPPED = r"([^.!?:\r\n])[ \t]*[\r\n]+[ \t]*([a-z0-9(])"
 SENTENCE_END = r"([.!?])[^A-Za-z0-9_ \t\r\n]*[ \t\r\n]+"
@@ -180,7 +182,8 @@ def rules() -> list[tuple[str, str]]:
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
-    joined = F.regexp_replace(text, WRAPPED, "$1 $2")
+    ended = F.regexp_replace(text, NAMED, "$1.")
+    joined = F.regexp_replace(ended, WRAPPED, "$1 $2")
     parts = F.split(F.regexp_replace(joined, SENTENCE_END, "$1\n"), LINES, -1)
     plain = F.transform(
         F.filter(parts, lambda s: s.rlike(HINT)),
@@ -254,7 +257,8 @@ def scan_sql(documents: str = "documents") -> str:
 WITH known(sentence, name) AS (VALUES {known}),
 docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM {documents}),
 parts AS (
-    SELECT r, regexp_split_to_array(regexp_replace(regexp_replace(text,
+    SELECT r, regexp_split_to_array(regexp_replace(regexp_replace(
+        regexp_replace(text, {quoted(NAMED)}, '\1.', 'g'),
         {quoted(WRAPPED)}, '\1 \2', 'g'), {quoted(SENTENCE_END)}, '\1' || chr(10), 'g'),
         {quoted(LINES)}) AS p
     FROM docs WHERE text IS NOT NULL
