@@ -304,19 +304,23 @@ _BODIES = {
           as genai_tokens from usage where event_id is not null""",
     "malformed_rescue": """select outcome, count(*) as rows,
         cast(sum(broken) as bigint) as broken_lines,
-        round(sum(value), 6) as value, cast(sum(tokens) as bigint) as genai_tokens
+        round(sum(value), 6) as value, cast(sum(tokens) as bigint) as genai_tokens,
+        cast(sum(version) as bigint) as schema_versions
         from (select case when event_id is null or event_id % 101 = 0
                             then 'event_id_null'
-                          when event_id % 13 <> 0
-                               and value is not null and unit is null
+                          when not damaged and value is not null and unit is null
                             then 'unit_missing_with_value'
-                          when event_id % 13 = 0 then 'malformed_value'
+                          when damaged then 'malformed_value'
                           else 'accepted' end as outcome,
                      case when event_id % 101 = 0 then 1 else 0 end as broken,
-                     case when event_id % 101 = 0 or event_id % 13 = 0 then null
+                     case when event_id % 101 = 0 or damaged then null
                           else value end as value,
-                     case when event_id % 101 = 0 then 0 else genai_tokens end as tokens
-              from usage) group by outcome""",
+                     case when event_id % 101 = 0 then 0 else genai_tokens end as tokens,
+                     case when event_id % 101 = 0 then null
+                          else schema_version end as version
+              from (select *, coalesce(event_id % 13 = 0 or event_id % 19 = 0
+                                       or event_id % 31 = 0, false) as damaged
+                    from usage)) group by outcome""",
     "stream_quality_split": """select cast(event_date as varchar) as event_date,
         coalesce(dq_rule, 'accepted') as outcome, count(*) as rows,
         round(sum(cost_usd), 6) as cost_usd from tagged group by all""",

@@ -528,9 +528,11 @@ def _land_events(t: Inputs, damaged: bool = False, copies: bool = False) -> str:
     if damaged:
         events = events.withColumns(
             {
-                "value": F.when(number % 13 == 0, F.lit("n/a")).otherwise(
-                    F.col("value").cast("string")
-                ),
+                "value": F.when(number % 13 == 0, F.lit("n/a"))
+                .when(number % 19 == 0, F.lit("NaN"))
+                .when(number % 31 == 0, F.lit("-Infinity"))
+                .otherwise(F.col("value").cast("string")),
+                "schema_version": F.concat("schema_version", F.lit(".0")),
                 "genai_tokens": F.when(
                     number % 7 == 0, F.concat(tokens, F.lit(".0"))
                 ).otherwise(tokens),
@@ -590,7 +592,9 @@ def stream_future_event(t: Inputs) -> DataFrame:
 
 @query
 def malformed_rescue(t: Inputs) -> DataFrame:
-    """Outcome of lines with quoted numbers, unreadable cells and cut-off lines."""
+    """Outcome of lines with quoted numbers, whole numbers with a point, cells that are
+    unreadable or not finite, and cut-off lines.
+    """
     lines = scan_lines(t.spark, f"{_land_events(t, damaged=True)}/*")
     tagged = quality.tag_quality(conform(typed_events(lines)))
     return plain(
@@ -599,6 +603,7 @@ def malformed_rescue(t: Inputs) -> DataFrame:
             F.count("broken_line").alias("broken_lines"),
             F.sum("value").alias("value"),
             F.sum("genai_tokens").alias("genai_tokens"),
+            F.sum("schema_version").cast("bigint").alias("schema_versions"),
         )
     )
 

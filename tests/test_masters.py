@@ -6,6 +6,7 @@ from meterlake.sources.masters import (
     current_master,
     ingest_masters,
     master_path,
+    rejected_master,
     scan_master,
 )
 from meterlake.sources.schemas import MASTERS
@@ -72,6 +73,27 @@ def test_composite_key(spark, landing, tmp_path):
     assert sorted((r.survey_date.day, r.comment) for r in rows) == [(1, "b"), (2, "a")]
 
 
+def test_rows_without_a_key_are_kept_apart(spark, landing, tmp_path):
+    path = landing(
+        "nps_surveys", "org_id,survey_date,nps_score,comment",
+        "o1,2025-01-01,5.0,a", ",2025-01-01,5.0,b", ",2025-01-01,5.0,b", "o1,never,5.0,c",
+    )
+    bronze = str(tmp_path / "b")
+    ingest_masters(spark, path, bronze, None, ["nps_surveys"])
+    assert [r.comment for r in current_master(spark, bronze, "nps_surveys").collect()] == ["a"]
+    lost = rejected_master(spark, bronze, "nps_surveys").collect()
+    assert sorted((r.comment, r.dq_rule) for r in lost) == [
+        ("b", "org_id_null"), ("b", "org_id_null"), ("c", "survey_date_null"),
+    ]
+
+
+def test_an_empty_partitioned_zone_keeps_its_schema(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    write_snapshot(spark.createDataFrame([], "v int, d date"), path, "d")
+    assert read_zone(spark, path).schema.simpleString() == "struct<v:int,d:date>"
+    assert read_zone(spark, path).count() == 0
+
+
 def test_rewriting_a_zone_leaves_no_stale_partition(spark, tmp_path, day):
     path = str(tmp_path / "zone")
     rows = [(1, day(1)), (2, day(2))]

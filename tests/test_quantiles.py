@@ -55,6 +55,7 @@ def test_null_group_is_counted(spark, small_rows):
     got = exact_quantiles(df, "g", "x", {"p50": 0.5}, small_rows=small_rows)
     rows = {r.g: r for r in got.collect()}
     assert rows["a"].p50 == 2.0 and rows[None].n_values == 1
+    assert rows[None].p50 is None
 
 
 def test_a_bad_bracket_is_noticed(spark, monkeypatch):

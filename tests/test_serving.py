@@ -1,11 +1,13 @@
 import hashlib
+import shutil
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from meterlake.operators.upsert import upsert
+from meterlake.operators.upsert import READY, merged, note, unfinished_loads, upsert
 from meterlake.plans.serving import BUCKET, TABLES, ServingStore
+from meterlake.sources.zones import read_zone
 
 DAILY = "org_daily_usage_by_service"
 DAILY_LAYOUT = (
@@ -111,6 +113,29 @@ def test_versions_and_null_keys(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_an_interrupted_load_is_finished_by_the_next(spark, store, daily, day):
+    orgs = [f"org{i}" for i in range(40)]
+    store.load(DAILY, daily(*[(o, day(1), "db", 1.0) for o in orgs]))
+    path, staging = store.path(DAILY), store.staging(DAILY)
+    whole = read_zone(spark, path)
+    later = store.laid_out(DAILY, daily(*[(o, day(1), "db", 2.0) for o in orgs[:20]]))
+    merged(whole, later, TABLES[DAILY].keys).write.parquet(f"{staging}/cut/merged")
+    note(spark, staging, "cut", READY)
+    shutil.rmtree(f"{path}/{BUCKET}=2")
+    assert unfinished_loads(spark, staging) == ["cut"]
+    store.load(DAILY, daily(("org0", day(1), "db", 3.0)))
+    got = {r.org_id: r.cost_usd for r in store.table(DAILY).collect()}
+    assert got == {o: 3.0 if o == "org0" else 2.0 if i < 20 else 1.0 for i, o in enumerate(orgs)}
+    assert unfinished_loads(spark, staging) == []
+
+
+def test_a_whole_mart_replaces_the_table(store, daily, day):
+    store.load(DAILY, daily(*[(f"org{i}", day(1), "db", 1.0) for i in range(40)]), whole=True)
+    store.load(DAILY, daily(*[(f"org{i}", day(1), "db", 2.0) for i in range(20)]), whole=True)
+    assert sorted({r.cost_usd for r in store.table(DAILY).collect()}) == [2.0]
+    assert store.row_count(DAILY).first().rows == 20
+
+
 def test_reload_leaves_no_orphan(spark, store):
     layout = "org_id string, service string, total_cost_usd double, org_name string"
     name = "org_service_cost_14d"

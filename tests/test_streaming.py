@@ -11,7 +11,7 @@ from meterlake.operators.quality import split_quality
 from meterlake.plans.serving import ServingStore
 from meterlake.sources.events import scan_lines, text_schema, typed_events
 from meterlake.streaming.ingest import ingest_events, start_intake
-from meterlake.streaming.marts import refresh_mart, windowed_usage
+from meterlake.streaming.marts import complete_windows, refresh_mart, windowed_usage
 from meterlake.streaming.runs import append_to, finish
 from meterlake.streaming.silver import start_silver, stream_zone
 
@@ -63,15 +63,18 @@ def test_each_event_once_across_files_and_runs(spark, place):
     assert spark.read.parquet(place.bronze).count() == len(ids) + 1
 
 
-def test_narrow_watermark_loses_late_files(spark, place):
-    landing = place.drop("1.jsonl", line("e1"))
+def test_no_event_is_late_whatever_its_time(spark, place):
+    landing = place.drop("1.jsonl", line("e1"), line("far", "2099-01-01T00:00:00Z"))
     place.drop("0.jsonl", line("e0", "2025-08-01T09:00:00Z"))
     options = {"watermark": "1 hour", "files_per_trigger": 1}
     ingest_events(spark, landing, place.bronze, place.checkpoints, **options)
     place.drop("2.jsonl", line("late", "2025-07-01T00:00:00Z"))
     ingest_events(spark, landing, place.bronze, place.checkpoints, **options)
     ids = {r.event_id for r in spark.read.parquet(place.bronze).collect()}
-    assert ids == {"e0", "e1"}
+    assert ids == {"e0", "e1", "far", "late"}
+    place.drop("3.jsonl", line("late", "2025-07-01T00:00:00Z"), line("far", "2099-01-01T00:00:00Z"))
+    ingest_events(spark, landing, place.bronze, place.checkpoints, **options)
+    assert spark.read.parquet(place.bronze).count() == 4
 
 
 def test_bronze_is_partitioned_by_day(spark, place):
@@ -171,6 +174,16 @@ def test_windows_are_final_when_the_watermark_passes(spark, place):
         for r in spark.read.parquet(out).collect()
     }
     assert got == {(1, "db"): (2.0, 0, 2), (2, "db"): (1.0, 4, 1)}
+    # a late event, one without a time, and the newest day, which is still open
+    late = [line("e5", "2025-08-01T11:00:00Z"), line("e6", None), line("e7", "2025-07-01T00:00:00Z")]
+    conform(bronze_rows(spark, late)).write.mode("append").parquet(place.bronze)
+    finish(append_to(stream, out, place.checkpoints))
+    emitted = spark.read.parquet(out)
+    whole = complete_windows(emitted, spark.read.parquet(place.bronze))
+    got = {str(r.window_start)[:10]: (r.cost_usd, r.event_count) for r in whole.collect()}
+    assert got == {
+        "2025-07-01": (1.0, 1), "2025-08-01": (3.0, 3), "2025-08-02": (1.0, 1), "2025-08-03": (1.0, 1),
+    }
 
 
 def test_mart_refresh_counts_nothing_twice(spark, place):
@@ -197,5 +210,10 @@ def test_mart_refresh_counts_nothing_twice(spark, place):
     got = {r.event_date: r.event_count for r in store.table(name).collect()}
     assert got == {dt.date(2025, 8, 1): 1, dt.date(2025, 8, 2): 2, None: 1}
     assert refresh(dt.datetime.now(dt.timezone.utc)) == []
+    # a group of a refreshed day that silver no longer has goes, other days stay
+    store.load(name, store.table(name).withColumn("service", F.lit("gone")))
+    assert store.row_count(name).first().rows == 6
+    assert len(refresh()) == 3
+    assert {r.service for r in store.table(name).collect()} == {"db"}
     with pytest.raises(ValueError):
         refresh_mart(store, "org_service_cost_14d", None, marts.trailing_cost)
