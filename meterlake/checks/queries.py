@@ -733,7 +733,7 @@ def upsert_retry(t: Inputs) -> DataFrame:
         f"{staging}/interrupted/merged"
     )
     note(t.spark, staging, "interrupted", READY)
-    write_snapshot(read_zone(t.spark, torn), path, BUCKET)
+    write_snapshot(read_zone(t.spark, torn), path, TABLES[name].partitions)
     store.load(name, later)
     return plain(
         store.table(name).select(

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.operators.dedupe import one_row_per_key
-from meterlake.sources.zones import read_zone, table_exists, write_partitions
+from meterlake.session import cut_lineage
+from meterlake.sources.zones import listed, read_zone, table_exists, write_partitions
 
 
 def latest_per_key(
@@ -58,7 +59,7 @@ def finish_loads(
     spark: SparkSession,
     path: str,
     staging: str,
-    partition_by: str,
+    partition_by: str | list[str],
     sort_within: list[Column | str] | None = None,
 ) -> None:
     """Write the merged rows of loads that were interrupted. They hold their partitions
@@ -70,12 +71,25 @@ def finish_loads(
         note(spark, staging, load, DONE)
 
 
+def _among(column: str, values: set) -> Column:
+    """The column is one of the values, of which null may be one."""
+    known = F.col(column).isin([v for v in values if v is not None])
+    return known | F.col(column).isNull() if None in values else known
+
+
+def _in_partitions(rows: DataFrame, parts: DataFrame, columns: list[str]) -> DataFrame:
+    same = F.lit(True)
+    for column in columns:
+        same = same & F.col(f"rows.{column}").eqNullSafe(F.col(f"parts.{column}"))
+    return rows.alias("rows").join(F.broadcast(parts.alias("parts")), same, "left_semi")
+
+
 def upsert(
     incoming: DataFrame,
     path: str,
     staging: str,
     keys: list[str],
-    partition_by: str,
+    partition_by: str | list[str],
     version: str | None = None,
     sort_within: list[Column | str] | None = None,
     unique: bool = False,
@@ -105,14 +119,21 @@ def upsert(
     fresh.write.parquet(f"{staging}/{load}/incoming")
     fresh = read_zone(spark, f"{staging}/{load}/incoming", fresh.schema)
     existing = read_zone(spark, path, fresh.schema)
-    # one value per touched partition: bounded by the number of partitions
-    parts = fresh.select(partition_by)
+    lead = listed(partition_by)
+    parts = fresh.select(*lead)
     if replaces is not None:
-        parts = parts.union(existing.where(replaces).select(partition_by))
-    touched = [r[0] for r in parts.distinct().collect()]
+        parts = parts.union(existing.where(replaces).select(*lead))
+    # one row per touched partition: bounded by the number of partitions
+    parts = cut_lineage(parts.distinct())
+    touched = parts.collect()
     if not touched:
         return
-    affected = existing.where(F.col(partition_by).isin(touched))
+    affected = existing
+    for column in lead:
+        affected = affected.where(_among(column, {r[column] for r in touched}))
+    if len(lead) > 1:
+        # the conditions above open the files; this leaves the touched combinations
+        affected = _in_partitions(affected, parts, lead)
     if replaces is not None:
         affected = affected.where(~F.coalesce(replaces, F.lit(False)))
     result = merged(affected, fresh, keys)

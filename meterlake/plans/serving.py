@@ -1,8 +1,10 @@
 """Serving tables: one Parquet table per question, laid out for its reads.
 
 Rows go to buckets by a hash of the organisation, so a question about one of them
-opens one directory; within a file they are sorted by organisation and then in the
-order the question wants, so row-group statistics skip the rest.
+opens one directory; tables by day are parted by month below that, so a question about
+days opens few, and refreshing a day rewrites one month. Within a file rows are sorted
+by organisation and then in the order the question wants, so row-group statistics skip
+the rest.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from meterlake.plans import questions
 from meterlake.sources.zones import read_zone, write_snapshot
 
 BUCKET = "org_bucket"
+MONTH = "event_month"
 
 
 @dataclass(frozen=True)
@@ -42,8 +45,17 @@ class ServingTable:
         direction = {"asc": F.asc, "desc": F.desc}
         return [F.asc("org_id"), *[direction[d](c) for c, d in self.clustering]]
 
+    @property
+    def by_day(self) -> bool:
+        return "event_date" in self.keys and not self.measured_key
+
+    @property
+    def partitions(self) -> list[str]:
+        return [BUCKET, MONTH] if self.by_day else [BUCKET]
+
     def schema(self, org_type: str) -> StructType:
-        return StructType.fromDDL(f"org_id {org_type}, {self.layout}, {BUCKET} int")
+        month = f", {MONTH} date" if self.by_day else ""
+        return StructType.fromDDL(f"org_id {org_type}, {self.layout}, {BUCKET} int{month}")
 
 
 # Table names, columns with their types, and clustering columns with
@@ -119,9 +131,10 @@ class ServingStore:
         """A mart's rows as its table holds them, with their bucket."""
         table = TABLES[name]
         rows = mart.withColumn("org_id", F.col("org_id").cast(self.org_type))
-        return rows.withColumn(BUCKET, self._bucket(F.col("org_id"))).to(
-            table.schema(self.org_type)
-        )
+        rows = rows.withColumn(BUCKET, self._bucket(F.col("org_id")))
+        if table.by_day:
+            rows = rows.withColumn(MONTH, F.trunc("event_date", "month"))
+        return rows.to(table.schema(self.org_type))
 
     def load(
         self,
@@ -140,32 +153,44 @@ class ServingStore:
         table = TABLES[name]
         rows = self.laid_out(name, mart)
         if table.measured_key or whole:
-            write_snapshot(rows, self.path(name), BUCKET, table.order())
+            write_snapshot(rows, self.path(name), table.partitions, table.order())
         else:
             upsert(
                 rows,
                 self.path(name),
                 self.staging(name),
                 table.keys,
-                BUCKET,
+                table.partitions,
                 sort_within=table.order(),
                 unique=unique,
                 replaces=replaces,
             )
 
-    def table(self, name: str, org_id: Any = None) -> DataFrame:
-        """A serving table, or the one bucket of it that holds `org_id`."""
+    def table(
+        self,
+        name: str,
+        org_id: Any = None,
+        start: questions.Day | None = None,
+        end: questions.Day | None = None,
+    ) -> DataFrame:
+        """A serving table, or the one bucket of it that holds `org_id`, and of a table
+        by day the months from that of `start` to that of `end`.
+        """
         df = read_zone(self.spark, self.path(name), TABLES[name].schema(self.org_type))
         if org_id is not None:
             key = F.lit(org_id).cast(self.org_type)
             df = df.where(F.col(BUCKET) == self._bucket(key))
-        return df.drop(BUCKET)
+        if start is not None:
+            df = df.where(F.col(MONTH) >= F.trunc(F.lit(start), "month"))
+        if end is not None:
+            df = df.where(F.col(MONTH) <= F.trunc(F.lit(end), "month"))
+        return df.drop(BUCKET, MONTH)
 
     def row_count(self, name: str) -> DataFrame:
         return self.table(name).agg(F.count("*").alias("rows"))
 
     def daily_range(self, org_id: Any, start: dt.date, end: dt.date) -> DataFrame:
-        rows = self.table("org_daily_usage_by_service", org_id)
+        rows = self.table("org_daily_usage_by_service", org_id, start, end)
         return questions.daily_range(rows, start, end, org_id).orderBy(
             "event_date", "service"
         )
@@ -177,7 +202,7 @@ class ServingStore:
     def tickets(
         self, org_id: Any, since: dt.date, severity: str | None = None
     ) -> DataFrame:
-        rows = self.table("tickets_by_org_date", org_id)
+        rows = self.table("tickets_by_org_date", org_id, since)
         return questions.ticket_evolution(rows, since, org_id, severity).orderBy(
             F.desc("event_date"), F.asc("severity")
         )
@@ -187,7 +212,7 @@ class ServingStore:
         return questions.monthly_revenue(rows, org_id).orderBy(F.desc("month"))
 
     def genai(self, org_id: Any, since: dt.date) -> DataFrame:
-        rows = self.table("genai_tokens_by_org_date", org_id)
+        rows = self.table("genai_tokens_by_org_date", org_id, since)
         return questions.genai_usage(rows, since, org_id).orderBy(F.desc("event_date"))
 
     def worst_anomalies(self, org_id: Any, n: int) -> DataFrame:

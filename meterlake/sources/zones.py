@@ -40,16 +40,20 @@ def balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def listed(columns: str | list[str] | None) -> list[str]:
+    return [columns] if isinstance(columns, str) else list(columns or [])
+
+
 def write_snapshot(
     df: DataFrame,
     path: str,
-    partition_by: str | None = None,
+    partition_by: str | list[str] | None = None,
     sort_within: list[Column | str] | None = None,
 ) -> None:
     """Replace the whole table: partitions absent from `df` disappear as well. The schema
     of a partitioned table is kept with it, for when it has no rows.
     """
-    lead = [partition_by] if partition_by else []
+    lead = listed(partition_by)
     out = balanced(df, *lead)
     if sort_within:
         out = out.sortWithinPartitions(*lead, *sort_within)
@@ -63,17 +67,18 @@ def write_snapshot(
 def write_partitions(
     df: DataFrame,
     path: str,
-    partition_by: str,
+    partition_by: str | list[str],
     sort_within: list[Column | str] | None = None,
 ) -> None:
     """Replace only the partitions `df` has rows for; the others stay untouched."""
-    out = balanced(df, partition_by)
+    lead = listed(partition_by)
+    out = balanced(df, *lead)
     if sort_within:
-        out = out.sortWithinPartitions(partition_by, *sort_within)
+        out = out.sortWithinPartitions(*lead, *sort_within)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
+        .partitionBy(*lead)
         .parquet(path)
     )
 

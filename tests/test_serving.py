@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlake.operators.upsert import READY, merged, note, unfinished_loads, upsert
-from meterlake.plans.serving import BUCKET, TABLES, ServingStore
+from meterlake.plans.serving import BUCKET, MONTH, TABLES, ServingStore
 from meterlake.sources.zones import read_zone
 
 DAILY = "org_daily_usage_by_service"
@@ -129,6 +129,24 @@ def test_an_interrupted_load_is_finished_by_the_next(spark, store, daily, day):
     assert unfinished_loads(spark, staging) == []
 
 
+def test_refreshing_a_day_leaves_other_months_alone(store, daily, day):
+    march = day(1).replace(month=3)
+    orgs = [f"org{i}" for i in range(20)]
+    store.load(DAILY, daily(*[(o, d, "db", 1.0) for o in orgs for d in (march, day(1), day(2))]))
+    before = digests(store.path(DAILY))
+    store.load(DAILY, daily(*[(o, day(2), "db", 5.0) for o in orgs]))
+    after = digests(store.path(DAILY))
+    other = f"{MONTH}={march}"
+    assert any(other in k for k in before)
+    assert {k: v for k, v in before.items() if other in k} == {
+        k: v for k, v in after.items() if other in k
+    }
+    costs = {(r.event_date, r.cost_usd) for r in store.table(DAILY).collect()}
+    assert costs == {(march, 1.0), (day(1), 1.0), (day(2), 5.0)}
+    plan = store.daily_range("org7", day(1), day(1))._jdf.queryExecution()
+    assert f"({MONTH}" in plan.executedPlan().toString().split("PartitionFilters")[1]
+
+
 def test_a_whole_mart_replaces_the_table(store, daily, day):
     store.load(DAILY, daily(*[(f"org{i}", day(1), "db", 1.0) for i in range(40)]), whole=True)
     store.load(DAILY, daily(*[(f"org{i}", day(1), "db", 2.0) for i in range(20)]), whole=True)
