@@ -25,10 +25,17 @@ def main() -> None:
     parser.add_argument("--buckets", type=int, default=64)
     parser.add_argument("--shuffle-partitions", type=int)
     parser.add_argument("--exact-profile", action="store_true")
+    parser.add_argument("--stream", action="store_true", help="one streamed round only")
     args = parser.parse_args()
 
     spark = build_session("meterlake", args.master, args.shuffle_partitions)
     lake = Lakehouse(spark, args.landing, args.root, args.buckets, args.exact_profile)
+    if args.stream:
+        days = lake.stream_round()
+        print(f"days refreshed: {len(days)}")
+        lake.live.row_count("org_daily_usage_by_service").show()
+        spark.stop()
+        return
     lake.run(args.ingest_date)
 
     def show(title: str, df, rows: int = 20) -> None:

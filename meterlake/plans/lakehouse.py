@@ -19,6 +19,11 @@ from meterlake.sources.masters import current_master, ingest_masters
 from meterlake.sources.schemas import MASTERS
 from meterlake.sources.zones import read_zone, write_snapshot
 from meterlake.streaming.ingest import ingest_events
+from meterlake.streaming.marts import refresh_mart
+from meterlake.streaming.runs import finish
+from meterlake.streaming.silver import start_silver
+
+SLACK = dt.timedelta(minutes=10)
 
 
 @dataclass(frozen=True)
@@ -44,11 +49,11 @@ class Lakehouse:
 
     @property
     def silver(self) -> str:
-        return self.at("silver/usage_events_enriched")
+        return self.at("silver/scored_usage")
 
     @property
     def quarantine(self) -> str:
-        return self.at("quarantine/usage_events")
+        return self.at("quarantine/rejected_usage")
 
     @property
     def profile(self) -> str:
@@ -123,6 +128,36 @@ class Lakehouse:
         for name in TABLES:
             self.serving.load(name, self.read(self.gold(name)), whole=True)
 
+    # -- the same by stream -------------------------------------------------------
+
+    @property
+    def live(self) -> ServingStore:
+        """Serving tables kept up by `stream_round`, beside those of the batch run."""
+        return ServingStore(self.spark, self.at("live/serving"), self.buckets)
+
+    def stream_round(self, slack: dt.timedelta = SLACK, **options) -> list[dt.date | None]:
+        """Take in new files, carry them on to live silver and quarantine, and refresh the
+        live daily table for the days they touch, which are returned.
+
+        Events are scored against the profile that `build_silver` stored last, and get
+        the organisations of the newest snapshot. A round that is repeated, or cut off
+        and run again, counts nothing twice. `slack` allows for clocks that differ.
+        """
+        since = dt.datetime.now(dt.timezone.utc) - slack
+        self.land_events(**options)
+        orgs = current_master(self.spark, self.bronze, "customers_orgs")
+        finish(
+            *start_silver(
+                self.spark, self.events, orgs, self.at("live/silver"),
+                self.at("live/quarantine"), self.at("checkpoints/live"),
+                self.read(self.profile),
+            )
+        )
+        silver = self.read(self.at("live/silver"))
+        return refresh_mart(
+            self.live, "org_daily_usage_by_service", silver, marts.daily_usage, since
+        )
+
     def newest_day(self) -> dt.date:
         daily = self.read(self.gold("org_daily_usage_by_service"))
         return daily.agg(F.max("event_date")).first()[0]
@@ -136,8 +171,8 @@ class Lakehouse:
         zones = {
             "bronze/masters": masters,
             "bronze/usage_events": self.bronze_events(),
-            "silver/usage_events_enriched": self.read(self.silver),
-            "quarantine/usage_events": self.rejected_events(),
+            "silver/scored_usage": self.read(self.silver),
+            "quarantine/rejected_usage": self.rejected_events(),
         }
         for name in TABLES:
             zones[f"gold/{name}"] = self.read(self.gold(name))

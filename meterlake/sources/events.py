@@ -43,13 +43,21 @@ def scan_lines(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def stream_lines(
-    spark: SparkSession, landing: str, files_per_trigger: int = 4
+    spark: SparkSession,
+    landing: str,
+    files_per_trigger: int = 4,
+    bytes_per_trigger: str | None = None,
 ) -> DataFrame:
-    """Unbounded scan of a directory that keeps receiving files."""
+    """Unbounded scan of a directory that keeps receiving files. A batch takes in so many
+    files or, for large deliveries, so many bytes ("64g").
+    """
+    limit = ("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger is not None:
+        limit = ("maxBytesPerTrigger", bytes_per_trigger)
     return (
         spark.readStream.schema(text_schema())
         .option("columnNameOfCorruptRecord", BROKEN_LINE)
-        .option("maxFilesPerTrigger", files_per_trigger)
+        .option(*limit)
         .json(landing)
     )
 

@@ -53,9 +53,11 @@ def bronze_events(
     watermark: str = WATERMARK,
     files_per_trigger: int = FILES_PER_TRIGGER,
     copy_lanes: int = COPY_LANES,
+    bytes_per_trigger: str | None = None,
 ) -> DataFrame:
     """The stream of typed, deduplicated events with their day."""
-    lines = with_source_lane(stream_lines(spark, landing, files_per_trigger), copy_lanes)
+    lines = stream_lines(spark, landing, files_per_trigger, bytes_per_trigger)
+    lines = with_source_lane(lines, copy_lanes)
     return once_per_event(typed_events(lines), watermark).withColumn(
         "event_date", F.to_date("timestamp")
     )
@@ -89,7 +91,7 @@ def start_intake(
     return append_to(
         gathered_by_day(events, files_per_trigger),
         bronze,
-        f"{checkpoints.rstrip('/')}/usage_events_bronze",
+        f"{checkpoints.rstrip('/')}/usage_intake",
         "event_date",
         every,
     )

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterlake.plans.lakehouse import Lakehouse
 from meterlake.plans.reports import partition_report, rerun_check, zone_size
@@ -56,8 +57,8 @@ def test_counts_are_the_same_after_a_second_run(spark, lake, tmp_path):
     assert count["bronze/usage_events"] == 600
     assert count["bronze/masters"] == 5 + 30 + 20
     # every unit missing (4 per file), and the one null id
-    assert count["quarantine/usage_events"] == 25
-    assert count["silver/usage_events_enriched"] == 575
+    assert count["quarantine/rejected_usage"] == 25
+    assert count["silver/scored_usage"] == 575
     for zone in rows:
         if zone.startswith("gold/"):
             assert count[zone] == count[zone.replace("gold/", "serving/")] > 0
@@ -90,3 +91,25 @@ def test_partition_evidence(spark, lake):
     assert report.count() == 20
     total = zone_size(report).first()
     assert total.partitions == 20 and total.files >= 20 and total.bytes > 1000
+
+
+def test_streamed_rounds_equal_the_batch(spark, lake):
+    name = "org_daily_usage_by_service"
+
+    def rows(store):
+        table = store.table(name)
+        rounded = {c: F.round(c, 6) for c in ("cost_usd", "requests", "carbon_kg")}
+        return sorted(map(str, table.withColumns(rounded).collect()))
+
+    assert len(lake.stream_round()) == 20
+    assert rows(lake.live) == rows(lake.serving)
+    more = {
+        "event_id": "more", "timestamp": "2025-08-03T12:00:00Z", "org_id": "o1", "service": "db",
+        "metric": "requests", "value": 2.0, "unit": "n", "cost_usd_increment": 1.5,
+        "schema_version": 2, "carbon_kg": 0.1, "genai_tokens": 3,
+    }
+    with open(f"{lake.landing}/usage_events_stream/more.jsonl", "w") as file:
+        file.write(json.dumps(more) + "\n")
+    assert dt.date(2025, 8, 3) in lake.stream_round(slack=dt.timedelta(0))
+    live = lake.live.table(name).agg(F.sum("event_count")).first()[0]
+    assert live == lake.serving.table(name).agg(F.sum("event_count")).first()[0] + 1
