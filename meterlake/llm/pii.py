@@ -36,10 +36,10 @@ LOOSE = {
         r"(?<![0-9.])[0-9]{1,4}+(?:\x20?(?:\.|[\[(](?:\.|dot)[\])])\x20?[0-9]{1,4}+){3}"
         r"(?!\.?[0-9])"
     ),
-    "card": r"(?<![0-9])[0-9]{4}+(?:[\x20._/-]?[0-9]){9,16}+(?![0-9])",
+    "card": r"(?<![0-9A-Za-z])[0-9]{4}+(?:[\x20._/-]?[0-9]){9,16}+(?![0-9A-Za-z])",
     "phone": (
-        r"(?<![0-9A-Za-z])(?:\+|00)?\(?[0-9]{1,4}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,5}\)?){2,5}+"
-        r"(?![0-9])"
+        r"(?<![0-9A-Za-z])(?:\+|00)?\(?[0-9]{1,4}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,5}\)?){2,5}"
+        r"(?![0-9A-Za-z])"
     ),
 }
 # Without one of these a text has nothing of the kind.
