@@ -15,7 +15,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm.common import table
+from meterlake.llm.common import ship_package, table
 from meterlake.llm.exact_dedup import drop_duplicates
 from meterlake.llm.language import keep_known
 from meterlake.llm.packing import pack
@@ -66,6 +66,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to `documents`, one after the other."""
+    ship_package(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)

@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import importlib.util
+import os
+import shutil
+import sys
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +22,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the executors' Python import this package.
+
+    Where it was found by the environment, executors that share it find it as well.
+    Where the driver's own search path led to it, it is sent along once per application,
+    as `--py-files` would.
+    """
+    package = __name__.partition(".")[0]
+    root = Path(importlib.util.find_spec(package).origin).parent.parent
+    shared = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), sys.prefix, os.getcwd()]
+    found = any(p and root.is_relative_to(Path(p).resolve()) for p in shared)
+    app = spark.sparkContext.applicationId
+    if found or app in _shipped:
+        return
+    # the driver serves the file for as long as it runs
+    folder = tempfile.mkdtemp(prefix=f"{package}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = shutil.make_archive(f"{folder}/{package}", "zip", root, package)
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def held_out(doc_id: str) -> Column:
     """Whether crc32 of the id as text leaves 2 modulo 4; a null id is not held out."""
     rest = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4

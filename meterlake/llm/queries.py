@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from meterlake.llm import language, licenses, main_text, quality
 from meterlake.llm.byte_bpe import encode
-from meterlake.llm.common import held_out, table
+from meterlake.llm.common import held_out, ship_package, table
 from meterlake.llm.exact_dedup import exact_duplicates
 from meterlake.llm.packing import pack
 from meterlake.llm.pii import summarised
@@ -82,7 +83,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(docs, ranks, public_tokenizers.PATTERN, ["doc_id"])
 
 
-LLM_QUERIES: dict[str, Query] = {
+def ready(build: Query) -> Query:
+    """The query, once executors can import what it sends them."""
+
+    @wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return build(spark, sf_dir)
+
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op3_main_text": op3_main_text,
@@ -94,3 +106,5 @@ LLM_QUERIES: dict[str, Query] = {
     "op9_licenses": op9_licenses,
     "op10_byte_bpe": op10_byte_bpe,
 }
+
+LLM_QUERIES = {name: ready(build) for name, build in _QUERIES.items()}
