@@ -181,7 +181,8 @@ def train(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Langua
         rate = F.when(F.col("lang") == lang, min(1.0, rows_per_language / n)).otherwise(
             rate
         )
-    place = F.pmod(F.xxhash64(F.lit("language"), "doc_id", F.length("text")), F.lit(1 << 30)) / (1 << 30)
+    mixed = F.xxhash64(F.lit("language"), "doc_id", F.length("text"))
+    place = F.pmod(mixed, F.lit(1 << 30)) / (1 << 30)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
