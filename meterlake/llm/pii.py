@@ -164,6 +164,34 @@ def _valid(kind_no: Column, found: Column) -> Column:
     )
 
 
+def _worth(kind_no: Column, found: Column) -> Column:
+    """Whether what a proposal means, written plainly, is a value of its kind.
+
+    For a phone a number that is an address, a card or a date is none.
+    """
+    plain = F.regexp_replace(found, r"\x20", "")
+    plain = F.regexp_replace(plain, r"[\[(]at[\])]", "@")
+    plain = F.regexp_replace(plain, r"[\[(](?:dot|\.)[\])]", ".")
+    digits = F.regexp_replace(found, "[^0-9]", "")
+    n = F.length(digits)
+    word = "[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
+    mail = plain.rlike(
+        rf"^[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@(?:{word}\.)+(?:[a-z]{{2,24}}|[A-Z]{{2,24}})$"
+    )
+    card = F.when(n.between(13, 19), _luhn(digits)).otherwise(False)
+    octets = _valid(F.lit(1), plain)
+    date = found.rlike(
+        r"^(?:(?:19|20)[0-9]{2}[\x20./-]{1,2}[01]?[0-9][\x20./-]{1,2}[0-3]?[0-9](?![0-9])"
+        r"|[0-3]?[0-9][\x20./-]{1,2}[0-3]?[0-9][\x20./-]{1,2}(?:19|20)[0-9]{2}(?![0-9]))"
+    )
+    return (
+        F.when(kind_no == 0, mail)
+        .when(kind_no == 1, octets)
+        .when(kind_no == 2, card)
+        .otherwise(n.between(8, 15) & ~octets & ~card & ~date)
+    )
+
+
 def _side(char: Column) -> Column:
     """0 nothing, 1 white space, 2 letter, 3 digit, 4 closing mark, 5 anything else."""
     return (
@@ -179,7 +207,8 @@ def _side(char: Column) -> Column:
 def _described(candidates: DataFrame) -> DataFrame:
     """Candidates with `FEATURES`: format and context, as small whole numbers.
 
-    Whether a base match passes its check is none of them: it is what is learned.
+    Whether a proposal's value is one of its kind is none of them: it is what is
+    learned. So the digits of a phone, whose number is its check, are left out.
     """
     found = F.col("found")
     digits = F.length(F.regexp_replace(found, "[^0-9]", ""))
@@ -188,7 +217,7 @@ def _described(candidates: DataFrame) -> DataFrame:
         cue = cue | ((F.col("kind_no") == no) & F.col("before").rlike(CUES[kind]))
     return candidates.withColumns(
         {
-            "digits": F.least(digits, F.lit(20)),
+            "digits": F.when(F.col("kind_no") == 3, 0).otherwise(F.least(digits, F.lit(20))),
             "groups": F.least(F.size(F.split(found, "[^0-9A-Za-z]+")), F.lit(8)),
             "length": F.least(F.floor(F.length(found) / 4).cast("int"), F.lit(12)),
             "left": _side(F.right(F.col("before"), F.lit(1))),
@@ -203,8 +232,9 @@ def _described(candidates: DataFrame) -> DataFrame:
 
 
 def proposed(rows: DataFrame) -> DataFrame:
-    """All proposals of `rows` (row, fold, text) with features, what they touch, and
-    whether they are base spans; base matches that fail their check are gone.
+    """All proposals of `rows` (row, fold, text) with features, what they touch, whether
+    they are base spans, and whether a loose one's value is one of its kind (`worth`);
+    base matches that fail their check are gone.
 
     `touches`: the span shares characters with a base span of any kind; `hit`: of its
     own kind. Both come from running ends over the spans of a text in order, so a text
@@ -225,33 +255,49 @@ def proposed(rows: DataFrame) -> DataFrame:
             F.coalesce(begin, big) < F.col("stop")
         )
 
-    return spans.withColumn("hit", touches("kind_no")).withColumn("touches", touches())
+    worth = ~F.col("base") & _worth(F.col("kind_no"), F.col("found"))
+    return (
+        spans.withColumn("worth", worth)
+        .withColumn("hit", touches("kind_no"))
+        .withColumn("touches", touches())
+    )
 
 
 def train(spans: DataFrame) -> PiiModel:
     """Boosted trees over all loose proposals of a stored table made by `proposed`.
 
-    A proposal is a hit if it covers a base span of its kind, which passed a check the
-    features don't see. The driver receives counts per combination of feature values:
-    fewer than the product of their ranges, whatever the table. Trees are fitted on
-    three of four folds, thresholds on the fourth: the lowest score from which on
-    `PRECISION` of the proposals are hits. A kind without such a score adds nothing.
+    A proposal is a hit if its value, written plainly, passes a check the features don't
+    see, and it doesn't touch base spans of other kinds only. The driver receives counts
+    per combination of feature values: fewer than the product of their ranges, whatever
+    the table. Trees are fitted on three of four folds, thresholds on what could be added
+    in the fourth: the lowest score from which on `PRECISION` of it are hits. A kind
+    without such a score adds nothing.
     """
-    hit = F.col("hit").cast("long")
+    right = F.col("worth") & (F.col("hit") | ~F.col("touches"))
+    hit = right.cast("long")
+    keys = [*FEATURES, "touches"]
     table = (
         spans.where(~F.col("base"))
-        .groupBy(*FEATURES, (F.col("fold") == 3).alias("out"))
+        .groupBy(*keys, (F.col("fold") == 3).alias("out"))
         .agg(F.sum(hit).alias("hits"), F.sum(1 - hit).alias("misses"))
         .collect()
     )
     rows = [
-        (r["out"], (tuple(r[f] for f in FEATURES), float(r["hits"]), float(r["misses"])))
+        (
+            r["out"],
+            r["touches"],
+            (tuple(r[f] for f in FEATURES), float(r["hits"]), float(r["misses"])),
+        )
         for r in sorted(table)
     ]
-    trees = boost([r for out, r in rows if not out])
+    trees = boost([r for out, _, r in rows if not out])
     thresholds = {}
     for no, kind in enumerate(KINDS):
-        scored = [(trees.score(x), a, b) for out, (x, a, b) in rows if out and x[0] == no]
+        scored = [
+            (trees.score(x), a, b)
+            for out, touches, (x, a, b) in rows
+            if out and not touches and x[0] == no
+        ]
         found = calibrated_threshold(scored, PRECISION, LEAST_CANDIDATES)
         if found is not None:
             thresholds[kind] = found
@@ -261,14 +307,15 @@ def train(spans: DataFrame) -> PiiModel:
 def chosen(spans: DataFrame, model: PiiModel) -> DataFrame:
     """(row, kind_no, base, start, stop): base spans, and those the trees add.
 
-    An added span touches no base span and reaches its kind's threshold.
+    An added span touches no base span, has a value of its kind and reaches its kind's
+    threshold.
     """
     least = F.lit(2.0)
     for no, kind in enumerate(KINDS):
         # the same sum in another order of additions may differ in the last digits
         limit = model.thresholds.get(kind, 2.0) - 1e-9
         least = F.when(F.col("kind_no") == no, F.lit(limit)).otherwise(least)
-    added = ~F.col("touches") & (model.trees.column(FEATURES) >= least)
+    added = F.col("worth") & ~F.col("touches") & (model.trees.column(FEATURES) >= least)
     return spans.where(F.col("base") | added).select(
         "row", "kind_no", "base", "start", "stop"
     )

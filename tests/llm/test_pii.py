@@ -78,6 +78,42 @@ def test_trees_add_what_looks_like_base_spans(docs):
     assert all(spans[1000 + i] == "" for i in range(60))
 
 
+def card(digits, i):
+    body = f"{i * 7919:0{digits - 1}d}"[: digits - 1]
+    body = "4" + body[1:]
+    return next(body + c for c in "0123456789" if luhn(body + c))
+
+
+def test_frequent_forms_that_only_loose_proposals_find_are_added(docs):
+    def loose(i):
+        number = card(15, i + 12_345_678_901)
+        return [
+            ("email", f"u{i}.x (at) host{i} (dot) org"),
+            ("email", f"u{i}.x [at] host{i}.example.com"),
+            ("phone", f"0{300 + i % 90} 555 {1000 + i}"),
+            ("card", f"{number[:4]}.{number[4:10]}.{number[10:]}"),
+            ("ip", f"10[.]{i % 256}[.]7[.]{i % 200}"),
+        ]
+
+    def other(i):
+        bad = f"{int(card(15, i + 12_345_678_901)) + 1}"
+        return ["host 10[.]999[.]7[.]1", f"order {bad}", f"on 2024-01-{10 + i % 20}", "me @ work. Then"]
+
+    plain = [f"mail a{i}@b.co or call +49 (30) 1234{i:03d}" for i in range(400)]
+    pairs = list(enumerate(plain))
+    want = {}
+    for i in range(400):
+        for k, (kind, form) in enumerate(loose(i)):
+            pairs.append((1000 + 10 * i + k, f"words use {form} and more"))
+            want[pairs[-1][0]] = f"{kind}:10:{10 + len(form)}"
+    for i in range(40):
+        for k, form in enumerate(other(i)):
+            pairs.append((9000 + 10 * i + k, f"words use {form} and more"))
+            want[pairs[-1][0]] = ""
+    spans = {r["doc_id"]: r["spans"] for r in summarised(docs(pairs)).collect()}
+    assert {i: spans[i] for i in want} == want
+
+
 def test_redaction_takes_spans_out_and_leaves_the_rest(stored_table):
     rows = [
         (1, "write a@b.co, now", 17, "k"), (2, None, None, "k"), (3, "", 0, None),
