@@ -152,7 +152,7 @@ RULES = (
     ("Unlicense", ("unlicense",)),
 )
 # A sentence without one of these is none of the above.
-HINT = r"(?i)licen[cs]e|permission|redistribut|free software|\bmpl\b|unencumbered"
+HINT = r"(?i)licen[cs]e|permission|redistribut|free software|\bmpl\b|unencumbered|merchantab"
 # What an identifier line names ends there.
 NAMED = r"(?i)(spdx-license-identifier:[ \t]*[A-Za-z0-9.-]+)"
 # A line that starts like the middle of a sentence goes on with one that has no end.
@@ -161,6 +161,22 @@ SENTENCE_END = r"([.!?])[^A-Za-z0-9_ \t\r\n]*[ \t\r\n]+"
 LINES = r"[\r\n]+"
 OTHER = r"[^a-z0-9]+"
 BARRIER = ";"
+# Between sentences, and between lines that may be one sentence or two.
+HARD, SOFT = "\x01", "\x02"
+MARKS = r"[\x01-\x03]"
+# A blank line, or one with a comment's marks only. What goes on in lower case may
+# belong to what stands before it, as the address of a licence does.
+BLANK = r"\n[^A-Za-z0-9\n]*+\n[^A-Za-z0-9]*+"
+NEW_PART = r"\x03(?![a-z0-9])"
+NEWLINE = r"\n|\x03"
+# Whoever is named, the sentence is the same.
+HOLDER = (
+    r"(?i)\bneither[^a-z0-9]+the[^a-z0-9]+names?[^a-z0-9]+of\b.{1,200}?\bnor[^a-z0-9]+the"
+    r"[^a-z0-9]+names?[^a-z0-9]+of[^a-z0-9]+(?:its|their|any|other)[^a-z0-9]+contributors\b"
+)
+ANY_HOLDER = (
+    "neither the name of the copyright holder nor the names of its contributors"
+)
 
 
 def known_sentences() -> dict[str, str]:
@@ -180,19 +196,44 @@ def rules() -> list[tuple[str, str]]:
     ]
 
 
+def _any_sentence() -> str:
+    """Pattern of the known sentences between two line or sentence ends, longest first.
+
+    Lines may end within a sentence, whatever the next one starts with.
+    """
+    longest = sorted(known_sentences(), key=lambda s: (-len(s), s))
+    return rf"(?<=\x02)(?:{'|'.join(s.replace(' ', '[ \x02]') for s in longest)})(?=\x02)"
+
+
 def sentence_ids(text: Column) -> Column:
-    """Identifiers of the known sentences of a text, in order."""
-    ended = F.regexp_replace(text, NAMED, "$1.")
-    joined = F.regexp_replace(ended, WRAPPED, "$1 $2")
-    parts = F.split(F.regexp_replace(joined, SENTENCE_END, "$1\n"), LINES, -1)
-    plain = F.transform(
-        F.filter(parts, lambda s: s.rlike(HINT)),
-        lambda s: F.trim(F.regexp_replace(F.lower(s), OTHER, " ")),
+    """Identifiers of the known sentences of a text, in order.
+
+    A known sentence starts and ends where a sentence or a line does. Lines within it
+    may start with anything, such as the marks of a comment.
+    """
+    lines = F.regexp_replace(F.regexp_replace(text, MARKS, " "), r"\r\n?", "\n")
+    ended = F.regexp_replace(lines, NAMED, "$1.")
+    named = F.regexp_replace(ended, f"(?s){HOLDER}", ANY_HOLDER)
+    joined = F.regexp_replace(named, WRAPPED, "$1 $2")
+    cut = F.regexp_replace(joined, SENTENCE_END, f"$1{HARD}")
+    blank = F.regexp_replace(F.regexp_replace(cut, BLANK, "\x03"), NEW_PART, HARD)
+    parts = F.split(F.regexp_replace(blank, NEWLINE, SOFT), HARD, -1)
+
+    def plain(s: Column) -> Column:
+        words = F.regexp_replace(F.lower(s), r"[^a-z0-9\x02]+", " ")
+        lined = F.regexp_replace(words, r" ?\x02[ \x02]*", SOFT)
+        return F.concat(F.lit(SOFT), F.trim(lined), F.lit(SOFT))
+
+    pattern = F.lit(_any_sentence())
+    found = F.flatten(
+        F.transform(
+            F.filter(parts, lambda s: s.rlike(HINT)),
+            lambda s: F.regexp_extract_all(plain(s), pattern, F.lit(0)),
+        )
     )
     pairs = [F.lit(x) for pair in known_sentences().items() for x in pair]
     known = F.create_map(*pairs)
-    found = F.transform(plain, lambda s: F.try_element_at(known, s))
-    return F.filter(found, lambda s: s.isNotNull())
+    return F.transform(found, lambda s: F.try_element_at(known, F.translate(s, SOFT, " ")))
 
 
 def licences_of(ids: Column) -> Column:

@@ -51,6 +51,79 @@ def test_known_texts(stored_table):
         assert (r["sentence_ids"], r["licences"]) == (ids, licences)
 
 
+APACHE_HEADER = """Copyright 2020 The Authors
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL_HEADER = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+MIT_HEADER = """Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR"""
+HEADERS = [
+    (APACHE_HEADER, ["apache2-header", "apache2-copy", "apache2-unless", "apache2-see"], ["Apache-2.0"]),
+    (GPL_HEADER, ["gpl3-later", "gpl-hope", "gpl-received"], ["GPL-3.0-or-later"]),
+    (MIT_HEADER, ["mit-grant", "mit-notice"], ["MIT"]),
+]
+ENDORSE_BY = """
+3. Neither the name of Example Inc. nor the
+   names of its contributors may be used to endorse or promote products
+   derived from this software without specific prior written permission."""
+
+
+def commented(text, leader, first="", last=""):
+    lines = [f"{leader}{line}".rstrip() for line in text.split("\n")]
+    return "\n".join([*([first] if first else []), *lines, *([last] if last else []), "code = 1"])
+
+
+def test_source_headers_with_and_without_comment_marks(stored_table):
+    cases = [
+        (way(text), ids, licences)
+        for text, ids, licences in HEADERS
+        for way in (
+            str, lambda t: commented(t, "# "), lambda t: commented(t, "// "),
+            lambda t: commented(t, " * ", "/*", " */"), lambda t: t.replace("\n", "\r\n"),
+        )
+    ]
+    three = ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"]
+    cases += [(BSD + ENDORSE_BY, three, ["BSD-3-Clause"])]
+    cases += [(commented(BSD + ENDORSE_BY, "# "), three, ["BSD-3-Clause"])]
+    cases += [("# this project is\n# Licensed under the MIT License", ["mit-project"], ["MIT"])]
+    rows = [(i, t, "en", "s", 1) for i, (t, _, _) in enumerate(cases)]
+    for r in scan(stored_table(rows, DOC_SCHEMA), ["doc_id", "text"]).collect():
+        _, ids, licences = cases[r["doc_id"]]
+        assert (r["sentence_ids"], r["licences"]) == (ids, licences), r["text"]
+
+
 def test_empty_table_and_clashing_columns(stored_table):
     assert scan(stored_table([], DOC_SCHEMA), ["doc_id"]).collect() == []
     clash = stored_table([("Released under the MIT License.", "k")], "text string, found string")
