@@ -28,6 +28,8 @@ INLINE = frozenset(
 )
 APART = frozenset("nav aside footer form menu dialog button fieldset".split())
 LABELS = frozenset(("article", "main"))
+# Of the elements that are set apart, these may also hold a whole page.
+WRAPPERS = frozenset("form fieldset dialog header".split())
 ASIDE_WORDS = frozenset(
     "ad ads advert advertisement advertising banner sponsor sponsored promo promotion sidebar "
     "menu nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent "
@@ -45,6 +47,8 @@ _TOKEN = re.compile(
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"\w+")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+# A class like has-sidebar or no-comments says what a page has, not what the element is.
+_STATE = re.compile(r"(?<![\w-])(?:has|no|with|without|hide|show|is)[-_][\w-]*", re.I)
 _SPACE = re.compile(r"\s+")
 
 
@@ -62,9 +66,31 @@ class Item:
 
 @dataclass
 class _Open:
+    """An open element; `mark` and `core` are the innermost ones it is in, or -1."""
+
     name: str
-    apart: bool
-    labelled: bool
+    mark: int = -1
+    core: int = -1
+
+
+@dataclass
+class _Mark:
+    """An element that may be set apart, within mark `outer` and core `core`."""
+
+    outer: int
+    core: int
+    wrapper: bool
+    words: int = 0
+    opened: bool = False
+
+
+@dataclass
+class _Core:
+    """An article or main element within no other, and the mark it is in."""
+
+    mark: int
+    named: bool
+    words: int = 0
 
 
 @dataclass
@@ -91,35 +117,80 @@ def _names_aside(attributes: str) -> bool:
     """Whether a class, id or role names a part that is no article text."""
     for found in _NAMES.finditer(attributes):
         value = next(x for x in found.groups() if x is not None)
+        value = _STATE.sub(" ", value)
         if any(part.lower() in ASIDE_WORDS for part in _PARTS.findall(value)):
             return True
     return False
 
 
+def _open_wrappers(marks: list[_Mark], cores: list[_Core], words: int) -> None:
+    """Note which of the marked elements are not set apart, as they hold the page.
+
+    `marks` and `cores` come with the words directly in them. Opened are those around
+    the page's core, which is the longest article or main element, one not named as an
+    aside rather than one that is; and wrappers with more than half of the words of the
+    core they are in or, on a page without cores, of the page.
+    """
+    for mark in reversed(marks):
+        if mark.outer >= 0:
+            marks[mark.outer].words += mark.words
+    filled = [core for core in cores if core.words]
+    if filled:
+        at = max(filled, key=lambda c: (not c.named, c.words)).mark
+        while at >= 0:
+            marks[at].opened = True
+            at = marks[at].outer
+    for mark in marks:
+        if mark.core >= 0:
+            scope = cores[mark.core].words
+        else:
+            scope = 0 if filled else words
+        if mark.wrapper and scope and 2 * mark.words > scope:
+            mark.opened = True
+
+
 def read_items(page: str) -> list[Item]:
     """Tags and texts in order, scripts, styles and comments left out.
 
+    What is in a form, an aside and the like, or in an element named as such, is set
+    apart, unless that element holds the page (see `_open_wrappers`).
+
     Unclosed and stray tags are taken as browsers do for the most part: a block closes
     an open paragraph, an end tag closes what is open above its start.
     """
     items: list[Item] = []
+    places: list[int] = []
     stack: list[_Open] = []
-    at = 0
+    marks: list[_Mark] = []
+    cores: list[_Core] = []
+    bare = _Open("")
+    total = at = 0
+
+    def put(item: Item, mark: int) -> None:
+        items.append(item)
+        places.append(mark)
 
     def close(depth: int) -> None:
         del stack[depth:]
 
     def text(raw: str) -> None:
+        nonlocal total
         words = len(_WORD.findall(raw))
         if not words and not raw.strip():
             if raw and items:
-                items.append(Item("", raw))
+                put(Item("", raw), -1)
             return
         block = next((e.name for e in reversed(stack) if e.name not in INLINE), "")
         link = any(e.name == "a" for e in stack)
-        top = stack[-1] if stack else _Open("", False, False)
-        key = f"{'-' if top.apart else ''}{block}{'/a' if link else ''}"
-        items.append(Item(f"w {key}", raw, max(words, 1), False, top.apart, top.labelled))
+        top = stack[-1] if stack else bare
+        words = max(words, 1)
+        total += words
+        if top.mark >= 0:
+            marks[top.mark].words += words
+        if top.core >= 0:
+            cores[top.core].words += words
+        key = f"w {block}{'/a' if link else ''}"
+        put(Item(key, raw, words, labelled=top.core >= 0), top.mark)
 
     while found := _TOKEN.search(page, at):
         text(page[at : found.start()])
@@ -127,12 +198,12 @@ def read_items(page: str) -> list[Item]:
         name = (found[2] or "").lower()
         if not name:
             continue
-        top = stack[-1] if stack else _Open("", False, False)
+        top = stack[-1] if stack else bare
         if found[1]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].name == name), -1)
             if depth >= 0:
                 close(depth)
-            top = stack[-1] if stack else _Open("", False, False)
+            top = stack[-1] if stack else bare
         elif name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             if end:
@@ -150,17 +221,33 @@ def read_items(page: str) -> list[Item]:
                 lists = any(e.name in ("ul", "ol") for e in stack[depth + 1 :])
                 if depth >= 0 and not lists:
                     close(depth)
-            top = stack[-1] if stack else _Open("", False, False)
-            labelled = top.labelled or name in LABELS
-            header = name == "header" and not top.labelled
-            named = name not in LABELS and name != "body" and _names_aside(found[3])
-            apart = top.apart or name in APART or header or named
+            top = stack[-1] if stack else bare
+            named = name != "body" and _names_aside(found[3])
+            header = name == "header" and top.core < 0
+            mark, core = top.mark, top.core
+            if name in LABELS:
+                if core < 0:
+                    core = len(cores)
+                    cores.append(_Core(mark, named))
+            elif name in APART or header or named:
+                mark = len(marks)
+                wrapper = name in WRAPPERS or name not in APART
+                marks.append(_Mark(top.mark, core, wrapper))
+            top = _Open(name, mark, core)
             if not found[3].endswith("/"):
-                stack.append(_Open(name, apart, labelled))
-            top = _Open(name, apart, labelled)
-        key = "" if name in LABELS else f"t {'-' if top.apart else ''}{name}"
-        items.append(Item(key, " ", 0, name not in INLINE, top.apart, top.labelled))
+                stack.append(top)
+        key = "" if name in LABELS else f"t {name}"
+        put(Item(key, " ", 0, name not in INLINE, labelled=top.core >= 0), top.mark)
     text(page[at:])
+    _open_wrappers(marks, cores, total)
+    apart: list[bool] = []
+    for mark in marks:
+        apart.append(not mark.opened or (mark.outer >= 0 and apart[mark.outer]))
+    for item, place in zip(items, places, strict=True):
+        if place >= 0 and apart[place]:
+            item.apart = True
+            if item.key:
+                item.key = f"{item.key[:2]}-{item.key[2:]}"
     return items
 
 

@@ -69,6 +69,31 @@ def test_odd_pages(page, text):
     assert main_text(page, PageModel()) == text
 
 
+POST = "<h1>A longer title</h1><p>Some words of a post.</p><p>More of them in here.</p>"
+MENU = "<nav><a href=/>Home</a></nav>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<body><form id="aspnetForm">{MENU}<div>{POST}</div></form></body>',
+        f'<body>{MENU}<div class="layout has-sidebar">{POST}</div></body>',
+        f'<body>{MENU}<div class="post no-comments">{POST}</div></body>',
+        f'<html class="js cookie ok"><body>{MENU}{POST}</body></html>',
+        f'<body class="x"><form><div class="sidebar-layout"><div class="post comments-open">{POST}</div>'
+        '<div class="sidebar"><p>Aside</p></div></div></form></body>',
+        f'<body><div class="page search"><p>{"many words here " * 9}</p></div>'
+        f'<div class="page comments-open"><article class="post comments-open">{POST}</article></div>'
+        "</body>",
+        f'<main><div class="sidebar-layout">{POST}</div></main>',
+        f'<main>{POST}<section class="comments"><p>Great!</p></section></main>',
+        f'<main>{POST}</main><div class="comments"><p>{"many great words " * 30}</p></div>',
+    ],
+)
+def test_named_elements_around_a_page_do_not_empty_it(page):
+    assert main_text(page, PageModel()) == "A longer title\nSome words of a post.\nMore of them in here."
+
+
 def test_long_pages_take_no_longer_than_their_length():
     for page in ("<" * 300_000, "<a " * 100_000, "<p>word " * 20_000, "<a b='" * 100_000):
         main_text(page, PageModel())
