@@ -9,7 +9,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType
 
@@ -18,7 +18,11 @@ from meterlake.session import stored
 
 FEATURES = 1 << 14
 ROWS_PER_LANGUAGE = 400
-MAX_LANGUAGES = 200
+# Documents whose margins the driver gets to calibrate bits, and at least for a language.
+CALIBRATED_ROWS = 80_000
+CALIBRATED_LEAST = 20
+# Shares of trigrams are summed as whole numbers, so their order does not matter.
+UNIT = 1 << 40
 WINDOW = 1 << 20
 # Below this lead of the best language over the next, the answer counts as ambiguous.
 LEAD = 0.05
@@ -46,6 +50,17 @@ def trigrams(text: str) -> Iterator[np.ndarray]:
         yield (mixed >> 18)[inside].astype(np.int64)
 
 
+def _least_apart(code: np.ndarray) -> float:
+    """Least distance between two rows, by blocks of rows."""
+    least = np.inf
+    for start in range(0, len(code), 1024):
+        apart = (code.shape[1] - code[start : start + 1024] @ code.T) / 2
+        rows = np.arange(len(apart))
+        apart[rows, start + rows] = np.inf
+        least = min(least, apart.min())
+    return least
+
+
 def codewords(count: int) -> np.ndarray:
     """One row of +1/-1 per language, rows far apart, no two columns alike.
 
@@ -65,8 +80,7 @@ def codewords(count: int) -> np.ndarray:
     for _ in range(200):
         code = draw.choice((-1.0, 1.0), size=(count, bits))
         code = code[:, np.abs(code.sum(axis=0)) < count]
-        apart = (code.shape[1] - code @ code.T) / 2
-        least = apart[~np.eye(count, dtype=bool)].min()
+        least = _least_apart(code)
         if least > most:
             best, most = code, least
     return best
@@ -125,68 +139,90 @@ def _platt(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return theta[0] / scale, theta[1]
 
 
-def fit(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> LanguageModel:
-    """Train on (language, feature numbers, their counts) of sampled documents."""
-    languages = sorted({lang for lang, _, _ in rows})
-    code = codewords(len(languages))
-    bits = code.shape[1]
-    place = {lang: i for i, lang in enumerate(languages)}
-    counts = np.zeros((len(languages), FEATURES))
-    for lang, index, n in rows:
-        counts[place[lang], index] += n / max(n.sum(), 1)
+def _weights(code: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Weights (feature x bit) from sums of trigram shares (language x feature)."""
     share = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1e-9)
-    weights = np.zeros((FEATURES, bits), dtype=np.float32)
+    weights = np.zeros((FEATURES, code.shape[1]), dtype=np.float32)
     smooth = 1e-6
-    for b in range(bits):
-        up = share[code[:, b] > 0].mean(axis=0) + smooth
-        down = share[code[:, b] < 0].mean(axis=0) + smooth
+    for b in range(code.shape[1]):
+        is_up = (code[:, b] > 0).astype(float)
+        up = is_up @ share / is_up.sum() + smooth
+        down = (1 - is_up) @ share / (1 - is_up).sum() + smooth
         weights[:, b] = np.log(up) - np.log(down)
-    is_of = np.array([place[lang] for lang, _, _ in rows], dtype=int)
-    values = np.array(
-        [(weights[i] * n[:, None]).sum(axis=0) / max(n.sum(), 1) for _, i, n in rows]
-    ).reshape(len(rows), bits)
+    return weights
+
+
+def _values(weights: np.ndarray, index: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Mean weight of a document's trigrams, by bit."""
+    return (weights[index] * n[:, None]).sum(axis=0) / max(n.sum(), 1)
+
+
+def _calibrated(
+    languages: list[str],
+    code: np.ndarray,
+    weights: np.ndarray,
+    is_of: np.ndarray,
+    values: np.ndarray,
+) -> LanguageModel:
+    """The model, with bits calibrated on documents' languages and values."""
+    bits = code.shape[1]
     slope, shift = np.ones(bits), np.zeros(bits)
     trust = np.ones((len(languages), bits))
+    seen = np.bincount(is_of, minlength=len(languages))
     for b in range(bits):
         truth = code[is_of, b]
         slope[b], shift[b] = _platt(values[:, b], truth)
         right = (slope[b] * values[:, b] + shift[b]) * truth > 0
-        for k in range(len(languages)):
-            trust[k, b] = (right[is_of == k].sum() + 1) / ((is_of == k).sum() + 2)
+        of_each = np.bincount(is_of, weights=right, minlength=len(languages))
+        trust[:, b] = (of_each + 1) / (seen + 2)
     if bits:
         trust *= bits / trust.sum(axis=1, keepdims=True)
     return LanguageModel(languages, code, weights, slope, shift, trust)
 
 
+def fit(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> LanguageModel:
+    """Train on (language, feature numbers, their counts) of sampled documents."""
+    languages = sorted({lang for lang, _, _ in rows})
+    code = codewords(len(languages))
+    place = {lang: i for i, lang in enumerate(languages)}
+    counts = np.zeros((len(languages), FEATURES))
+    for lang, index, n in rows:
+        counts[place[lang], index] += n / max(n.sum(), 1)
+    weights = _weights(code, counts)
+    is_of = np.array([place[lang] for lang, _, _ in rows], dtype=int)
+    values = np.array([_values(weights, i, n) for _, i, n in rows])
+    return _calibrated(
+        languages, code, weights, is_of, values.reshape(len(rows), code.shape[1])
+    )
+
+
 def train(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> LanguageModel:
     """Fit on about `rows_per_language` documents of each language.
 
     Only rows with a language and text that are not held out count. Which of them are
     taken follows from a hash of their id, at a rate from the language's row count, so
-    no language's rows meet in one task. Of more than `MAX_LANGUAGES` values of lang
-    the most frequent are learned. The driver receives counts of at most `FEATURES`
-    trigrams a document, not texts.
+    no language's rows meet in one task. Every value of lang is learned. The driver
+    receives a sum per language and trigram, at most `FEATURES` a language, and a value
+    per bit of some of the documents: about `CALIBRATED_ROWS` in all, or
+    `CALIBRATED_LEAST` a language where that is more.
     """
     usable = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id")
     )
-    found = (
-        usable.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-        .limit(MAX_LANGUAGES).collect()
-    )
-    if not found:
+    found = stored(usable.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
+    languages = sorted(r["lang"] for r in found.select("lang").collect())
+    if not languages:
         return fit([])
-    rate: Column = F.lit(0.0)
-    for lang, n in found:
-        rate = F.when(F.col("lang") == lang, min(1.0, rows_per_language / n)).otherwise(
-            rate
-        )
+    number = {lang: i for i, lang in enumerate(languages)}
+    rate = F.least(F.lit(1.0), F.lit(float(rows_per_language)) / F.col("rows"))
     mixed = F.xxhash64(F.lit("language"), "doc_id", F.length("text"))
     place = F.pmod(mixed, F.lit(1 << 30)) / (1 << 30)
+    each = max(CALIBRATED_LEAST, CALIBRATED_ROWS / len(languages))
+    calibrates = place < rate * F.lit(min(1.0, each / rows_per_language))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            index, counts = [], []
+            index, counts, shares = [], [], []
             for text in batch.column("text").to_pylist():
                 total = np.zeros(FEATURES, dtype=np.int64)
                 for part in trigrams(text):
@@ -194,30 +230,65 @@ def train(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Langua
                 at = np.flatnonzero(total)
                 index.append(at.astype(np.int32))
                 counts.append(total[at])
+                shares.append((total[at] / max(total.sum(), 1) * UNIT).astype(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("lang"),
+                    batch.column("calibrates"),
                     pa.array(index, type=pa.list_(pa.int32())),
                     pa.array(counts, type=pa.list_(pa.int64())),
+                    pa.array(shares, type=pa.list_(pa.int64())),
                 ],
-                names=["lang", "idx", "n"],
+                names=["lang", "calibrates", "idx", "n", "share"],
             )
 
-    sample = (
-        usable.where(place < rate)
-        .select("lang", "text")
-        .mapInArrow(counted, "lang string, idx array<int>, n array<long>")
+    sample = stored(
+        joined_by_row(usable, found, "lang")
+        .where(place < rate)
+        .select("lang", calibrates.alias("calibrates"), "text")
+        .mapInArrow(
+            counted,
+            "lang string, calibrates boolean, idx array<int>, n array<long>, share array<long>",
+        ),
+        "sample",
+    )
+
+    def places(table: pa.Table) -> np.ndarray:
+        coded = table.column("lang").combine_chunks().dictionary_encode()
+        known = np.array([number[x] for x in coded.dictionary.to_pylist()], dtype=int)
+        return known[coded.indices.to_numpy()]
+
+    sums = (
+        sample.select("lang", F.explode(F.arrays_zip("idx", "share")).alias("f"))
+        .groupBy("lang", F.col("f.idx").alias("idx"))
+        .agg(F.sum("f.share").alias("share"))
         .toArrow()
     )
-    langs = sample.column("lang").to_pylist()
-    index, counts = (
-        sample.column(c).combine_chunks() if len(langs) else [] for c in ("idx", "n")
+    counts = np.zeros((len(languages), FEATURES))
+    counts[places(sums), sums.column("idx").to_numpy()] = sums.column("share").to_numpy() / UNIT
+    code = codewords(len(languages))
+    weights = _weights(code, counts)
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [
+                _values(shared.value, i.values.to_numpy(), n.values.to_numpy())
+                for i, n in zip(batch.column("idx"), batch.column("n"), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("lang"), pa.array(values, type=pa.list_(pa.float64()))],
+                names=["lang", "value"],
+            )
+
+    said = (
+        sample.where("calibrates").select("lang", "idx", "n")
+        .mapInArrow(valued, "lang string, value array<double>")
+        .toArrow()
     )
-    return fit(
-        [
-            (lang, i.values.to_numpy(), n.values.to_numpy())
-            for lang, i, n in zip(langs, index, counts, strict=True)
-        ]
+    values = said.column("value").combine_chunks().flatten().to_numpy()
+    return _calibrated(
+        languages, code, weights, places(said), values.reshape(len(said), code.shape[1])
     )
 
 

@@ -22,6 +22,22 @@ def test_held_out_documents_get_their_language(spark, stored_table, sample):
     assert all(0 <= r["score"] <= 1 for r in said)
 
 
+def test_every_language_is_learned_however_many_there_are(stored_table):
+    draw = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    rows = []
+    for k in range(230):
+        words = ["".join(draw.choice(letters, 5)) for _ in range(12)]
+        rows += [
+            (10 * k + i, " ".join(draw.choice(words, 40)), f"l{k:03d}", "s", 0) for i in range(8)
+        ]
+    table = stored_table(rows, DOC_SCHEMA)
+    model = train(table)
+    assert model.languages == sorted({r[2] for r in rows})
+    said = identify(table, model, ["lang"]).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in said) >= 0.97 * len(rows)
+
+
 def test_odd_texts_have_a_defined_answer(stored_table, sample):
     odd = [None, "", "123 !!", " \n", "é", "a " * 300_000, "漢字", "²"]
     rows = [(d, t, lang, "s", 0) for d, t, lang in sample[:80]]
