@@ -330,11 +330,15 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFram
 def keep_known(docs: DataFrame) -> DataFrame:
     """`docs` without texts in no known language; all its columns stay.
 
-    Rejected are texts that are `und` or ambiguous between two languages.
+    Rejected are texts that are `und` or ambiguous between two languages. If no row has
+    a language to learn from, only null texts and texts without letters are.
     """
+    model = train(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     row = fresh(docs, "row")
     placed = numbered(docs, row)
-    said = identify(placed.select(row, "text"), train(docs), [row])
+    said = identify(placed.select(row, "text"), model, [row])
     gone = said.where((F.col("lang_pred") == UNKNOWN) | F.col("ambiguous"))
     gone = stored(gone.select(row), "rejected")
     return joined_by_row(placed, gone, row, "left_anti").drop(row)

@@ -64,6 +64,14 @@ def test_without_labels_nothing_is_known(stored_table):
     assert identify(empty, fit([]), ["doc_id"]).collect() == []
 
 
+def test_without_labels_texts_with_letters_are_kept(stored_table):
+    texts = ["some words", "漢字", None, "", "12 ²!", "é"]
+    table = stored_table([(i, t, None, "s", 1) for i, t in enumerate(texts)], DOC_SCHEMA)
+    kept = keep_known(table)
+    assert kept.columns == table.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 5]
+
+
 def test_one_language_is_always_the_answer(stored_table):
     rows = [(i, "the words of one tongue", "en", "s", 1) for i in range(20)]
     table = stored_table(rows, DOC_SCHEMA)
