@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from meterlake.llm import language, licenses, main_text, quality
 from meterlake.llm.byte_bpe import encode
 from meterlake.llm.common import held_out, ship_package, table
+from meterlake.llm.concat_cut import concat_and_cut
 from meterlake.llm.exact_dedup import exact_duplicates
 from meterlake.llm.packing import pack
 from meterlake.llm.pii import summarised
@@ -83,6 +84,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(docs, ranks, public_tokenizers.PATTERN, ["doc_id"])
 
 
+def op13_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return concat_and_cut(table(spark, sf_dir, "documents"), tokenizer, ["doc_id"])
+
+
 def ready(build: Query) -> Query:
     """The query, once executors can import what it sends them."""
 
@@ -105,6 +111,7 @@ _QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_licenses": op9_licenses,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_concat_cut": op13_concat_cut,
 }
 
 LLM_QUERIES = {name: ready(build) for name, build in _QUERIES.items()}

@@ -1,0 +1,102 @@
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from meterlake.llm import concat_cut
+from meterlake.llm.concat_cut import Windows, concat_and_cut, task_offsets, windows_of_rest
+from tests.llm.test_word_ids import ODD
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def reference(texts):
+    tokenizer = Tokenizer.from_file(PATH)
+    return [
+        np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], dtype="<u4")
+        for t in texts
+    ]
+
+
+def padding(lengths, size):
+    return sum(size - n for n in lengths if n & (n - 1))
+
+
+@pytest.mark.parametrize("size", [64, 100, 4096])
+def test_every_id_is_in_one_piece_and_nothing_is_padded(docs, sample, size):
+    pairs = [(d, t) for d, t, _ in sample[:80]] + [(10_000 + i, t) for i, t in enumerate(ODD)]
+    pairs += [pairs[0], (None, "again"), (10_999, "")]
+    want = Counter()
+    for (doc_id, _), ids in zip(pairs, reference([t for _, t in pairs]), strict=True):
+        want[doc_id, ids.tobytes()] += 1
+    found = concat_and_cut(docs(pairs), PATH, ["doc_id"], size, with_ids=True).collect()
+    sequences = defaultdict(list)
+    for r in found:
+        assert r["length"] > 0
+        assert len(r["ids"]) == 4 * r["length"]
+        assert zlib.crc32(r["ids"]) == r["ids_crc32"]
+        sequences[r["sequence_id"]].append(r)
+    lengths = []
+    for parts in sequences.values():
+        at = 0
+        for r in sorted(parts, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= size
+        lengths.append(at)
+    total = sum(len(ids) // 4 * n for (_, ids), n in want.items())
+    assert sum(lengths) == total
+    assert lengths.count(size) >= total // size
+    assert len(lengths) <= total // size + size.bit_length()
+    assert padding(lengths, size) == padding([size] * (total // size), size)
+    # the line, in the order of sequences, is every document's ids one after the other
+    line = sorted(found, key=lambda r: (r["sequence_id"], r["offset"]))
+    got, ids, doc = Counter(), b"", None
+    for r in line:
+        assert r["start"] == len(ids) // 4
+        ids += bytes(r["ids"])
+        if len(ids) // 4 == r["doc_tokens"]:
+            got[r["doc_id"], ids] += 1
+            ids = b""
+    assert ids == b"" and got == want
+
+
+def test_the_rest_can_stay_whole(docs):
+    rows = concat_and_cut(docs([(1, "a b c d e f g")]), PATH, ["doc_id"], 5, whole_rest=True)
+    assert sorted((r["sequence_id"], r["start"], r["length"], r["offset"]) for r in rows.collect()) == [
+        (0, 0, 5, 0), (1, 5, 3, 0),
+    ]
+
+
+def test_empty_tables_and_clashing_columns(spark, docs, tmp_path):
+    assert concat_and_cut(docs([]), PATH, ["doc_id"]).collect() == []
+    path = str(tmp_path / "clash")
+    spark.createDataFrame(
+        [(1, "a b", 7, 8, 9, 10)], "doc_id long, text string, task int, tokens int, group int, _ids int"
+    ).write.parquet(path)
+    keep = ["doc_id", "task", "tokens", "group", "_ids"]
+    rows = concat_and_cut(spark.read.parquet(path), PATH, keep).collect()
+    assert [tuple(r[c] for c in keep) for r in rows] == [(1, 7, 8, 9, 10)] * 2
+    assert sorted(r["length"] for r in rows) == [1, 2]
+
+
+def test_offsets_of_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(concat_cut, "TASKS_A_GROUP", 3)
+    totals = [(t, 10 * t + 1) for t in (0, 1, 4, 5, 6, 11, 12)]
+    found = task_offsets(spark.createDataFrame(totals, "task long, n long"), "task", "n", "ahead")
+    want, at = {}, 0
+    for t, n in totals:
+        want[t], at = at, at + n
+    assert {r["task"]: r["ahead"] for r in found.collect()} == want
+
+
+def test_windows():
+    assert windows_of_rest(0) == [] and windows_of_rest(13) == [8, 4, 1]
+    windows = Windows(2 * 16 + 13, 16, whole_rest=False)
+    place = np.arange(45)
+    number = windows.number(place)
+    assert Counter(number.tolist()) == {0: 16, 1: 16, 2: 8, 3: 4, 4: 1}
+    assert windows.start(np.arange(6)).tolist() == [0, 16, 32, 40, 44, 45]
