@@ -67,9 +67,69 @@ WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER best <= 10
 """
 
+_CAPITALS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+# crc32 runs over the UTF-8 bytes of code points below 256, by a table of 256 remainders.
+OP11 = f"""
+WITH RECURSIVE bits AS (
+    SELECT k, 0 AS i, k AS c FROM range(256) AS r(k)
+    UNION ALL
+    SELECT k, i + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+    FROM bits WHERE i < 8
+), crc AS (
+    SELECT list(c ORDER BY k) AS t FROM bits WHERE i = 8
+), runs AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d,
+           translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), {_CAPITALS}) AS run
+    FROM documents
+), counted AS (
+    SELECT d, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY d, run
+), bytes AS (
+    SELECT run, n, flatten(list_transform(string_split(d || ':' || run, ''),
+               lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)]
+                         ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END)) AS b
+    FROM counted
+), hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(list_transform(b, lambda x: CAST(x AS BIGINT)),
+               lambda h, x: xor(h >> 8, t[CAST(xor(h & 255, x) AS INTEGER) + 1]), CAST(4294967295 AS BIGINT))) AS h
+    FROM bytes, crc
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n
+    FROM (SELECT CASE WHEN h % 31 = 0 THEN left(run, CAST(h % length(run) AS INTEGER))
+                           || substring(run, CAST(h % length(run) AS INTEGER) + 2)
+                      ELSE run END AS word, n FROM hashed)
+    GROUP BY word HAVING length(word) >= 7 AND sum(n) >= 2
+), gaps AS (
+    SELECT word, n, i, left(word, i - 1) || substring(word, i + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+    SELECT a.word, a.n, b.word AS form, b.n AS form_n
+    FROM gaps a JOIN gaps b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION
+    SELECT g.word, g.n, w.word, w.n FROM gaps g JOIN words w ON g.rest = w.word
+    UNION
+    SELECT w.word, w.n, g.word, g.n FROM gaps g JOIN words w ON g.rest = w.word
+), best AS (
+    SELECT word, form, form_n FROM near
+    QUALIFY row_number() OVER (PARTITION BY word ORDER BY form_n DESC, form) = 1 AND form_n >= 10 * n
+), path AS (
+    SELECT word, form AS root FROM best
+    UNION ALL
+    SELECT path.word, best.form FROM path JOIN best ON path.root = best.word
+), roots AS (
+    SELECT word, root FROM path WHERE root NOT IN (SELECT word FROM best)
+), sizes AS (
+    SELECT word, count(*) AS n_near FROM near GROUP BY word
+)
+SELECT words.word, best.form, coalesce(roots.root, words.word) AS root, words.n,
+       coalesce(n_near, 0) AS n_near, best.form_n
+FROM words LEFT JOIN best USING (word) LEFT JOIN roots USING (word) LEFT JOIN sizes USING (word)
+"""
+
 LLM_ORACLE: dict[str, str] = {
     "op5_top_k": OP5,
     "op4_ngram_join": OP4,
     "op7_exact_dedup": OP7,
     "op9_licenses": scan_sql(),
+    "op11_spelling": OP11,
 }

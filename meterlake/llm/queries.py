@@ -17,7 +17,9 @@ from meterlake.llm.exact_dedup import exact_duplicates
 from meterlake.llm.packing import pack
 from meterlake.llm.pii import summarised
 from meterlake.llm.shingle_join import near_duplicates
+from meterlake.llm.spelling import variants
 from meterlake.llm.top_k import top_k
+from meterlake.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +86,16 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(docs, ranks, public_tokenizers.PATTERN, ["doc_id"])
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whiten(table(spark, sf_dir, "embeddings"), ["vec_id"])
+    # null where the exact sum is no 64-bit number
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 def op13_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return concat_and_cut(table(spark, sf_dir, "documents"), tokenizer, ["doc_id"])
@@ -111,6 +123,8 @@ _QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_licenses": op9_licenses,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_spelling": op11_spelling,
+    "op12_whitening": op12_whitening,
     "op13_concat_cut": op13_concat_cut,
 }
 
