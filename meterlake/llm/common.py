@@ -72,7 +72,7 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
 
 
 def joined_by_row(
-    facts: DataFrame, picked: DataFrame, key: str, how: str = "inner"
+    facts: DataFrame, picked: DataFrame, key: str | list[str], how: str = "inner"
 ) -> DataFrame:
     """`facts` joined to `picked`, a stored table with few narrow columns, unique in `key`.
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import re
 import zlib
-from array import array
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -16,123 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from meterlake.llm.common import fresh
+from meterlake.llm.common import fresh, joined_by_row
+from meterlake.llm.word_ids import word_ids
 from meterlake.session import stored
 
 SEQUENCE = 2048
 END_ID = 0
-# Words and stems of one worker are remembered up to this many, then forgotten all at
-# once; longer ones are not remembered.
-CACHE_WORDS = 300_000
-CACHE_LETTERS = 64
-SLICE_CHARS = 1 << 20
-# White space to Python, not to the tokenizer: it would hide characters from it.
-_SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 _PIECE = "piece int, start long, length long, ids_crc32 long, ids binary"
 
 
-# Marks that end a word when they follow a letter: the tokenizer splits before them. An
-# apostrophe is not among them.
-_MARKS = "".join(
-    c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'"
-)
-# Letters that stand for themselves, whatever is around them, once in lower case.
-_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+")
-
-
-def _byte_letters() -> dict[int, str]:
-    """The letter that byte-level tokenizers have for each byte."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
-
-
-class WordEncoder:
-    """Ids of a text, word by word, each word tokenized once.
-
-    The tokenizer drops white space and never joins across it, so the ids of a text are
-    those of its words, one after the other. Nor does it join a letter with a mark after
-    it, so a word's ids are those of its stem and of the marks at its end.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
-        self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        """Ids of any text, by the tokenizer's own steps."""
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def plain(self, letters: str) -> bytes:
-        """Ids of plain lower-case letters, which need no preparation."""
-        if not letters.isascii():
-            letters = letters.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-
-    def word(self, word: str) -> bytes:
-        """Ids of a word, of which each stem is tokenized once in any case of letters."""
-        stem = word.rstrip(_MARKS)
-        if not stem.isalpha() or not (stem.isascii() or _PLAIN.fullmatch(stem)):
-            return self.whole(word)
-        tail = word[len(stem) :]
-        key = stem.lower()
-        ids = self.stems.get(key)
-        if ids is None:
-            ids = self.plain(key)
-            if len(key) <= CACHE_LETTERS:
-                self.stems[key] = ids
-        if not tail:
-            return ids
-        more = self.tails.get(tail)
-        if more is None:
-            more = self.whole(tail)
-            if len(tail) <= CACHE_LETTERS:
-                self.tails[tail] = more
-        return ids + more
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
-        for cache in (self.words, self.stems, self.tails):
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-        known = self.words
-        for text in texts:
-            if _odd(text):
-                yield self.whole(text)
-                continue
-            parts = text.split()
-            long = {}
-            for word in set(parts).difference(known):
-                (known if len(word) <= CACHE_LETTERS else long)[word] = self.word(word)
-            if long:
-                yield b"".join([long[w] if w in long else known[w] for w in parts])
-            else:
-                yield b"".join(map(known.__getitem__, parts))
-
-
-_encoders: dict[str, WordEncoder] = {}
-
-
-def encoder_of(path: str) -> WordEncoder:
-    """This worker's encoder for a tokenizer file."""
-    if path not in _encoders:
-        _encoders.clear()
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
-
-
-def _odd(text: str) -> bool:
-    return any(c in text for c in _SEPARATORS)
-
-
 def pieces_of(ids: bytes, size: int) -> Iterator[tuple[int, int, bytes]]:
     """Cut a document's ids into (piece, start, ids) of at most `size` ids."""
     for piece, start in enumerate(range(0, len(ids) // 4, size)):
@@ -141,22 +32,24 @@ def pieces_of(ids: bytes, size: int) -> Iterator[tuple[int, int, bytes]]:
 
 def tokenized(
     docs: DataFrame, keep: list[str], tokenizer: str, size: int, with_ids: bool
-) -> DataFrame:
+) -> tuple[DataFrame, str, str]:
     """Pieces of each document: `keep`, piece, start, length, ids_crc32, ids, and the
-    task that made them with the piece's number among those of its length there.
+    task that made them with the piece's number among those of its length there; also
+    the names of these last two columns.
     """
+    text, task_name, place_name = (fresh(docs, n) for n in ("text", "task", "place"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer)
+        encoder = word_ids(tokenizer)
         task = TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            for first, last in _slices(texts):
+            for first, found, bounds in encoder.encode(batch.column(0)):
+                data, ends = found.tobytes(), (bounds * 4).tolist()
                 rows: list[tuple] = []
-                for at, ids in enumerate(encoder.encode(texts[first:last]), first):
-                    for piece, start, part in pieces_of(ids + end, size):
+                for at, (a, b) in enumerate(zip(ends, ends[1:], strict=False), first):
+                    for piece, start, part in pieces_of(data[a:b] + end, size):
                         length = len(part) // 4
                         rows.append(
                             (at, piece, start, length, zlib.crc32(part),
@@ -172,28 +65,16 @@ def tokenized(
         pa.field(n, t)
         for n, t in (
             ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
-            ("ids_crc32", pa.int64()), ("ids", pa.binary()), ("task", pa.int32()),
-            ("place", pa.int64()),
+            ("ids_crc32", pa.int64()), ("ids", pa.binary()), (task_name, pa.int32()),
+            (place_name, pa.int64()),
         )
     ]
     names = [*keep, *(f.name for f in made_types)]
     kept = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    text = fresh(docs, "text")
-    return docs.select(F.col("text").alias(text), *keep).mapInArrow(
-        cut, f"{kept}{_PIECE}, task int, place long"
+    made = docs.select(F.col("text").cast("string").alias(text), *keep).mapInArrow(
+        cut, f"{kept}{_PIECE}, `{task_name}` int, `{place_name}` long"
     )
-
-
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about `SLICE_CHARS` characters together."""
-    first, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= SLICE_CHARS:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+    return made, task_name, place_name
 
 
 # --- the plan: how many sequences hold which lengths ---------------------------------
@@ -361,7 +242,8 @@ def pack(
     offset, and ids (little-endian 32-bit numbers) if asked for.
 
     `docs` is a stored table with a column text; `keep` names columns of it, other
-    than those above. A null text is empty and gives the end id alone; a document of
+    than those above. Strings of the tokenizer's special tokens in a text are those
+    tokens, as in its default call. A null text is empty and gives the end id alone; a document of
     more than `size` ids is cut, and only then. Repeated rows are packed each. An empty
     table gives no rows. Which of equally long pieces goes where follows from the order
     of reading.
@@ -371,24 +253,26 @@ def pack(
     numbers of the tasks added up, so no length's pieces ever meet in one task.
     """
     spark = docs.sparkSession
-    made = stored(tokenized(docs, keep, tokenizer, size, with_ids), "pieces")
-    per_task = stored(made.groupBy("task", "length").count(), "lengths")
+    pieces, task, place = tokenized(docs, keep, tokenizer, size, with_ids)
+    made = stored(pieces, "pieces")
+    per_task = stored(made.groupBy(task, "length").agg(F.count("*").alias("n")), "lengths")
     counts = {
         r["length"]: r["n"]
-        for r in per_task.groupBy("length").agg(F.sum("count").alias("n")).collect()
+        for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()
     }
     shared = spark.sparkContext.broadcast(slots(plan(counts, size)))
-    before = Window.partitionBy("length").orderBy("task").rowsBetween(
+    before = Window.partitionBy("length").orderBy(task).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    ahead = stored(
+    ahead, number = fresh(docs, "ahead"), fresh(docs, "number")
+    offsets = stored(
         per_task.select(
-            "task", "length", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("ahead")
+            task, "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias(ahead)
         ),
         "ahead",
     )
-    numbered = made.join(ahead, ["task", "length"]).withColumn(
-        "number", F.col("place") + F.col("ahead")
+    numbered = joined_by_row(made, offsets, [task, "length"]).withColumn(
+        number, F.col(place) + F.col(ahead)
     )
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,11 +280,11 @@ def pack(
         keys = table[:, 0] << 48 | table[:, 1]
         for batch in batches:
             length = batch.column("length").to_numpy()
-            number = batch.column("number").to_numpy()
+            nth = batch.column(number).to_numpy()
             _, first, times, sequence, offset = table[
-                np.searchsorted(keys, length << 48 | number, side="right") - 1
+                np.searchsorted(keys, length << 48 | nth, side="right") - 1
             ].T
-            nth = number - first
+            nth = nth - first
             kept = [batch.column(c) for c in kept_names]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(sequence + nth // times),
@@ -412,6 +296,6 @@ def pack(
     kinds = "".join(
         f"`{c}` {numbered.schema[c].dataType.simpleString()}, " for c in kept_names
     )
-    return numbered.select(*kept_names, "number").mapInArrow(
+    return numbered.select(*kept_names, number).mapInArrow(
         placed, f"{kinds}sequence_id long, offset long"
     )

@@ -7,31 +7,19 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from meterlake.llm.packing import WordEncoder, best_fit, pack, plan, reduce_by_dominance
+from meterlake.llm.packing import best_fit, pack, plan, reduce_by_dominance
+from tests.llm.test_word_ids import ODD
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-ODD = [
-    "", "  a b\x85c d é ́x ΑΣ ΌΣΟΣ. it's we'LL <|endoftext|> x\x1fy \x1c", "x" * 5000,
-    "Été ŒUVRE Straße.*** «quoted» naïve's foo's. ŉ İx Ⅷ ªb µm ſt ĸ 1,5 a1.. b²! x…! don't.'",
-    "İstanbul ǅ ﬁ 1234 a", "ḅ́  q᠎w​z", "don't's'tx '' ''s", None,
-]
-
 
 def reference(texts):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [
         np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [0], dtype="<u4")
         for t in texts
     ]
 
 
-def test_words_have_the_ids_of_the_whole_text(sample):
-    texts = [t for _, t, _ in sample[:120]] + [t or "" for t in ODD]
-    got = list(WordEncoder(PATH).encode(texts))
-    assert got == [ids[:-1].tobytes() for ids in reference(texts)]
-
-
 @pytest.mark.parametrize("size", [60, 2048])
 def test_pieces_fill_sequences_without_gaps(docs, sample, size):
     pairs = [(d, t) for d, t, _ in sample[:60]] + [(10_000 + i, t) for i, t in enumerate(ODD)]
@@ -61,6 +49,16 @@ def test_pieces_fill_sequences_without_gaps(docs, sample, size):
     assert len(sequences) <= total / size * 1.05 + 2
 
 
+def test_special_tokens_and_clashing_columns(spark, tmp_path):
+    path = str(tmp_path / "clash")
+    layout = "doc_id long, text string, task int, place int, number int, ahead int, _task int"
+    spark.createDataFrame([(1, "a<|endoftext|>b", 2, 3, 4, 5, 6)], layout).write.parquet(path)
+    keep = ["doc_id", "task", "place", "number", "ahead", "_task"]
+    rows = pack(spark.read.parquet(path), PATH, keep, with_ids=True).collect()
+    assert [tuple(r[c] for c in keep) for r in rows] == [(1, 2, 3, 4, 5, 6)]
+    assert np.frombuffer(rows[0]["ids"], dtype="<u4").tolist() == [320, 49407, 321, 0]
+
+
 def test_empty_table(docs):
     assert pack(docs([]), PATH, ["doc_id"]).collect() == []
 
