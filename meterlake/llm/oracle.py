@@ -51,17 +51,18 @@ FROM sets JOIN least ON x = doc_id
 
 OP5 = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT)) AS ints
     FROM embeddings
     WHERE embedding IS NOT NULL
         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
     SELECT q.vec_id AS query_id, c.vec_id,
-           CAST(list_sum(list_transform(list_zip(q.ints, c.ints), lambda p: p[1] * p[2])) AS BIGINT) AS score
+           list_sum(list_transform(list_zip(q.ints, c.ints), lambda p: p[1] * p[2])) AS score
     FROM v q JOIN v c ON q.vec_id <> c.vec_id
     WHERE q.vec_id % 100 = 0
 )
-SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id,
+       TRY_CAST(score AS BIGINT) AS score
 FROM scored
 WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER best <= 10

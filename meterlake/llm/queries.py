@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import wraps
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import language, licenses, main_text, quality
@@ -24,6 +24,11 @@ from meterlake.llm.whitening import whiten
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def as_long(column: str) -> Column:
+    """An exact whole number as a long; null where it is no 64-bit number."""
+    return F.col(column).try_cast("bigint")
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -51,7 +56,8 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+    found = top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+    return found.withColumn("score", as_long("score"))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,8 +98,7 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whiten(table(spark, sf_dir, "embeddings"), ["vec_id"])
-    # null where the exact sum is no 64-bit number
-    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+    return found.withColumn("deviation", as_long("deviation"))
 
 
 def op13_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
