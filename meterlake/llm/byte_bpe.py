@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
+from collections import ChainMap
 from collections.abc import Iterator
 from itertools import islice
 
@@ -20,47 +20,86 @@ from meterlake.llm.common import fresh
 
 # Texts are worked on in slices of about so many words, and words merged in batches.
 SLICE_WORDS = 400_000
-BATCH_WORDS = 20_000
+BATCH_WORDS = 40_000
 LONG_TEXT = 1 << 22
-# Words of one worker are remembered up to this many, then forgotten all at once; longer
-# ones are not remembered.
+# Words of one worker are remembered in two halves of together this many: when the newer
+# one is full, the older one is forgotten. Longer words are not remembered.
 CACHE_WORDS = 400_000
 CACHE_BYTES = 64
-# A word of more bytes would take as many rounds over as many rows. Its pairs are
-# contracted in the same order from a heap.
-LONGEST_WORD = 96
+# Longer words contract all pairs of a rank in a round where that is the same. A query
+# ends when its rounds have made about so many rows, and the next one goes on.
+SHORT_WORD = 64
+BATCH_BYTES = 1 << 18
+ROUND_ROWS = 4_000_000
 
-# Rows of `tokens` are k = word * 128 + position and a token id. `merges` has the id of
+# Rows of `tokens` are k = word * 2^32 + position and a token id. `merges` has the id of
 # every pair whose joined bytes are a token. In each round every word that has such a
-# pair contracts the leftmost of those with the least id: positions after it move up by
-# one. Words without one are not carried on, so the rounds end with the last of them.
-_MERGE = """
-CREATE OR REPLACE TEMP TABLE coded AS
+# pair contracts the leftmost of those with the least id. Words without one are not
+# carried on, so the rounds end with the last of them. `state` has every word's last round.
+_LAST = """
+), last AS (
+    SELECT k >> 32 AS w, max(round) AS round FROM step GROUP BY k >> 32
+)
+SELECT last.w, k, id, last.round AS round
+FROM step JOIN last ON last.w = k >> 32 AND last.round = step.round
+"""
+_MERGE = f"""
+CREATE OR REPLACE TEMP TABLE state AS
 WITH RECURSIVE step AS (
     SELECT k, id, 0 AS round FROM tokens
     UNION ALL (
         WITH best AS (
-            SELECT a.k >> 7 AS w, min(joined * 128 + (a.k & 127)) AS pick
+            SELECT a.k >> 32 AS w, min(joined << 32 | (a.k & 4294967295)) AS pick
             FROM step a
-            JOIN step b ON b.k = a.k + 1 AND b.k >> 7 = a.k >> 7
-            JOIN merges ON pair = a.id * 65536 + b.id
-            GROUP BY a.k >> 7
+            JOIN step b ON b.k = a.k + 1
+            JOIN merges ON pair = a.id << 32 | b.id
+            GROUP BY a.k >> 32
         )
-        SELECT CASE WHEN (k & 127) > (pick & 127) THEN k - 1 ELSE k END,
-               CASE WHEN (k & 127) = (pick & 127) THEN pick >> 7 ELSE id END,
+        SELECT CASE WHEN (k & 4294967295) > (pick & 4294967295) THEN k - 1 ELSE k END,
+               CASE WHEN (k & 4294967295) = (pick & 4294967295) THEN pick >> 32 ELSE id END,
                round + 1
-        FROM step JOIN best ON w = k >> 7
-        WHERE (k & 127) <> (pick & 127) + 1
+        FROM step JOIN best ON w = k >> 32
+        WHERE (k & 4294967295) <> (pick & 4294967295) + 1 AND round < $rounds
     )
-), last AS (
-    SELECT k >> 7 AS w, max(round) AS round FROM step GROUP BY k >> 7
-)
-SELECT last.w, k, id
-FROM step JOIN last ON last.w = k >> 7 AND last.round = step.round
-"""
-_IDS = "SELECT w, string_agg(id, ' ' ORDER BY k) FROM coded GROUP BY w"
-_BYTES = """
-SELECT w, unhex(string_agg(hex, '' ORDER BY k)) FROM coded JOIN ranks USING (id) GROUP BY w
+{_LAST}"""
+# The same for long words, whose positions keep gaps. Where no pair with the joined token
+# has a lesser id, the next leftmost pair of least id is another of the same two tokens:
+# then all of these are contracted at once, in a run of one token every second pair.
+_MERGE_LONG = f"""
+CREATE OR REPLACE TEMP TABLE state AS
+WITH RECURSIVE step AS (
+    SELECT k, id, 0 AS round FROM tokens
+    UNION ALL (
+        WITH line AS (
+            SELECT k, id, round, k >> 32 AS w, lead(k) OVER o AS after, lead(id) OVER o AS next,
+                   row_number() OVER o AS i
+            FROM step WINDOW o AS (ORDER BY k)
+        ), pairs AS (
+            SELECT k, after, i, w, joined, safe, id = next AS twin
+            FROM line JOIN merges ON pair = id << 32 | next
+            WHERE after >> 32 = w
+        ), best AS (
+            SELECT w, min(joined) AS least FROM pairs GROUP BY w
+        ), hits AS (
+            SELECT pairs.*, row_number() OVER (PARTITION BY pairs.w ORDER BY k) AS n
+            FROM pairs JOIN best ON pairs.w = best.w AND joined = least
+        ), chosen AS (
+            SELECT k, after, joined FROM hits WHERE n = 1 OR safe AND NOT twin
+            UNION
+            SELECT k, after, joined FROM (
+                SELECT *, row_number() OVER (PARTITION BY w, i - n ORDER BY k) AS place
+                FROM hits WHERE safe AND twin
+            ) WHERE place % 2 = 1
+        )
+        SELECT line.k, coalesce(joined, id), round + 1
+        FROM line JOIN best ON line.w = best.w LEFT JOIN chosen ON chosen.k = line.k
+        ANTI JOIN chosen AS gone ON gone.after = line.k
+        WHERE round < $rounds
+    )
+{_LAST}"""
+_CODED = """
+SELECT w, list(id ORDER BY k) AS ids, list(data ORDER BY k) AS data
+FROM coded JOIN ranks USING (id) GROUP BY w
 """
 
 
@@ -72,98 +111,109 @@ class BpeDatabase:
             self.ranks = {
                 base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)
             }
-        self.token = {rank: data for data, rank in self.ranks.items()}
+        if not all(0 <= rank < 1 << 31 for rank in self.ranks.values()):
+            raise ValueError("ranks are numbers of at most 31 bits")
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.decimal = {rank: str(rank).encode() for rank in self.ranks.values()}
         pairs, joined = [], []
+        least: dict[int, int] = {}
         for data, rank in self.ranks.items():
             for i in range(1, len(data)):
                 a, b = self.ranks.get(data[:i]), self.ranks.get(data[i:])
                 if a is not None and b is not None:
-                    pairs.append(a << 16 | b)
+                    pairs.append(a << 32 | b)
                     joined.append(rank)
+                    for part in (a, b):
+                        least[part] = min(rank, least.get(part, rank))
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
-        self._load("merges", pair=pairs, joined=joined)
-        self._load(
-            "ranks", id=list(self.token), hex=[d.hex() for d in self.token.values()]
-        )
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-
-    def _load(self, name: str, **columns: list) -> None:
+        safe = [least.get(rank, rank + 1) > rank for rank in joined]
+        self._load("merges", pair=pairs, joined=joined, safe=safe)
+        self._load("ranks", id=list(self.ranks.values()), data=list(self.ranks))
+        # ids in decimal with spaces between, and the ids' bytes, of each word
+        self.ids: dict[str, bytes] = {}
+        self.data: dict[str, bytes] = {}
+        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+
+    def _load(self, name: str, **columns) -> None:
         self.con.register("given", pa.table(columns))
-        self.con.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM given")
+        self.con.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM given").fetchall()
         self.con.unregister("given")
 
-    def merged(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
-        """For each word its ids, in decimal with spaces between, and the ids' bytes.
-
-        A word that is a token is that token, as it is to the usual encoders.
-        """
-        first, size = [], []
-        for word in words:
-            rank = self.ranks.get(word)
-            ids = self.byte[np.frombuffer(word, dtype=np.uint8)] if rank is None else [rank]
-            first.append(ids)
-            size.append(len(ids))
-        n = np.array(size)
+    def merged(self, words: list[bytes], merge: str = _MERGE) -> tuple[list[bytes], list[bytes]]:
+        """For each word its ids, in decimal with spaces between, and the ids' bytes."""
+        n = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         word = np.repeat(np.arange(len(words)), n)
         place = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
-        self._load("tokens", k=word << 7 | place, id=np.concatenate(first))
-        self.con.execute(_MERGE)
-        ids = dict(self.con.execute(_IDS).fetchall())
-        data = dict(self.con.execute(_BYTES).fetchall())
-        return [(ids[i].encode(), data[i]) for i in range(len(words))]
-
-    def by_heap(self, word: bytes) -> tuple[bytes, bytes]:
-        """The same for one long word: a heap of pairs by rank, then place."""
-        parts: list[bytes | None] = [bytes([b]) for b in word]
-        after = [*range(1, len(parts)), -1]
-        before = list(range(-1, len(parts) - 1))
-        heap: list[tuple[int, int, bytes]] = []
-
-        def offer(i: int) -> None:
-            if i >= 0 and after[i] >= 0:
-                pair = parts[i] + parts[after[i]]
-                if pair in self.ranks:
-                    heapq.heappush(heap, (self.ranks[pair], i, pair))
-
-        for i in range(len(parts)):
-            offer(i)
-        while heap:
-            _, i, pair = heapq.heappop(heap)
-            if parts[i] is None or after[i] < 0 or parts[i] + parts[after[i]] != pair:
-                continue
-            gone = after[i]
-            parts[i], parts[gone] = pair, None
-            after[i] = after[gone]
-            if after[i] >= 0:
-                before[after[i]] = i
-            offer(before[i])
-            offer(i)
-        ids = [self.ranks[p] for p in parts if p is not None]
-        text = " ".join(map(str, ids)).encode()
-        return text, b"".join(self.token[i] for i in ids)
-
-    def resolve(self, words: set[str]) -> dict[str, tuple[bytes, bytes]]:
-        """Ids and bytes of all `words`."""
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known.clear()
-        new = [(w, w.encode("utf-8", "replace")) for w in words if w not in self.known]
-        found: dict[str, tuple[bytes, bytes]] = {}
-        short = []
-        for word, data in new:
-            if len(data) <= LONGEST_WORD:
-                short.append((word, data))
-            elif data in self.ranks:
-                found[word] = (str(self.ranks[data]).encode(), data)
-            else:
-                found[word] = self.by_heap(data)
+        ids = self.byte[np.frombuffer(b"".join(words), dtype=np.uint8)]
+        self._load("tokens", k=word << 32 | place, id=ids)
+        con = self.con
+        con.execute("CREATE OR REPLACE TEMP TABLE coded (w BIGINT, k BIGINT, id BIGINT)").fetchall()
+        left = len(word)
+        while left:
+            rounds = max(4, ROUND_ROWS // left)
+            con.execute(merge, {"rounds": rounds}).fetchall()
+            con.execute(
+                "INSERT INTO coded SELECT w, k, id FROM state WHERE round < $rounds",
+                {"rounds": rounds},
+            ).fetchall()
+            con.execute(
+                "CREATE OR REPLACE TEMP TABLE tokens AS SELECT"
+                " (k >> 32) << 32 | row_number() OVER (PARTITION BY w ORDER BY k) AS k, id"
+                " FROM state WHERE round >= $rounds",
+                {"rounds": rounds},
+            ).fetchall()
+            left = con.execute("SELECT count(*) FROM tokens").fetchall()[0][0]
+        found = con.sql(_CODED).to_arrow_table().combine_chunks()
+        ids, data = (found.column(c).chunk(0) for c in ("ids", "data"))
+        order = np.empty(len(words), dtype=np.int64)
+        order[found.column("w").to_numpy()] = np.arange(len(words))
+        first, last = ids.offsets.to_numpy()[order], ids.offsets.to_numpy()[order + 1]
+        said = [*map(self.decimal.__getitem__, ids.values.to_numpy().tolist())]
+        # a word's bytes are those of its tokens in order, one after the other
+        blob = data.values
+        ends = np.frombuffer(blob.buffers()[1], dtype=np.int32)[blob.offset :]
+        spelled = blob.buffers()[2].to_pybytes()
+        starts = data.offsets.to_numpy()
+        cut = zip(ends[starts[order]].tolist(), ends[starts[order + 1]].tolist(), strict=True)
+        runs = zip(first.tolist(), last.tolist(), strict=True)
+        return [b" ".join(said[a:b]) for a, b in runs], [spelled[a:b] for a, b in cut]
+
+    def resolve(self, words: set[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Learn the ids and bytes of all `words`; those that are not remembered are
+        returned. A word that is a token is that token, as it is to the usual encoders.
+        """
+        if len(self.ids) > CACHE_WORDS // 2:
+            self.older = self.ids, self.data
+            self.ids, self.data = {}, {}
+        unknown = [w for w in words if w not in self.ids]
+        again = [w for w in unknown if w in self.older[0]]
+        for known, old in zip((self.ids, self.data), self.older, strict=True):
+            known.update(zip(again, map(old.__getitem__, again), strict=True))
+        new = [(w, w.encode("utf-8", "replace")) for w in unknown if w not in self.ids]
+        kept: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+
+        def learn(batch: list[tuple[str, bytes]], ids: list[bytes], data: list[bytes]) -> None:
+            for (word, spelled), i, d in zip(batch, ids, data, strict=True):
+                to = (self.ids, self.data) if len(spelled) <= CACHE_BYTES else kept
+                to[0][word], to[1][word] = i, d
+
+        whole = [(w, d) for w, d in new if d in self.ranks]
+        learn(whole, [self.decimal[self.ranks[d]] for _, d in whole], [d for _, d in whole])
+        short = [(w, d) for w, d in new if len(d) <= SHORT_WORD and d not in self.ranks]
         for i in range(0, len(short), BATCH_WORDS):
             batch = short[i : i + BATCH_WORDS]
-            for (word, data), coded in zip(
-                batch, self.merged([d for _, d in batch]), strict=True
-            ):
-                (self.known if len(data) <= CACHE_BYTES else found)[word] = coded
-        return found
+            learn(batch, *self.merged([d for _, d in batch]))
+        batch, size = [], 0
+        for word, data in new:
+            if len(data) > SHORT_WORD and data not in self.ranks:
+                batch.append((word, data))
+                size += len(data)
+                if size >= BATCH_BYTES:
+                    learn(batch, *self.merged([d for _, d in batch], _MERGE_LONG))
+                    batch, size = [], 0
+        if batch:
+            learn(batch, *self.merged([d for _, d in batch], _MERGE_LONG))
+        return kept
 
 
 _databases: dict[str, BpeDatabase] = {}
@@ -222,14 +272,12 @@ def code_texts(
     size = 0
 
     def settle() -> None:
-        new = bpe.resolve(set().union(*(run for _, run in waiting)))
-        look = bpe.known
+        new_ids, new_data = bpe.resolve(set().union(*(run for _, run in waiting)))
         for coded, run in waiting:
-            if new:
-                pairs = [new[w] if w in new else look[w] for w in run]
-            else:
-                pairs = [look[w] for w in run]
-            coded.add(b" ".join([p[0] for p in pairs]), b"".join([p[1] for p in pairs]))
+            ids, data = bpe.ids, bpe.data
+            if new_ids and not new_ids.keys().isdisjoint(run):
+                ids, data = ChainMap(new_ids, ids), ChainMap(new_data, data)
+            coded.add(b" ".join(map(ids.__getitem__, run)), b"".join(map(data.__getitem__, run)))
         waiting.clear()
 
     for coded, text in zip(done, texts, strict=True):

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 
 import pytest
 import public_tokenizers
@@ -60,11 +61,24 @@ def test_slices_and_forgetting_change_nothing(monkeypatch, reference, sample):
     assert got == [digests(t, reference(t)) for t in texts]
 
 
-def test_queries_and_heap_agree(sample):
-    words = [w.encode() for _, t, _ in sample[:10] for w in (t or "").split() if len(w) < 60][:400]
-    bpe = BpeDatabase(PATH)
-    words = [w for w in dict.fromkeys(words) if w not in bpe.ranks]
-    assert bpe.merged(words) == [bpe.by_heap(w) for w in words]
+@pytest.mark.parametrize("merge", [byte_bpe._MERGE, byte_bpe._MERGE_LONG])
+@pytest.mark.parametrize("rows", [300, 10**7])
+def test_both_queries_give_the_ids_of_the_usual_library(sample, reference, monkeypatch, merge, rows):
+    monkeypatch.setattr(byte_bpe, "ROUND_ROWS", rows)
+    words = [w for _, t, _ in sample[:10] for w in (t or "").split() if w.isalpha()][:400]
+    words += ["aaaaaaa", "hahahahahaha", "xxxxy" * 9, "mississippimississippi", "é" * 9 + "ab" * 8]
+    words = list(dict.fromkeys(words))
+    ids, data = BpeDatabase(PATH).merged([w.encode() for w in words], merge)
+    assert data == [w.encode() for w in words]
+    assert [[int(i) for i in x.split()] for x in ids] == [reference(w) for w in words]
+
+
+def test_long_words(reference):
+    draw = random.Random(6)
+    words = ["".join(draw.choices("abcdefghij", k=5000)), "x" * 100_000, "ab" * 30_000, "ü" * 2000]
+    words += ["".join(draw.choices("eta", k=n)) for n in (63, 64, 65, 200)]
+    got = code_texts(words, PATH, PATTERN, False)
+    assert got == [digests(w, reference(w)) for w in words]
 
 
 def test_empty_table(docs):
