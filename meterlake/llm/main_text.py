@@ -17,7 +17,6 @@ from pyspark.sql.types import StringType, StructType
 from meterlake.llm.common import fresh
 
 LABELLED_PAGES = 2000
-MOST_KEYS = 1000
 
 # Names of HTML elements and of the parts that are no article text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -26,6 +25,14 @@ INLINE = frozenset(
     "a abbr b bdi bdo br cite code data dfn em font i img kbd label mark q s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
+# Elements that have a weight of their own; other names share one.
+KNOWN = VOID | RAW | INLINE | frozenset(
+    "address article aside audio blockquote body button canvas caption center colgroup datalist dd "
+    "details dialog div dl dt fieldset figcaption figure footer form frame frameset h1 h2 h3 h4 h5 "
+    "h6 header hgroup html legend li main map menu meter nav object ol optgroup option output p "
+    "picture pre progress rp rt ruby section summary table tbody td tfoot th thead tr ul "
+    "video".split()
+)
 APART = frozenset("nav aside footer form menu dialog button fieldset".split())
 LABELS = frozenset(("article", "main"))
 # Of the elements that are set apart, these may also hold a whole page.
@@ -38,6 +45,15 @@ ASIDE_WORDS = frozenset(
     "respond login search widget pagination pager toolbar skip gdpr".split()
 )
 
+# Words that say where or in what form, beside one of the above.
+PLACE_WORDS = frozenset(
+    "area bar block bottom box button buttons center col column container content desktop fixed "
+    "float floating footer form global group head header heading icon icons inline inner item items "
+    "label left link links list lower main mobile outer page panel post posts primary right row "
+    "secondary section site slot small sticky strip tab text title top unit upper wrap wrapper "
+    "zone".split()
+)
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
     r"|<[!?][^<>]*>"
@@ -66,11 +82,43 @@ class Item:
 
 @dataclass
 class _Open:
-    """An open element; `mark` and `core` are the innermost ones it is in, or -1."""
+    """An open element; `mark` and `core` are the innermost ones it is in, or -1, and
+    `block` is the place of the innermost open element that is no inline one.
+    """
 
     name: str
     mark: int = -1
     core: int = -1
+    block: int = -1
+
+
+class _Stack:
+    """Open elements, and for each name the places where it is open, the last one last."""
+
+    def __init__(self) -> None:
+        self.open: list[_Open] = []
+        self.places: dict[str, list[int]] = {}
+
+    def top(self) -> _Open:
+        return self.open[-1] if self.open else _Open("")
+
+    def last(self, name: str) -> int:
+        at = self.places.get(name)
+        return at[-1] if at else -1
+
+    def push(self, element: _Open) -> None:
+        element.block = self.top().block if element.name in INLINE else len(self.open)
+        self.places.setdefault(element.name, []).append(len(self.open))
+        self.open.append(element)
+
+    def close(self, place: int) -> None:
+        """Close the element at a place and all within it."""
+        while len(self.open) > place:
+            self.places[self.open.pop().name].pop()
+
+    def block(self) -> str:
+        at = self.top().block
+        return self.open[at].name if at >= 0 else ""
 
 
 @dataclass
@@ -97,29 +145,37 @@ class _Core:
 class PageModel:
     """Weight of a word or tag by key; others have the weight of their sort.
 
-    What is set apart is cut out of any run, so it only costs a little to pass over.
+    What is set apart is cut out of any run, so it costs a run nothing to go on beyond it.
     """
 
     weights: dict[str, float] = field(default_factory=dict)
     word: float = 1.0
     tag: float = -0.5
-    passing: float = -0.05
+    # Least weights within an article or main element, where all words are as if labelled.
+    inner_word: float = 0.5
+    inner_tag: float = -0.05
 
     def of(self, item: Item) -> float:
-        if item.apart:
-            return max(item.words, 1) * self.weights.get(item.key, self.passing)
+        if item.apart or not item.key:
+            return 0.0
         if item.words:
-            return item.words * self.weights.get(item.key, self.word)
-        return self.weights.get(item.key, self.tag) if item.key else 0.0
+            weight = self.weights.get(item.key, self.word)
+            return item.words * (max(weight, self.inner_word) if item.labelled else weight)
+        weight = self.weights.get(item.key, self.tag)
+        return max(weight, self.inner_tag) if item.labelled else weight
 
 
 def _names_aside(attributes: str) -> bool:
-    """Whether a class, id or role names a part that is no article text."""
+    """Whether a class, id or role names a part that is no article text: one of its names
+    is made of words for such a part, and of words for places and forms beside them. A
+    name that says something else as well, like social-studies, is no such name.
+    """
     for found in _NAMES.finditer(attributes):
         value = next(x for x in found.groups() if x is not None)
-        value = _STATE.sub(" ", value)
-        if any(part.lower() in ASIDE_WORDS for part in _PARTS.findall(value)):
-            return True
+        for name in _STATE.sub(" ", value).split():
+            parts = {part.lower() for part in _PARTS.findall(name) if len(part) > 1}
+            if parts & ASIDE_WORDS and parts <= ASIDE_WORDS | PLACE_WORDS:
+                return True
     return False
 
 
@@ -160,19 +216,16 @@ def read_items(page: str) -> list[Item]:
     """
     items: list[Item] = []
     places: list[int] = []
-    stack: list[_Open] = []
+    stack = _Stack()
     marks: list[_Mark] = []
     cores: list[_Core] = []
-    bare = _Open("")
+    endless: set[str] = set()
     total = at = 0
 
     def put(item: Item, mark: int) -> None:
         items.append(item)
         places.append(mark)
 
-    def close(depth: int) -> None:
-        del stack[depth:]
-
     def text(raw: str) -> None:
         nonlocal total
         words = len(_WORD.findall(raw))
@@ -180,16 +233,16 @@ def read_items(page: str) -> list[Item]:
             if raw and items:
                 put(Item("", raw), -1)
             return
-        block = next((e.name for e in reversed(stack) if e.name not in INLINE), "")
-        link = any(e.name == "a" for e in stack)
-        top = stack[-1] if stack else bare
+        top = stack.top()
         words = max(words, 1)
         total += words
         if top.mark >= 0:
             marks[top.mark].words += words
         if top.core >= 0:
             cores[top.core].words += words
-        key = f"w {block}{'/a' if link else ''}"
+        block = stack.block()
+        key = f"w {block if not block or block in KNOWN else '?'}"
+        key = f"{key}/a" if stack.last("a") >= 0 else key
         put(Item(key, raw, words, labelled=top.core >= 0), top.mark)
 
     while found := _TOKEN.search(page, at):
@@ -198,30 +251,32 @@ def read_items(page: str) -> list[Item]:
         name = (found[2] or "").lower()
         if not name:
             continue
-        top = stack[-1] if stack else bare
+        top = stack.top()
         if found[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].name == name), -1)
-            if depth >= 0:
-                close(depth)
-            top = stack[-1] if stack else bare
+            place = stack.last(name)
+            if place >= 0:
+                stack.close(place)
+            top = stack.top()
         elif name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            # once a name has no end tag ahead, it has none further on
+            end = None
+            if name not in endless:
+                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             if end:
                 at = end.end()
-            elif name in ("script", "style", "textarea", "title"):
-                at = len(page)
+            else:
+                endless.add(name)
+                if name in ("script", "style", "textarea", "title"):
+                    at = len(page)
             continue
         elif name not in VOID:
-            if name not in INLINE:
-                depth = next((i for i, e in enumerate(stack) if e.name == "p"), -1)
-                if depth >= 0 and not any(e.name not in INLINE for e in stack[depth + 1 :]):
-                    close(depth)
+            if name not in INLINE and stack.block() == "p":
+                stack.close(top.block)
             if name == "li":
-                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].name == "li"), -1)
-                lists = any(e.name in ("ul", "ol") for e in stack[depth + 1 :])
-                if depth >= 0 and not lists:
-                    close(depth)
-            top = stack[-1] if stack else bare
+                place = stack.last("li")
+                if place > max(stack.last("ul"), stack.last("ol")):
+                    stack.close(place)
+            top = stack.top()
             named = name != "body" and _names_aside(found[3])
             header = name == "header" and top.core < 0
             mark, core = top.mark, top.core
@@ -235,8 +290,8 @@ def read_items(page: str) -> list[Item]:
                 marks.append(_Mark(top.mark, core, wrapper))
             top = _Open(name, mark, core)
             if not found[3].endswith("/"):
-                stack.append(top)
-        key = "" if name in LABELS else f"t {name}"
+                stack.push(top)
+        key = "" if name in LABELS else f"t {name if name in KNOWN else '?'}"
         put(Item(key, " ", 0, name not in INLINE, labelled=top.core >= 0), top.mark)
     text(page[at:])
     _open_wrappers(marks, cores, total)
@@ -244,10 +299,7 @@ def read_items(page: str) -> list[Item]:
     for mark in marks:
         apart.append(not mark.opened or (mark.outer >= 0 and apart[mark.outer]))
     for item, place in zip(items, places, strict=True):
-        if place >= 0 and apart[place]:
-            item.apart = True
-            if item.key:
-                item.key = f"{item.key[:2]}-{item.key[2:]}"
+        item.apart = place >= 0 and apart[place]
     return items
 
 
@@ -292,7 +344,7 @@ def count_keys(page: str) -> Counter[tuple[str, bool]]:
     """How often each key is inside and outside of a page's labelled part."""
     counts: Counter[tuple[str, bool]] = Counter()
     for item in read_items(page):
-        if item.key:
+        if item.key and not item.apart:
             counts[item.key, item.labelled] += max(item.words, 1)
     return counts
 
@@ -303,9 +355,7 @@ def fit(counts: list[tuple[str, int, int]]) -> PageModel:
     model = PageModel()
     for key, inside, outside in counts:
         odds = math.log((inside + 1) / (outside + 1))
-        if key[2:].startswith("-"):
-            model.weights[key] = max(model.passing, min(-0.01, odds))
-        elif key.startswith("w "):
+        if key.startswith("w "):
             model.weights[key] = max(-3.0, min(1.0, odds))
         else:
             model.weights[key] = max(-3.0, min(-0.05, odds))
@@ -317,9 +367,9 @@ def train(pages: DataFrame, labelled_pages: int = LABELLED_PAGES) -> PageModel:
 
     Pages with an article or main element are the labelled ones: what is inside of it
     is article text. Which are taken follows from a hash of their content, at a rate
-    from their number. The driver receives `MOST_KEYS` counts at most, those of the
-    most frequent keys. Without labelled pages words and tags have the
-    weights of `PageModel`.
+    from their number. The driver receives a count for each element name that HTML has,
+    in and out of links. Without labelled pages words and tags have the weights of
+    `PageModel`.
     """
     marked = pages.select("html").where(F.col("html").rlike("(?i)<(?:article|main)[\\s>]"))
     n = marked.count()
@@ -346,8 +396,6 @@ def train(pages: DataFrame, labelled_pages: int = LABELLED_PAGES) -> PageModel:
         marked.where(place < labelled_pages / n)
         .mapInArrow(counted, "key string, inside long, outside long")
         .groupBy("key").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-        .orderBy(F.desc(F.col("inside") + F.col("outside")), "key")
-        .limit(MOST_KEYS)
     )
     return fit([tuple(r) for r in found.collect()])
 

@@ -1,11 +1,22 @@
 import html
 import re
+import time
+from collections import Counter
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from meterlake.llm.main_text import PageModel, best_run, extract, fit, main_text, read_items, train
+from meterlake.llm.main_text import (
+    PageModel,
+    best_run,
+    count_keys,
+    extract,
+    fit,
+    main_text,
+    read_items,
+    train,
+)
 
 SCHEMA = "page_id long, url string, html string"
 BLOG = """<html><body><header><a href=/>Home</a> Site</header>
@@ -113,3 +124,54 @@ def test_without_labelled_pages(stored_table):
     assert train(table) == PageModel()
     assert extract(table, PageModel(), ["page_id"]).select(F.length("text")).first()[0] == 18
     assert extract(stored_table([], SCHEMA), PageModel(), ["page_id"]).collect() == []
+
+
+@pytest.mark.parametrize("part", ["<div>word ", "<b>word ", "<svg>word ", "<li>word ", "</x>word ", "<p>a<div>"])
+def test_open_tags_take_no_longer_than_their_length(part):
+    def seconds(n):
+        start = time.process_time()
+        main_text(part * n, PageModel())
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(100_000) < 40 * max(seconds(10_000), 0.02)
+
+
+ASIDE = "<aside>" + "<a href=x>link text</a> " * 40 + "</aside>"
+
+
+@pytest.mark.parametrize("trained", [False, True])
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (
+            '<article><h1>T</h1><p>One two three.</p><div class="social-studies"><p>Studies here.</p>'
+            '</div><div class="alert-level">Level of alert</div><p>End of it.</p></article>',
+            "T\nOne two three.\nStudies here.\nLevel of alert\nEnd of it.",
+        ),
+        (
+            f"<article><h1>Title</h1><p>One two three.</p>{ASIDE}<p>And the rest of it.</p></article>",
+            "Title\nOne two three.\nAnd the rest of it.",
+        ),
+        (
+            '<article><p>One two.</p><div class="ad-slot top">Buy now</div><div id="relatedPosts">More</div>'
+            "<p>Three four.</p></article>",
+            "One two.\nThree four.",
+        ),
+        ("<article><my-part><p>Own element names.</p></my-part></article>", "Own element names."),
+    ],
+)
+def test_parts_within_an_article(page, text, trained, model):
+    assert main_text(page, model if trained else PageModel()) == text
+
+
+@pytest.fixture(scope="module")
+def model():
+    """Weights from real pages that mark their article."""
+    pages = pd.read_parquet("/root/testdata/sf0.001/pages.parquet")["html"]
+    counts = Counter()
+    for page in pages:
+        if "<article" in page or "<main" in page:
+            counts.update(count_keys(page))
+    keys = sorted({key for key, _ in counts})
+    return fit([(key, counts[key, True], counts[key, False]) for key in keys])
