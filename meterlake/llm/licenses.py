@@ -110,13 +110,118 @@ SENTENCES = {
         "this work is licensed under a creative commons attribution 4 0 international license"
     ),
     "unlicense": "this is free and unencumbered software released into the public domain",
+    "lgpl21-later": (
+        "this library is free software you can redistribute it and or modify it under the terms "
+        "of the gnu lesser general public license as published by the free software foundation "
+        "either version 2 1 of the license or at your option any later version"
+    ),
+    "lgpl-hope": (
+        "this library is distributed in the hope that it will be useful but without any warranty "
+        "without even the implied warranty of merchantability or fitness for a particular purpose"
+    ),
+    "mpl1-contents": (
+        "the contents of this file are subject to the mozilla public license version 1 1"
+    ),
+    "zlib-grant": (
+        "permission is granted to anyone to use this software for any purpose including "
+        "commercial applications and to alter it and redistribute it freely subject to the "
+        "following restrictions"
+    ),
+    "boost-grant": (
+        "permission is hereby granted free of charge to any person or organization obtaining a "
+        "copy of the software and accompanying documentation covered by this license the "
+        "software to use reproduce display distribute execute and transmit the software and to "
+        "prepare derivative works of the software and to permit third parties to whom the "
+        "software is furnished to do so all subject to the following"
+    ),
+    "bsl-see": "distributed under the boost software license version 1 0",
+    "epl2-terms": (
+        "this program and the accompanying materials are made available under the terms of the "
+        "eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0"
+    ),
+    "cc0-waived": (
+        "to the extent possible under law the author has waived all copyright and related or "
+        "neighboring rights to this work"
+    ),
+    "apache2-title": "apache license version 2 0 january 2004",
+    "apache2-title-at": "apache license version 2 0 january 2004 http www apache org licenses",
+    "gpl3-title": "gnu general public license version 3 29 june 2007",
+    "gpl2-title": "gnu general public license version 2 june 1991",
+    "lgpl3-title": "gnu lesser general public license version 3 29 june 2007",
+    "lgpl21-title": "gnu lesser general public license version 2 1 february 1999",
+    "agpl3-title": "gnu affero general public license version 3 19 november 2007",
+    "bsl-title": "boost software license version 1 0 august 17th 2003",
 }
+# Names of licences, in the same plain form, as they stand alone as a title or
+# after "licensed under".
+NAMES = {
+    "MIT": ("mit license", "mit licence", "mit license mit", "mit"),
+    "Apache-2.0": (
+        "apache license version 2 0", "apache license 2 0", "apache 2 0 license", "apache 2 0",
+        "apache license v2 0", "apache software license 2 0",
+    ),
+    "BSD-2-Clause": ("bsd 2 clause license", "2 clause bsd license", "simplified bsd license"),
+    "BSD-3-Clause": (
+        "bsd 3 clause license", "3 clause bsd license", "new bsd license", "modified bsd license",
+        "revised bsd license",
+    ),
+    "ISC": ("isc license",),
+    "GPL-2.0-only": (
+        "gnu general public license version 2", "gnu general public license v2",
+        "gnu general public license v2 0", "gnu gpl v2", "gpl v2", "gplv2",
+    ),
+    "GPL-3.0-only": (
+        "gnu general public license version 3", "gnu general public license v3",
+        "gnu general public license v3 0", "gnu gpl v3", "gpl v3", "gplv3",
+    ),
+    "LGPL-2.1-only": (
+        "gnu lesser general public license version 2 1", "gnu lesser general public license v2 1",
+        "lgpl v2 1", "lgplv2 1",
+    ),
+    "LGPL-3.0-only": (
+        "gnu lesser general public license version 3", "gnu lesser general public license v3",
+        "lgpl v3", "lgplv3",
+    ),
+    "AGPL-3.0-only": (
+        "gnu affero general public license version 3", "gnu affero general public license v3",
+        "agpl v3", "agplv3",
+    ),
+    "MPL-2.0": ("mozilla public license version 2 0", "mozilla public license 2 0", "mpl 2 0"),
+    "EPL-2.0": ("eclipse public license 2 0", "eclipse public license v 2 0", "epl 2 0"),
+    "BSL-1.0": ("boost software license 1 0", "boost software license version 1 0"),
+    "Zlib": ("zlib license",),
+    "Unlicense": ("unlicense",),
+    "CC0-1.0": ("cc0 1 0 universal", "cc0 1 0", "cc0"),
+    "CC-BY-4.0": ("creative commons attribution 4 0 international license",),
+    "CC-BY-SA-4.0": ("creative commons attribution sharealike 4 0 international license",),
+    "OFL-1.1": ("sil open font license version 1 1", "sil open font license 1 1"),
+    "WTFPL": ("do what the fuck you want to public license",),
+}
+# Too short to say anything as a line of its own.
+NOT_ALONE = frozenset(("mit", "cc0"))
 # Identifiers that a line may name.
 SPDX = (
     "MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-2.0-only",
     "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-or-later",
     "LGPL-3.0-or-later", "AGPL-3.0-or-later", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0",
-    "CC-BY-NC-4.0", "CC0-1.0", "Unlicense",
+    "CC-BY-NC-4.0", "CC0-1.0", "Unlicense", "0BSD", "AFL-3.0", "AGPL-3.0-only", "Apache-1.1",
+    "Artistic-2.0", "BSD-4-Clause", "BSL-1.0", "CC-BY-3.0", "CC-BY-NC-ND-4.0",
+    "CC-BY-NC-SA-4.0", "CC-BY-ND-4.0", "CC-BY-SA-3.0", "CDDL-1.0", "CDDL-1.1", "EPL-1.0",
+    "EPL-2.0", "EUPL-1.2", "GPL-1.0-only", "GPL-1.0-or-later", "LGPL-2.0-only",
+    "LGPL-2.0-or-later", "LGPL-2.1-only", "LGPL-3.0-only", "MIT-0", "MPL-1.1", "MS-PL", "NCSA",
+    "ODbL-1.0", "OFL-1.1", "OpenSSL", "PHP-3.01", "PostgreSQL", "PSF-2.0", "Python-2.0", "Ruby",
+    "UPL-1.0", "Vim", "WTFPL", "X11", "Zlib", "curl",
+)
+# Identifiers that were replaced, and the ones in use now.
+DEPRECATED = {
+    "GPL-1.0": "GPL-1.0-only", "GPL-2.0": "GPL-2.0-only", "GPL-3.0": "GPL-3.0-only",
+    "LGPL-2.0": "LGPL-2.0-only", "LGPL-2.1": "LGPL-2.1-only", "LGPL-3.0": "LGPL-3.0-only",
+    "AGPL-3.0": "AGPL-3.0-only",
+}
+# Exceptions that an identifier may be given with. They are no licences.
+EXCEPTIONS = (
+    "Classpath-exception-2.0", "LLVM-exception", "GCC-exception-3.1", "Autoconf-exception-3.0",
+    "Bison-exception-2.2", "Linux-syscall-note", "OpenSSL-exception", "Font-exception-2.0",
 )
 # The licence that known sentences stand for, in this order. An earlier
 # rule takes its sentences away from later ones, so the more special ones come first.
@@ -128,6 +233,7 @@ RULES = (
     ("GPL-2.0-or-later", ("gpl2-later", "gpl-hope", "gpl-received")),
     ("MIT", ("mit-grant", "mit-notice")),
     ("MPL-2.0", ("mpl2-form", "mpl2-copy")),
+    ("LGPL-2.1-or-later", ("lgpl21-later", "lgpl-hope")),
     ("Apache-2.0", ("apache2-header",)),
     ("Apache-2.0", ("apache2-notice",)),
     ("MIT", ("mit-grant",)),
@@ -150,15 +256,39 @@ RULES = (
     ("CC-BY-NC-ND-4.0", ("cc-by-nc-nd",)),
     ("CC-BY-4.0", ("cc-by-work",)),
     ("Unlicense", ("unlicense",)),
+    ("LGPL-2.1-or-later", ("lgpl21-later",)),
+    ("MPL-1.1", ("mpl1-contents",)),
+    ("Zlib", ("zlib-grant",)),
+    ("BSL-1.0", ("boost-grant",)),
+    ("BSL-1.0", ("bsl-see",)),
+    ("EPL-2.0", ("epl2-terms",)),
+    ("CC0-1.0", ("cc0-waived",)),
+    ("Apache-2.0", ("apache2-title",)),
+    ("Apache-2.0", ("apache2-title-at",)),
+    ("GPL-3.0-only", ("gpl3-title",)),
+    ("GPL-2.0-only", ("gpl2-title",)),
+    ("LGPL-3.0-only", ("lgpl3-title",)),
+    ("LGPL-2.1-only", ("lgpl21-title",)),
+    ("AGPL-3.0-only", ("agpl3-title",)),
+    ("BSL-1.0", ("bsl-title",)),
 )
 # A sentence without one of these is none of the above.
-HINT = r"(?i)licen[cs]e|permission|redistribut|free software|\bmpl\b|unencumbered|merchantab"
+HINT = (
+    r"(?i)licen[cs]e|permission|redistribut|free software|\bmpl\b|unencumbered|merchantab|"
+    r"\bl?a?gpl|apache 2|cc0|waived|\bepl\b"
+)
+# The patterns below have no look-around and no possessive parts, so that another engine
+# can apply them as they stand.
+IDENTIFIER = r"(?i)spdx-license-identifier:"
+# Operators of an expression, between identifiers; each of these gets a line's name.
+OPERATOR = r"(?i)[ \t]+(?:or|and|with)[ \t]+"
+NAMED_ALSO = ". SPDX-License-Identifier: "
+LATER = r"([A-Za-z0-9])\+"
 # What an identifier line names ends there.
 NAMED = r"(?i)(spdx-license-identifier:[ \t]*[A-Za-z0-9.-]+)"
 # A line that starts like the middle of a sentence goes on with one that has no end.
 WRAPPED = r"([^.!?:\r\n])[ \t]*[\r\n]+[ \t]*([a-z0-9(])"
 SENTENCE_END = r"([.!?])[^A-Za-z0-9_ \t\r\n]*[ \t\r\n]+"
-LINES = r"[\r\n]+"
 OTHER = r"[^a-z0-9]+"
 BARRIER = ";"
 # Between sentences, and between lines that may be one sentence or two.
@@ -166,74 +296,118 @@ HARD, SOFT = "\x01", "\x02"
 MARKS = r"[\x01-\x03]"
 # A blank line, or one with a comment's marks only. What goes on in lower case may
 # belong to what stands before it, as the address of a licence does.
-BLANK = r"\n[^A-Za-z0-9\n]*+\n[^A-Za-z0-9]*+"
-NEW_PART = r"\x03(?![a-z0-9])"
+BLANK = r"\n[^A-Za-z0-9\n]*\n[^A-Za-z0-9]*"
+NEW_PART = r"\x03([^a-z0-9]|\z)"
 NEWLINE = r"\n|\x03"
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Whoever is named, the sentence is the same.
 HOLDER = (
-    r"(?i)\bneither[^a-z0-9]+the[^a-z0-9]+names?[^a-z0-9]+of\b.{1,200}?\bnor[^a-z0-9]+the"
+    r"(?is)\bneither[^a-z0-9]+the[^a-z0-9]+names?[^a-z0-9]+of\b.{1,200}?\bnor[^a-z0-9]+the"
     r"[^a-z0-9]+names?[^a-z0-9]+of[^a-z0-9]+(?:its|their|any|other)[^a-z0-9]+contributors\b"
 )
 ANY_HOLDER = (
     "neither the name of the copyright holder nor the names of its contributors"
 )
+# Whatever is licensed, the statement is the same.
+STATEMENT = r"^(?:.* (?:is|are) )?(?:licensed|released|distributed|available) under (?:the )?(?:terms of (?:the )?)?"
+_SUBJECT = r"(?:(?:[a-z0-9]+JOINT){0,12}?(?:is|are)JOINT)?"
+_VERB = r"(?:licensed|released|distributed|available)JOINTunderJOINT(?:theJOINT)?(?:termsJOINTofJOINT(?:theJOINT)?)?"
+_TITLE = "(?:theJOINT)?"
+
+
+def _plain(name: str) -> str:
+    return re.sub(OTHER, " ", name.lower()).strip()
 
 
 def known_sentences() -> dict[str, str]:
     """Sentence to its identifier, the identifier lines of `SPDX` too."""
     known = {text: name for name, text in SENTENCES.items()}
-    for name in SPDX:
-        plain = re.sub(OTHER, " ", name.lower())
-        known[f"spdx license identifier {plain}"] = f"spdx:{name}"
+    for name in (*SPDX, *EXCEPTIONS):
+        known[f"spdx license identifier {_plain(name)}"] = f"spdx:{name}"
+    for old, name in DEPRECATED.items():
+        known[f"spdx license identifier {_plain(old)}"] = f"spdx:{old}"
     return known
 
 
+def known_names() -> dict[str, str]:
+    """Licence name, as in a title or a statement, to its identifier."""
+    return {name: f"name:{licence}" for licence, names in NAMES.items() for name in names}
+
+
 def rules() -> list[tuple[str, str]]:
     """(licence, identifiers as they follow one another in a sequence), in order."""
     spdx = [(name, (f"spdx:{name}",)) for name in SPDX]
+    spdx += [(now, (f"spdx:{old}",)) for old, now in DEPRECATED.items()]
+    named = [(licence, (f"name:{licence}",)) for licence in NAMES]
     return [
-        (licence, "".join(f",{name}," for name in names)) for licence, names in (*RULES, *spdx)
+        (licence, "".join(f",{name}," for name in names))
+        for licence, names in (*RULES, *spdx, *named)
     ]
 
 
-def _any_sentence() -> str:
-    """Pattern of the known sentences between two line or sentence ends, longest first.
-
-    Lines may end within a sentence, whatever the next one starts with.
+def any_sentence() -> str:
+    """Pattern of the known sentences, titles and statements between two line or sentence
+    ends, longest first. Lines may end within a sentence, whatever the next one starts with.
     """
-    longest = sorted(known_sentences(), key=lambda s: (-len(s), s))
-    return rf"(?<=\x02)(?:{'|'.join(s.replace(' ', '[ \x02]') for s in longest)})(?=\x02)"
+
+    def any_of(sentences) -> str:
+        return "|".join(s.replace(" ", "JOINT") for s in sorted(sentences, key=lambda s: (-len(s), s)))
+
+    names = any_of(known_names())
+    alone = any_of(n for n in known_names() if n not in NOT_ALONE)
+    parts = [any_of(known_sentences()), f"{_SUBJECT}{_VERB}(?:{names})", f"{_TITLE}(?:{alone})"]
+    return rf"\x02({'|'.join(parts)})\x02".replace("JOINT", r"(?: |\x02\x02)")
 
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order.
 
     A known sentence starts and ends where a sentence or a line does. Lines within it
-    may start with anything, such as the marks of a comment.
+    may start with anything, such as the marks of a comment. An expression of several
+    identifiers is a sentence for each.
     """
     lines = F.regexp_replace(F.regexp_replace(text, MARKS, " "), r"\r\n?", "\n")
-    ended = F.regexp_replace(lines, NAMED, "$1.")
-    named = F.regexp_replace(ended, f"(?s){HOLDER}", ANY_HOLDER)
+
+    def expanded(line: Column) -> Column:
+        plain = F.regexp_replace(F.regexp_replace(line, r"[()]", " "), LATER, "$1-or-later")
+        each = F.regexp_replace(plain, OPERATOR, NAMED_ALSO)
+        return F.when(line.rlike(IDENTIFIER), each).otherwise(line)
+
+    apart = F.array_join(F.transform(F.split(lines, "\n", -1), expanded), "\n")
+    spelled = F.when(lines.rlike(IDENTIFIER), apart).otherwise(lines)
+    ended = F.regexp_replace(spelled, NAMED, "$1.")
+    named = F.regexp_replace(ended, HOLDER, ANY_HOLDER)
     joined = F.regexp_replace(named, WRAPPED, "$1 $2")
     cut = F.regexp_replace(joined, SENTENCE_END, f"$1{HARD}")
-    blank = F.regexp_replace(F.regexp_replace(cut, BLANK, "\x03"), NEW_PART, HARD)
+    blank = F.regexp_replace(F.regexp_replace(cut, BLANK, "\x03"), NEW_PART, f"{HARD}$1")
     parts = F.split(F.regexp_replace(blank, NEWLINE, SOFT), HARD, -1)
 
     def plain(s: Column) -> Column:
-        words = F.regexp_replace(F.lower(s), r"[^a-z0-9\x02]+", " ")
-        lined = F.regexp_replace(words, r" ?\x02[ \x02]*", SOFT)
-        return F.concat(F.lit(SOFT), F.trim(lined), F.lit(SOFT))
+        words = F.regexp_replace(F.translate(s, CAPITALS, CAPITALS.lower()), r"[^a-z0-9\x02]+", " ")
+        lined = F.regexp_replace(words, r" ?\x02[ \x02]*", SOFT + SOFT)
+        edge = F.lit(SOFT)
+        return F.concat(edge, edge, F.trim(lined), edge, edge)
 
-    pattern = F.lit(_any_sentence())
+    pattern = F.lit(any_sentence())
     found = F.flatten(
         F.transform(
             F.filter(parts, lambda s: s.rlike(HINT)),
-            lambda s: F.regexp_extract_all(plain(s), pattern, F.lit(0)),
+            lambda s: F.regexp_extract_all(plain(s), pattern, F.lit(1)),
         )
     )
-    pairs = [F.lit(x) for pair in known_sentences().items() for x in pair]
-    known = F.create_map(*pairs)
-    return F.transform(found, lambda s: F.try_element_at(known, F.translate(s, SOFT, " ")))
+
+    def table(pairs: dict[str, str]) -> Column:
+        return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+
+    def looked_up(s: Column) -> Column:
+        sentence = F.replace(s, F.lit(SOFT + SOFT), F.lit(" "))
+        name = F.regexp_replace(F.regexp_replace(sentence, STATEMENT, ""), "^the ", "")
+        return F.coalesce(
+            F.try_element_at(table(known_sentences()), sentence),
+            F.try_element_at(table(known_names()), name),
+        )
+
+    return F.transform(found, looked_up)
 
 
 def licences_of(ids: Column) -> Column:
@@ -284,7 +458,26 @@ def scan_sql(documents: str = "documents") -> str:
     def quoted(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
 
-    known = ", ".join(f"({quoted(s)}, {quoted(n)})" for s, n in known_sentences().items())
+    def table(pairs: dict[str, str]) -> str:
+        return "MAP {" + ", ".join(f"{quoted(k)}: {quoted(v)}" for k, v in pairs.items()) + "}"
+
+    def swapped(text: str, pattern: str, by: str) -> str:
+        return f"regexp_replace({text}, {quoted(pattern)}, {by}, 'g')"
+
+    hard, soft, lines = "chr(1)", "chr(2)", swapped(swapped("text", MARKS, "' '"), r"\r\n?", "chr(10)")
+    each = swapped(swapped(swapped("line", "[()]", "' '"), LATER, r"'\1-or-later'"), OPERATOR, quoted(NAMED_ALSO))
+    apart = (
+        f"array_to_string(list_transform(string_split(lines, chr(10)), lambda line: CASE WHEN "
+        f"regexp_matches(line, {quoted(IDENTIFIER)}) THEN {each} ELSE line END), chr(10))"
+    )
+    spelled = f"CASE WHEN regexp_matches(lines, {quoted(IDENTIFIER)}) THEN {apart} ELSE lines END"
+    joined = swapped(swapped(swapped(f"({spelled})", NAMED, r"'\1.'"), HOLDER, quoted(ANY_HOLDER)), WRAPPED, r"'\1 \2'")
+    cut = swapped(joined, SENTENCE_END, rf"'\1' || {hard}")
+    blank = swapped(swapped(cut, BLANK, "chr(3)"), NEW_PART, rf"{hard} || '\1'")
+    words = swapped(f"translate(s, '{CAPITALS}', '{CAPITALS.lower()}')", r"[^a-z0-9\x02]+", "' '")
+    lined = swapped(words, r" ?\x02[ \x02]*", f"{soft} || {soft}")
+    plain = f"{soft} || {soft} || trim({lined}) || {soft} || {soft}"
+    name = swapped(swapped("sentence", STATEMENT, "''"), "^the ", "''")
     steps, last = [], "r0"
     for i, (licence, ids) in enumerate(rules(), 1):
         steps.append(
@@ -295,26 +488,28 @@ def scan_sql(documents: str = "documents") -> str:
         )
         last = f"r{i}"
     return rf"""
-WITH known(sentence, name) AS (VALUES {known}),
-docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM {documents}),
-parts AS (
-    SELECT r, regexp_split_to_array(regexp_replace(regexp_replace(
-        regexp_replace(text, {quoted(NAMED)}, '\1.', 'g'),
-        {quoted(WRAPPED)}, '\1 \2', 'g'), {quoted(SENTENCE_END)}, '\1' || chr(10), 'g'),
-        {quoted(LINES)}) AS p
-    FROM docs WHERE text IS NOT NULL
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM {documents}),
+clean AS (
+    SELECT r, {lines} AS lines FROM docs WHERE regexp_matches(text, {quoted(HINT)})
+), parts AS (
+    SELECT r, unnest(p) AS s, generate_subscripts(p, 1) AS nth
+    FROM (SELECT r, string_split({swapped(blank, NEWLINE, soft)}, {hard}) AS p FROM clean)
+), found AS (
+    SELECT r, nth, unnest(f) AS f, generate_subscripts(f, 1) AS place
+    FROM (SELECT r, nth, regexp_extract_all({plain}, {quoted(any_sentence())}, 1) AS f
+          FROM parts WHERE regexp_matches(s, {quoted(HINT)}))
 ), sentences AS (
-    SELECT r, unnest(p) AS s, generate_subscripts(p, 1) AS nth FROM parts
+    SELECT r, nth, place, replace(f, {soft} || {soft}, ' ') AS sentence FROM found
 ), ids AS (
-    SELECT r, nth, name
-    FROM sentences
-    JOIN known ON sentence = trim(regexp_replace(lower(s), {quoted(OTHER)}, ' ', 'g'))
+    SELECT r, nth, place, coalesce(known[sentence], names[{name}]) AS name
+    FROM sentences, (SELECT {table(known_sentences())} AS known, {table(known_names())} AS names)
 ), r0 AS (
-    SELECT r, string_agg(',' || name || ',', '' ORDER BY nth) AS rest,
+    SELECT r, string_agg(',' || name || ',', '' ORDER BY nth, place) AS rest,
            CAST([] AS VARCHAR[]) AS found
     FROM ids GROUP BY r
 ), {", ".join(steps)}, lists AS (
-    SELECT r, string_agg(name, ',' ORDER BY nth) AS sentence_ids, count(*) AS n FROM ids GROUP BY r
+    SELECT r, string_agg(name, ',' ORDER BY nth, place) AS sentence_ids, count(*) AS n
+    FROM ids GROUP BY r
 )
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_sentences,
        coalesce(sentence_ids, '') AS sentence_ids,

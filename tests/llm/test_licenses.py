@@ -1,8 +1,10 @@
 import re
 
+import duckdb
+import pandas as pd
 import pytest
 
-from meterlake.llm.licenses import SENTENCES, known_sentences, rules, scan
+from meterlake.llm.licenses import SENTENCES, known_sentences, rules, scan, scan_sql
 from tests.llm.conftest import DOC_SCHEMA
 
 BSD = """Redistribution and use in source and binary forms, with or without
@@ -124,6 +126,54 @@ def test_source_headers_with_and_without_comment_marks(stored_table):
         assert (r["sentence_ids"], r["licences"]) == (ids, licences), r["text"]
 
 
+MORE = [
+    ("MIT License\n\nCopyright (c) 2020", ["name:MIT"], ["MIT"]),
+    ("The MIT License (MIT)", ["name:MIT"], ["MIT"]),
+    ("GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nText", ["gpl3-title"], ["GPL-3.0-only"]),
+    ("# GNU GENERAL PUBLIC LICENSE\n# Version 3\n", ["name:GPL-3.0-only"], ["GPL-3.0-only"]),
+    ("Apache License\nVersion 2.0, January 2004\n\nText", ["apache2-title"], ["Apache-2.0"]),
+    ("  Apache License\n Version 2.0, January 2004\n http://www.apache.org/licenses/\n\nTERMS", ["apache2-title-at"],
+     ["Apache-2.0"]),
+    ("All of this code is licensed under the Apache License 2.0.", ["name:Apache-2.0"], ["Apache-2.0"]),
+    ("Foo is available under the terms of the\nMozilla Public License 2.0. Bar", ["name:MPL-2.0"], ["MPL-2.0"]),
+    (GPL.replace("program", "library").replace("General", "Lesser General").replace("version 3", "version 2.1"),
+     ["lgpl21-later"], ["LGPL-2.1-or-later"]),
+    ("SPDX-License-Identifier: GPL-3.0", ["spdx:GPL-3.0"], ["GPL-3.0-only"]),
+    ("// SPDX-License-Identifier: BSL-1.0\nint x;", ["spdx:BSL-1.0"], ["BSL-1.0"]),
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", ["spdx:MIT", "spdx:Apache-2.0"], ["MIT", "Apache-2.0"]),
+    ("/* SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 */",
+     ["spdx:GPL-2.0-only", "spdx:Classpath-exception-2.0"], ["GPL-2.0-only"]),
+    ("# SPDX-License-Identifier: (MIT AND (GPL-2.0+ OR BSD-3-Clause))\nMIT or not",
+     ["spdx:MIT", "spdx:GPL-2.0-or-later", "spdx:BSD-3-Clause"], ["MIT", "BSD-3-Clause", "GPL-2.0-or-later"]),
+    ("mit\ncc0\nunder the mit license of words", [], []),
+    ("This is not licensed under the MIT License or any other.", [], []),
+]
+
+
+def test_titles_statements_and_expressions(stored_table):
+    rows = [(i, t, "en", "s", 1) for i, (t, _, _) in enumerate(MORE)]
+    for r in scan(stored_table(rows, DOC_SCHEMA), ["doc_id", "text"]).collect():
+        _, ids, licences = MORE[r["doc_id"]]
+        assert (r["sentence_ids"], sorted(r["licences"])) == (ids, sorted(licences)), r["text"]
+
+
+def test_sql_finds_the_same(stored_table, sample):
+    texts = [t for t, _, _ in (*CASES, *MORE)]
+    texts += [way(t) for t, _, _ in HEADERS for way in (str, lambda t: commented(t, "# "), lambda t: t.replace("\n", "\r\n"))]
+    texts += [commented(BSD + ENDORSE_BY, " * ", "/*", " */"), "x\x01y\x02z\x03 MIT License", "\n\nMIT License\n\n"]
+    texts += ["İ K ſ licensed under the MIT licence", "a" * 50_000 + "\nMIT License\n" + "b, " * 50_000]
+    texts += [t for _, t, _ in sample]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    found = scan(stored_table(rows, DOC_SCHEMA), ["doc_id"]).collect()
+    got = {r["doc_id"]: (",".join(r["sentence_ids"]), ",".join(r["licences"])) for r in found}
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    with duckdb.connect() as con:
+        con.register("documents", documents)
+        want = {d: (ids, licences) for d, _, ids, licences in con.execute(scan_sql()).fetchall()}
+    assert got == want
+    assert sum(bool(ids) for ids, _ in got.values()) > 30
+
+
 def test_empty_table_and_clashing_columns(stored_table):
     assert scan(stored_table([], DOC_SCHEMA), ["doc_id"]).collect() == []
     clash = stored_table([("Released under the MIT License.", "k")], "text string, found string")
