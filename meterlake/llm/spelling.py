@@ -12,7 +12,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import joined_by_row
 from meterlake.session import stored
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
@@ -309,7 +308,7 @@ def variants(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ratio:
         "near_words",
     )
     roots = roots_of(found.where("form IS NOT NULL").select("word", F.col("form").alias("root")))
-    return joined_by_row(found, roots, "word", "left").select(
+    return found.join(roots, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
 
@@ -320,7 +319,7 @@ def roots_of(links: DataFrame) -> DataFrame:
     while True:
         onward = links.select(F.col("word").alias("root"), F.col("root").alias("further"))
         moved = stored(
-            joined_by_row(links, onward, "root", "left").select(
+            links.join(onward, "root", "left").select(
                 "word", F.coalesce("further", "root").alias("root"),
                 F.col("further").isNotNull().alias("moved"),
             ),
