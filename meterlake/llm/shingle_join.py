@@ -40,6 +40,11 @@ BLOCK_DOCS = 512
 BLOCK_SHINGLES = 1 << 20
 BIN_SHINGLES = 1 << 18
 PARTS_PER_TASK = 4
+# A part of the hash range has the shingles of about so much text, about a tenth of it in
+# bytes.
+PART_TEXT = 64 << 20
+# Documents of a slice go through the exchange of its shingles in groups of this many.
+GROUP_DOCS = 64
 ROUNDS = 3
 MANY = 0xFFFF
 _HALF = np.uint64(1 << 63)
@@ -150,13 +155,14 @@ def _seen_rows(slice_: Slices, bounds: np.ndarray) -> Iterator[tuple]:
     number = slice_.number()
     place: dict[tuple, int] = {}
     own: list[np.ndarray] = []
-    for (row, doc_id), shingles in zip(slice_.rows, slice_.sets, strict=True):
+    for at, ((row, doc_id), shingles) in enumerate(zip(slice_.rows, slice_.sets, strict=True)):
         key = (len(shingles), *_digest(shingles))
         if key not in place:
             place[key] = len(own)
             own.append(shingles[: np.searchsorted(shingles, _HALF)])
-        # documents follow their slice, not a part
-        yield -1 - number, number, row, doc_id, place[key], *key, None
+        # documents follow their slice, not a part, and are no group of their own
+        group = (number << 7) + at // GROUP_DOCS
+        yield -1 - group, number, row, doc_id, place[key], *key, None
     every = np.concatenate(own)
     of = np.repeat(np.arange(len(own), dtype="<u2"), [len(s) for s in own])
     order = np.argsort(every, kind="stable")
@@ -525,7 +531,9 @@ def near_duplicates(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     rows.
     """
     spark = docs.sparkSession
-    parts = PARTS_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(PARTS_PER_TASK * width, -(-size // PART_TEXT))
     rows = numbered(docs.select("text", "doc_id"), "row").select(
         "text", "row", F.col("doc_id").cast("long").alias("doc_id")
     )
