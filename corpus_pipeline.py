@@ -47,9 +47,9 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 2048 tokens."""
+    """Pieces of documents in sequences of at most 2048 tokens, with their ids."""
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return pack(docs, tokenizer, ["doc_id"])
+    return pack(docs, tokenizer, ["doc_id"], with_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
