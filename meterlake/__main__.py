@@ -47,7 +47,8 @@ def main() -> None:
     show("rejected rows by reason", reason_breakdown(rejects))
     show("rejected rows, examples", reject_samples(rejects))
     for zone in (lake.events, lake.silver, lake.gold("org_daily_usage_by_service")):
-        show(f"size of {zone}", zone_size(partition_report(spark, zone, "event_date")))
+        report = partition_report(spark, lake.stored_at(zone), "event_date")
+        show(f"size of {zone}", zone_size(report))
 
     newest, store = lake.newest_day(), lake.serving
     month_ago = newest - dt.timedelta(days=TICKET_DAYS - 1)

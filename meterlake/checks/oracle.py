@@ -206,6 +206,15 @@ def _counts(zones: dict[str, str]) -> str:
     )
 
 
+_RESOURCES = """(
+  select o_orderkey as k, cast(o_custkey as varchar) as org_id, o_orderkey % 17 = 0 as cut,
+         case when o_orderkey % 13 <> 0 then cast(o_orderkey as varchar) end as id,
+         case when o_orderkey % 7 = 0 then 'soon'
+              when o_orderkey % 11 = 0 then '2024-13-45' end as bad,
+         cast(cast(o_orderdate as date) as varchar) as day,
+         '{"note": "a,' || chr(10) || o_orderstatus || '"}' as tags
+  from orders) r"""
+
 _BODIES = {
     "conform_usage": f"select {_EVENT}, schema_version from usage",
     "dq_clean": f"select {_EVENT} from clean",
@@ -326,10 +335,17 @@ _BODIES = {
         round(sum(cost_usd), 6) as cost_usd from tagged group by all""",
     "stream_scored": f"""select cast(event_id as varchar) as event_id, {_FLAGS}
         from silver""",
+    "profile_by_state": """select service, n_values, round(mean_cost, 6) as mean_cost,
+  round(std_cost, 6) as std_cost, true as p01_within, true as p50_within,
+  true as p99_within, true as mad_within from band""",
     "stream_daily_window": """select cast(event_date as varchar) as event_date, service,
         round(sum(cost_usd), 6) as cost_usd,
         cast(sum(genai_tokens) as bigint) as genai_tokens, count(*) as event_count
         from clean group by event_date, service""",
+    "stream_late_windows": """select cast(event_date as varchar) as event_date, service,
+        round(sum(cost_usd), 6) as cost_usd,
+        cast(sum(genai_tokens) as bigint) as genai_tokens, count(*) as event_count,
+        false as opened_twice from clean group by event_date, service""",
     "stream_mart_refresh": _DAILY,
     "upsert_merge": """select org_id, cast(event_date as varchar) as event_date,
         service, round(sum(cost_usd), 6) as cost_usd,
@@ -337,6 +353,20 @@ _BODIES = {
         from clean where schema_version = 2 or metric <> 'requests' group by all""",
     "reload_snapshot": """select org_id, round(total_cost_usd, 6) as total_cost_usd,
         service, org_name from cost_14d""",
+    "reload_interrupted": """select 'reloaded' as seen, org_id,
+        round(total_cost_usd, 6) as total_cost_usd, service, org_name from cost_14d
+        union all
+        select 'interrupted', org_id, round(sum(cost_usd), 6), service, max(org_name)
+        from daily, newest where event_date between newest.day - 20 and newest.day - 7
+        group by org_id, service""",
+    "stream_cost_14d": """select org_id, round(total_cost_usd, 6) as total_cost_usd,
+        service, org_name from cost_14d""",
+    "stream_genai": """select org_id, cast(event_date as varchar) as event_date,
+        total_tokens, round(cost_usd, 6) as cost_usd, event_count from genai""",
+    "stream_anomalies": "select * from anomaly_rows",
+    "compaction": """select cast(event_date as varchar) as event_date, count(*) as rows,
+        round(sum(cost_usd), 6) as cost_usd, true as one_file, true as settled
+        from clean group by event_date""",
     "serving_counts": _counts(_SERVING_COUNTS),
     "first_org": "select min(org_id) as org_id from daily",
     "master_audit": """select cast(org_id as varchar) as org_id,
@@ -344,9 +374,28 @@ _BODIES = {
     "master_quarantine": """select org_name,
         case when org_id % 7 = 0 then 'org_id_null' else 'accepted' end as dq_rule,
         '2024-02-01' as ingest_date from org""",
+    "master_malformed": f"""
+        select case when id is null then 'resource_id_null' else 'accepted' end as outcome,
+               id as resource_id, org_id, case when bad is null then day end as created_at,
+               tags as tags_json, cast(null as varchar) as text
+        from {_RESOURCES} where not cut
+        union all
+        select 'broken_line', null, null, null, null, k || ',' || org_id || ',d'
+        from {_RESOURCES} where cut
+        union all
+        select 'malformed_value', '["' || coalesce(id, '') || '"]', null, null, null,
+               'created_at=' || bad from {_RESOURCES} where not cut and bad is not null""",
     "zone_size": """select count(distinct event_date) as partitions, true as adds_up
         from clean""",
     "zone_manifest": _counts(_ZONE_COUNTS),
+    "written_counts": """select zone, rows, rows as counted, true as conserved from (
+          select 'bronze' as zone, count(*) as rows from usage union all
+          select 'silver', count(*) from clean union all
+          select 'quarantine', count(dq_rule) from tagged union all
+          select 'daily', count(*) from daily)""",
+    "supervised_run": """select cast(event_date as varchar) as event_date, count(*) as rows,
+        round(sum(cost_usd), 6) as cost_usd, 1 as failures, true as all_noted
+        from clean group by event_date""",
     "rerun_stability": """select zone, rows as first_rows, rows as second_rows,
         true as stable from (
           select 'silver' as zone, count(*) as rows from clean union all

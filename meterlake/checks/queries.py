@@ -13,36 +13,56 @@ from functools import cached_property, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, DoubleType
 
 from meterlake.operators import marts, quality
 from meterlake.operators.conform import conform, enrich
 from meterlake.operators.dedupe import one_row_per_key
 from meterlake.operators.outliers import (
+    BAND,
     DETECTORS,
     flag_outside_band,
     score_against,
     service_profile,
 )
+from meterlake.operators.profiles import DEVIATION_RANK_ERROR, RANK_ERROR, merged_profile
 from meterlake.operators.ranking import busiest
 from meterlake.operators.upsert import READY, merged, note
 from meterlake.plans import questions, reports
+from meterlake.plans.history import refreshed_states
+from meterlake.plans.live import LiveMarts
 from meterlake.plans.serving import BUCKET, TABLES, ServingStore
 from meterlake.session import pin_utc, scratch_path
 from meterlake.sources import fixtures
+from meterlake.sources.compaction import compact
 from meterlake.sources.events import scan_lines, typed_events
 from meterlake.sources.masters import (
     current_master,
     ingest_masters,
     rejected_master,
     scan_master,
+    unread_cells,
 )
 from meterlake.sources.schemas import MASTERS
-from meterlake.sources.zones import read_zone, write_snapshot
+from meterlake.sources.zones import (
+    WRITTEN,
+    read_zone,
+    slot_paths,
+    write_mark,
+    write_snapshot,
+)
 from meterlake.streaming.ingest import ingest_events
-from meterlake.streaming.marts import complete_windows, refresh_mart, windowed_usage
+from meterlake.streaming.marts import (
+    LEDGER,
+    complete_windows,
+    refresh_mart,
+    update_ledger,
+    windowed_usage,
+)
 from meterlake.streaming.runs import append_to, finish
 from meterlake.streaming.silver import start_silver, stream_zone
+from meterlake.streaming.supervise import supervise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -514,6 +534,45 @@ def master_quarantine(t: Inputs) -> DataFrame:
     return plain(accepted.select(*shown).unionByName(lost.select(*shown)))
 
 
+@query
+def master_malformed(t: Inputs) -> DataFrame:
+    """Resources delivered without some ids, with unreadable days, with line breaks and
+    JSON inside cells, and with lines that end early: what became of every row, and of
+    every cell that could not be read.
+    """
+    landing, bronze = t.scratch("landing"), t.scratch("bronze")
+    path, options = f"{landing}/resources.csv", {"header": True, "escape": '"'}
+    key, orders = F.col("o_orderkey"), t.table("orders")
+    day = F.when(key % 7 == 0, F.lit("soon")).when(key % 11 == 0, F.lit("2024-13-45"))
+    note = F.concat(F.lit('{"note": "a,\n'), "o_orderstatus", F.lit('"}'))
+    cells = [
+        F.when(key % 13 != 0, key).alias("resource_id"), F.col("o_custkey").alias("org_id"),
+        F.lit("db").alias("service"), F.lit("eu").alias("region"),
+        F.coalesce(day, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("created_at"),
+        F.col("o_orderstatus").alias("state"), note.alias("tags_json"),
+    ]
+    whole = orders.where(key % 17 != 0).select(*cells)
+    whole.write.options(**options).csv(path)
+    cut = orders.where(key % 17 == 0).select(key, "o_custkey", F.lit("d"))
+    cut.write.mode("append").options(**options).csv(path)
+    ingest_masters(t.spark, landing, bronze, dt.date(2024, 2, 1), ["resources"])
+    shown = ("resource_id", "org_id", "created_at", "tags_json")
+    accepted = current_master(t.spark, bronze, "resources").select(
+        F.lit("accepted").alias("outcome"), *shown, F.lit(None).cast("string").alias("text")
+    )
+    kept = F.col("broken_line").isNull()
+    lost = rejected_master(t.spark, bronze, "resources").select(
+        F.col("dq_rule").alias("outcome"),
+        *[F.when(kept, F.col(c)).alias(c) for c in shown], F.col("broken_line").alias("text"),
+    )
+    unread = unread_cells(t.spark, bronze, "resources").select(
+        F.col("dq_rule").alias("outcome"), F.col("row_key").alias("resource_id"),
+        *[F.lit(None).cast(kind).alias(c) for c, kind in zip(shown[1:], ("string", "date", "string"))],
+        F.concat("column", F.lit("="), "text").alias("text"),
+    )
+    return plain(accepted.unionByName(lost).unionByName(unread))
+
+
 # -- streaming ------------------------------------------------------------------
 
 
@@ -657,6 +716,51 @@ def stream_scored(t: Inputs) -> DataFrame:
     )
 
 
+def _append_days(events: DataFrame, path: str) -> None:
+    timed = events.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    dated = timed.withColumn("event_date", F.to_date("timestamp"))
+    dated.write.mode("append").partitionBy("event_date").parquet(path)
+
+
+def _rank_is(value: str, of: str, share: float, error: float) -> Column:
+    """Whether `value` has the rank `share` among the values of a group, up to `error`."""
+    n = F.count(of)
+    below, upto = F.count_if(F.col(of) < F.col(value)), F.count_if(F.col(of) <= F.col(value))
+    return (below <= (share + error) * n) & (upto >= (share - error) * n)
+
+
+@query
+def profile_by_state(t: Inputs) -> DataFrame:
+    """The profile merged from states of days. Version 1 days are profiled, then the zone
+    gets the rest and days that are already profiled get more files; the second refresh
+    reads those days alone. Quantiles are checked by their ranks among all costs.
+    """
+    zone, state = t.scratch("bronze"), t.scratch("states")
+
+    def states() -> DataFrame:
+        return refreshed_states(
+            t.spark, zone, state, lambda rows: quality.accepted(quality.tag_quality(conform(rows)))
+        )
+
+    early = (F.col("schema_version") == 1) & (F.coalesce("event_id", F.lit(0)) % 10 != 0)
+    _append_days(t.usage.where(early), zone)
+    states()
+    _append_days(t.usage.where(~early), zone)
+    profile = merged_profile(states()).withColumnRenamed("n_values", "n")
+    rows = t.clean.select("service", "cost_usd").join(F.broadcast(profile), "service")
+    rows = rows.withColumn("apart", F.abs(F.col("cost_usd") - F.col("p50")))
+    ranks = [
+        _rank_is(name, "cost_usd", p, RANK_ERROR).alias(f"{name}_within") for name, p in BAND.items()
+    ]
+    ranks.append(_rank_is("mad", "apart", 0.5, DEVIATION_RANK_ERROR).alias("mad_within"))
+    keys = ("service", "n", "mean_cost", "std_cost", *BAND, "mad")
+    checked = rows.groupBy(*keys).agg(*ranks)
+    within = [f"{name}_within" for name in (*BAND, "mad")]
+    return plain(
+        checked.select("service", F.col("n").alias("n_values"), "mean_cost", "std_cost", *within)
+    )
+
+
 @query
 def stream_daily_window(t: Inputs) -> DataFrame:
     """Totals per day and service. Files hold events of all days and come one by one, so
@@ -667,14 +771,39 @@ def stream_daily_window(t: Inputs) -> DataFrame:
     stream = windowed_usage(stream_zone(t.spark, zone, files_per_trigger=1))
     finish(append_to(stream, out, t.scratch("checkpoints")))
     emitted = read_zone(t.spark, out, stream.schema)
+    ledger = update_ledger(t.spark, zone, t.scratch("ledger"))
+    return _shown_windows(complete_windows(emitted, ledger))
+
+
+def _shown_windows(windows: DataFrame) -> DataFrame:
     return plain(
-        complete_windows(emitted, read_zone(t.spark, zone)).select(
+        windows.select(
             F.to_date("window_start").alias("event_date"), "service", "cost_usd",
             "genai_tokens", "event_count",
         )
     )
 
 
+@query
+def stream_late_windows(t: Inputs) -> DataFrame:
+    """Totals per day and service over two rounds of the stream. The second brings events
+    of all days, late for windows that were emitted; only its files are opened to count
+    them. `opened_twice` says whether any file was counted in both rounds.
+    """
+    zone, out, checkpoints = t.scratch("silver"), t.scratch("windows"), t.scratch("checkpoints")
+    ledger = t.scratch("ledger")
+    late = F.coalesce("event_id", F.lit(0)) % 6 == 0
+    for rows in (t.clean.where(~late), t.clean.where(late)):
+        _append_bronze(rows, zone)
+        stream = windowed_usage(stream_zone(t.spark, zone))
+        finish(append_to(stream, out, checkpoints))
+        sums = update_ledger(t.spark, zone, ledger)
+    emitted = read_zone(t.spark, out, stream.schema)
+    counted = read_zone(t.spark, ledger, LEDGER).where("window_start is null")
+    opened_twice = counted.agg(F.count("*") > F.count_distinct("file")).scalar()
+    return _shown_windows(complete_windows(emitted, sums)).withColumn("opened_twice", opened_twice)
+
+
 @query
 def stream_mart_refresh(t: Inputs) -> DataFrame:
     """Daily mart kept up by two runs of the stream: version 1 events, then the rest."""
@@ -696,6 +825,36 @@ def stream_mart_refresh(t: Inputs) -> DataFrame:
     return plain(store.table("org_daily_usage_by_service"))
 
 
+@query
+def supervised_run(t: Inputs) -> DataFrame:
+    """Silver by a supervised stream that breaks once, at one of its files, and is started
+    again from its checkpoint: events by day, each once, the failures on record, and
+    whether the record's batches have all rows.
+    """
+    zone, out, checkpoints = t.scratch("silver"), t.scratch("out"), t.scratch("checkpoints")
+    t.clean.repartition(4, F.xxhash64("event_id", "timestamp")).write.parquet(zone)
+    file = F.col("_metadata.file_path")
+    last = read_zone(t.spark, zone).select(F.max(file)).first()[0]
+    started: list[StreamingQuery] = []
+
+    def start() -> StreamingQuery:
+        rows = stream_zone(t.spark, zone, files_per_trigger=1)
+        if not started:
+            broken = F.when(file == last, F.raise_error(F.lit("injected")))
+            rows = rows.withColumn("service", broken.otherwise(F.col("service")))
+        started.append(append_to(rows, out, checkpoints, "event_date"))
+        return started[-1]
+
+    record = supervise(start, first_wait=0.1, poll=0.5).table(t.spark)
+    failures = record.select(F.count("failure")).scalar()
+    noted = record.select(F.sum("input_rows")).scalar()
+    days = read_zone(t.spark, out).groupBy("event_date").agg(
+        F.count("*").alias("rows"), F.sum("cost_usd").alias("cost_usd")
+    )
+    total = days.select(F.sum("rows")).scalar()
+    return plain(days.select("*", failures.alias("failures"), (noted == total).alias("all_noted")))
+
+
 # -- serving --------------------------------------------------------------------
 
 
@@ -734,6 +893,7 @@ def upsert_retry(t: Inputs) -> DataFrame:
     )
     note(t.spark, staging, "interrupted", READY)
     write_snapshot(read_zone(t.spark, torn), path, TABLES[name].partitions)
+    write_mark(t.spark, path, WRITTEN, "1")
     store.load(name, later)
     return plain(
         store.table(name).select(
@@ -819,6 +979,62 @@ def reload_snapshot(t: Inputs) -> DataFrame:
     return plain(store.table(name))
 
 
+@query
+def reload_interrupted(t: Inputs) -> DataFrame:
+    """Trailing cost as of a week ago; what a reload that is lost midway leaves behind, a
+    part of the new rows without a mark; and the reload that follows. Answers in between
+    are the old ones.
+    """
+    store = t.store()
+    name = "org_service_cost_14d"
+    store.load(name, marts.trailing_cost(t.daily_cost, F.date_sub(t.newest_usage, 7)))
+    newest = store.laid_out(name, t.cost_14d)
+    _, unfinished, _ = slot_paths(t.spark, store.base(name))
+    write_snapshot(newest.where(F.col(BUCKET) < 3), unfinished, TABLES[name].partitions)
+    between = t.scratch("between")
+    store.table(name).write.parquet(between)
+    store.load(name, t.cost_14d)
+    answers = {"interrupted": read_zone(t.spark, between), "reloaded": store.table(name)}
+    both = [df.withColumn("seen", F.lit(seen)) for seen, df in answers.items()]
+    return plain(both[0].unionByName(both[1]))
+
+
+def _stream_rounds(t: Inputs, *tables: str) -> ServingStore:
+    """Live tables after three rounds of the stream: version 1 without every fourth event,
+    those that were left out, and the days of version 2.
+    """
+    bronze, silver = t.scratch("bronze"), t.scratch("silver")
+    bad, checkpoints = t.scratch("bad"), t.scratch("checkpoints")
+    live = LiveMarts(t.store(), t.scratch("live"), tables, fixtures.GENAI_SERVICE)
+    early = F.col("schema_version") == 1
+    left_out = F.coalesce("event_id", F.lit(1)) % 4 == 0
+    since = None
+    for rows in (early & ~left_out, early & left_out, ~early):
+        _append_bronze(t.usage.where(rows), bronze)
+        started = dt.datetime.now(dt.timezone.utc)
+        finish(*start_silver(t.spark, bronze, t.org, silver, bad, checkpoints, t.profile))
+        live.refresh(read_zone(t.spark, silver), since)
+        since = started
+    return live.store
+
+
+@query
+def stream_cost_14d(t: Inputs) -> DataFrame:
+    """Trailing cost, moved from round to round by what entered and left its window."""
+    return plain(_stream_rounds(t, "org_service_cost_14d").table("org_service_cost_14d"))
+
+
+@query
+def stream_genai(t: Inputs) -> DataFrame:
+    return plain(_stream_rounds(t, "genai_tokens_by_org_date").table("genai_tokens_by_org_date"))
+
+
+@query
+def stream_anomalies(t: Inputs) -> DataFrame:
+    name = "cost_anomaly_by_org_date"
+    return _spelled_out(_stream_rounds(t, name).table(name))
+
+
 @query
 def serving_counts(t: Inputs) -> DataFrame:
     """Rows of the serving tables after loading the marts into them."""
@@ -858,6 +1074,26 @@ def zone_manifest(t: Inputs) -> DataFrame:
     return reports.zone_manifest(_zones(t))
 
 
+@query
+def written_counts(t: Inputs) -> DataFrame:
+    """The zones' rows as counted while they were written, beside a count of what is
+    there, and whether both sides of the quality split make up the whole.
+    """
+    base, paths = t.scratch("zones"), {}
+    zones = {n: df for n, df in _zones(t).items() if n in ("bronze", "silver", "quarantine", "daily")}
+    for name, df in zones.items():
+        paths[name] = f"{base}/{name}"
+        write_snapshot(df, paths[name], "event_date" if "event_date" in df.columns else None)
+    told = reports.written_manifest(t.spark, paths)
+    counted = reports.zone_manifest({n: read_zone(t.spark, p) for n, p in paths.items()})
+    both = told.join(counted.withColumnRenamed("rows", "counted"), "zone")
+
+    def of(name: str) -> Column:
+        return told.where(F.col("zone") == name).select("rows").scalar()
+
+    return both.withColumn("conserved", of("silver") + of("quarantine") == of("bronze"))
+
+
 @query
 def rerun_stability(t: Inputs) -> DataFrame:
     """Silver, quarantine and the daily mart written twice to the same place."""
@@ -877,6 +1113,28 @@ def rerun_stability(t: Inputs) -> DataFrame:
     return reports.rerun_check(*manifests)
 
 
+@query
+def compaction(t: Inputs) -> DataFrame:
+    """The silver zone with a dozen files for every day, brought together: its rows by
+    day, whether every day has one file, and whether a second run finds nothing to do.
+    """
+    path, staging = t.scratch("silver"), t.scratch("staging")
+    many = t.clean.repartition(12, F.xxhash64("event_id", "timestamp"))
+    many.write.partitionBy("event_date").parquet(path)
+    compact(t.spark, path, staging)
+    again = compact(t.spark, path, staging).count()
+    rows = read_zone(t.spark, path).groupBy("event_date").agg(
+        F.count("*").alias("rows"), F.sum("cost_usd").alias("cost_usd"),
+        F.count_distinct(F.col("_metadata.file_path")).alias("files"),
+    )
+    return plain(
+        rows.select(
+            "event_date", "rows", "cost_usd", (F.col("files") == 1).alias("one_file"),
+            F.lit(again == 0).alias("settled"),
+        )
+    )
+
+
 @query
 def partition_report(t: Inputs) -> DataFrame:
     """Days of the silver zone with their rows, and whether they are stored."""

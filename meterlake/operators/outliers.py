@@ -29,7 +29,7 @@ def service_band(
     events: DataFrame, exact: bool = True, small_rows: int = SMALL_ROWS
 ) -> DataFrame:
     """Mean, sample standard deviation and band quantiles per service, materialised."""
-    costs = _costs(events)
+    costs = costs_of(events)
     moments = [
         F.avg("cost_usd").alias("mean_cost"),
         F.stddev_samp("cost_usd").alias("std_cost"),
@@ -45,10 +45,12 @@ def service_band(
     return cut_lineage(band)
 
 
-def _costs(events: DataFrame) -> DataFrame:
-    """Service and cost; a cost that is no number is none, here as in the quantiles."""
+def costs_of(events: DataFrame, *columns: str) -> DataFrame:
+    """Service and cost, and other columns; a cost that is no number is none, here as in
+    the quantiles.
+    """
     cost = F.col("cost_usd").cast("double")
-    return events.select("service", F.when(~F.isnan(cost), cost).alias("cost_usd"))
+    return events.select("service", *columns, F.when(~F.isnan(cost), cost).alias("cost_usd"))
 
 
 def service_profile(
@@ -62,10 +64,10 @@ def service_profile(
     two columns they need.
     """
     if exact:
-        events = stored(_costs(events), "costs")
+        events = stored(costs_of(events), "costs")
     band = service_band(events, exact, small_rows)
     medians = band.select("service", "p50")
-    spread = lookup_join(_costs(events), medians, "service").select(
+    spread = lookup_join(costs_of(events), medians, "service").select(
         "service", F.abs(F.col("cost_usd") - F.col("p50")).alias("deviation")
     )
     if exact:

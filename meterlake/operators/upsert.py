@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.operators.dedupe import one_row_per_key
 from meterlake.session import cut_lineage
-from meterlake.sources.zones import listed, read_zone, table_exists, write_partitions
+from meterlake.sources.zones import among, listed, read_zone, table_exists, write_partitions
 
 
 def latest_per_key(
@@ -32,27 +30,27 @@ def merged(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFra
     return left.join(right, same, "left_anti").unionByName(incoming)
 
 
-JOURNAL = "load string, state string, at timestamp"
+# A load's rows are below this folder; the next load replaces them.
+LOAD = "load"
+JOURNAL = "load string, state string"
 READY, DONE = "ready", "done"
 
 
 def note(spark: SparkSession, staging: str, load: str, state: str) -> None:
-    """Write to the journal how far a load has come."""
-    row = spark.range(1).select(
-        F.lit(load).alias("load"), F.lit(state).alias("state"), F.current_timestamp().alias("at")
-    )
-    row.write.mode("append").parquet(f"{staging}/journal")
+    """Write down how far the last load has come. There is one load at a time, so this
+    takes the place of what was noted. Lost between the two, the note of a load that was
+    not ready, or is done, says nothing that matters.
+    """
+    row = spark.createDataFrame([(load, state)], JOURNAL)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{staging}/journal")
 
 
 def unfinished_loads(spark: SparkSession, staging: str) -> list[str]:
-    """Loads whose merged rows are complete but may not have reached the table."""
+    """The load, if any, whose merged rows are complete but may not be in the table."""
     if not table_exists(spark, f"{staging}/journal"):
         return []
-    notes = read_zone(spark, f"{staging}/journal", JOURNAL)
-    open_ = notes.groupBy("load").agg(
-        F.min("at").alias("at"), F.bool_or(F.col("state") == DONE).alias("done")
-    )
-    return [r["load"] for r in open_.where("not done").orderBy("at", "load").collect()]
+    notes = spark.read.schema(JOURNAL).parquet(f"{staging}/journal").collect()
+    return [r["load"] for r in notes if r["state"] == READY]
 
 
 def finish_loads(
@@ -61,20 +59,28 @@ def finish_loads(
     staging: str,
     partition_by: str | list[str],
     sort_within: list[Column | str] | None = None,
+    rebalance: bool = True,
 ) -> None:
-    """Write the merged rows of loads that were interrupted. They hold their partitions
+    """Write the merged rows of a load that was interrupted. They hold their partitions
     whole, so this puts right a table that was left without some of them.
     """
     for load in unfinished_loads(spark, staging):
-        rows = read_zone(spark, f"{staging}/{load}/merged")
-        write_partitions(rows, path, partition_by, sort_within)
-        note(spark, staging, load, DONE)
+        swap_in(spark, path, staging, load, partition_by, sort_within, rebalance)
 
 
-def _among(column: str, values: set) -> Column:
-    """The column is one of the values, of which null may be one."""
-    known = F.col(column).isin([v for v in values if v is not None])
-    return known | F.col(column).isNull() if None in values else known
+def swap_in(
+    spark: SparkSession,
+    path: str,
+    staging: str,
+    load: str,
+    partition_by: str | list[str],
+    sort_within: list[Column | str] | None = None,
+    rebalance: bool = True,
+) -> None:
+    """Replace partitions by a load's merged rows."""
+    rows = read_zone(spark, f"{staging}/{load}/merged")
+    write_partitions(rows, path, partition_by, sort_within, rebalance)
+    note(spark, staging, load, DONE)
 
 
 def _in_partitions(rows: DataFrame, parts: DataFrame, columns: list[str]) -> DataFrame:
@@ -106,7 +112,8 @@ def upsert(
     because a table cannot be overwritten while it is read, and a journal there says
     when they are complete. Swapping partitions is not atomic: a load that was
     interrupted is finished by the next one before it reads the table. One load at a
-    time may write a table.
+    time may write a table; what it leaves below `staging`, the next one replaces. The
+    touched partitions are collected and broadcast, a row for each.
     """
     spark = incoming.sparkSession
     finish_loads(spark, path, staging, partition_by, sort_within)
@@ -114,10 +121,9 @@ def upsert(
     if not table_exists(spark, path):
         write_partitions(fresh, path, partition_by, sort_within)
         return
-    load = uuid.uuid4().hex
     # computed once, then read twice: for the touched partitions and for the merge
-    fresh.write.parquet(f"{staging}/{load}/incoming")
-    fresh = read_zone(spark, f"{staging}/{load}/incoming", fresh.schema)
+    fresh.write.mode("overwrite").parquet(f"{staging}/{LOAD}/incoming")
+    fresh = read_zone(spark, f"{staging}/{LOAD}/incoming", fresh.schema)
     existing = read_zone(spark, path, fresh.schema)
     lead = listed(partition_by)
     parts = fresh.select(*lead)
@@ -130,13 +136,13 @@ def upsert(
         return
     affected = existing
     for column in lead:
-        affected = affected.where(_among(column, {r[column] for r in touched}))
+        affected = affected.where(among(column, {r[column] for r in touched}))
     if len(lead) > 1:
         # the conditions above open the files; this leaves the touched combinations
         affected = _in_partitions(affected, parts, lead)
     if replaces is not None:
         affected = affected.where(~F.coalesce(replaces, F.lit(False)))
     result = merged(affected, fresh, keys)
-    result.write.parquet(f"{staging}/{load}/merged")
-    note(spark, staging, load, READY)
-    finish_loads(spark, path, staging, partition_by, sort_within)
+    result.write.mode("overwrite").parquet(f"{staging}/{LOAD}/merged")
+    note(spark, staging, LOAD, READY)
+    swap_in(spark, path, staging, LOAD, partition_by, sort_within)

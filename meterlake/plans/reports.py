@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.sources.zones import partition_listing, read_zone, rows_written
+
 
 def zone_manifest(zones: Mapping[str, DataFrame]) -> DataFrame:
     """One row per zone with its row count."""
@@ -18,21 +20,24 @@ def zone_manifest(zones: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def partition_report(spark: SparkSession, path: str, partition_by: str) -> DataFrame:
-    """Files and bytes per partition of a zone.
-
-    Works on the listing of the files: the binary source reads no content as long as
-    the content column is not selected.
+def written_manifest(spark: SparkSession, zones: Mapping[str, str | DataFrame]) -> DataFrame:
+    """The same from the counts that writers left beside the zones, given by their paths.
+    Zones that have none, and those given as rows, are counted.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select(partition_by, "length")
-    )
-    return files.groupBy(partition_by).agg(
-        F.count("*").alias("files"), F.sum("length").alias("bytes")
-    )
+    known, others = [], {}
+    for name, zone in zones.items():
+        rows = rows_written(spark, zone) if isinstance(zone, str) else None
+        if rows is not None:
+            known.append((name, rows))
+        else:
+            others[name] = read_zone(spark, zone) if isinstance(zone, str) else zone
+    told = spark.createDataFrame(known, "zone string, rows bigint")
+    return told.unionByName(zone_manifest(others)) if others else told
+
+
+def partition_report(spark: SparkSession, path: str, partition_by: str) -> DataFrame:
+    """Files and bytes per partition of a zone, from the listing of its files."""
+    return partition_listing(spark, path, partition_by).drop("newest")
 
 
 def zone_size(report: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Serving tables: one Parquet table per question, laid out for its reads.
 
 Rows go to buckets by a hash of the organisation, so a question about one of them
-opens one directory; tables by day are parted by month below that, so a question about
+opens one directory; tables with days are parted by month below that, so a question about
 days opens few, and refreshing a day rewrites one month. Within a file rows are sorted
 by organisation and then in the order the question wants, so row-group statistics skip
 the rest.
@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from meterlake.operators.upsert import upsert
+from meterlake.operators.upsert import finish_loads, latest_per_key, upsert
 from meterlake.plans import questions
-from meterlake.sources.zones import read_zone, write_snapshot
+from meterlake.sources.zones import read_zone, slot_paths, write_switched
 
 BUCKET = "org_bucket"
 MONTH = "event_month"
@@ -47,7 +47,7 @@ class ServingTable:
 
     @property
     def by_day(self) -> bool:
-        return "event_date" in self.keys and not self.measured_key
+        return "event_date" in self.keys
 
     @property
     def partitions(self) -> list[str]:
@@ -118,9 +118,14 @@ class ServingStore:
     buckets: int = 64
     org_type: str = "string"
 
-    def path(self, name: str) -> str:
+    def base(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def path(self, name: str) -> str:
+        """Where a table's rows are: of its two slots, the one written last."""
+        current, other, _ = slot_paths(self.spark, self.base(name))
+        return current or other
+
     def _bucket(self, org_id: Column) -> Column:
         return F.pmod(F.xxhash64(org_id), F.lit(self.buckets)).cast("int")
 
@@ -148,23 +153,31 @@ class ServingStore:
         its key holds a measure. Loading the same mart again changes nothing. Marts
         have each key once; rows that may repeat keys need `unique=False`. A mart that
         was recomputed as a `whole` takes the place of the table; one recomputed for
-        the rows with `replaces` takes theirs.
+        the rows with `replaces` takes theirs, with a measure in the key too, since
+        then no old row of theirs is left. Readers see a reload when it is complete.
         """
         table = TABLES[name]
         rows = self.laid_out(name, mart)
-        if table.measured_key or whole:
-            write_snapshot(rows, self.path(name), table.partitions, table.order())
-        else:
-            upsert(
-                rows,
-                self.path(name),
-                self.staging(name),
-                table.keys,
-                table.partitions,
-                sort_within=table.order(),
-                unique=unique,
-                replaces=replaces,
-            )
+        current, _, _ = slot_paths(self.spark, self.base(name))
+        staging = self.staging(name)
+        if current is None or whole or (table.measured_key and replaces is None):
+            if current:
+                # or the next upsert would finish it, in the new table
+                finish_loads(self.spark, current, staging, table.partitions, table.order())
+            if not unique:
+                rows = latest_per_key(rows, table.keys)
+            write_switched(rows, self.base(name), table.partitions, table.order())
+            return
+        upsert(
+            rows,
+            current,
+            staging,
+            table.keys,
+            table.partitions,
+            sort_within=table.order(),
+            unique=unique,
+            replaces=replaces,
+        )
 
     def table(
         self,

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    DataType,
     DoubleType,
     IntegerType,
     LongType,
@@ -80,20 +81,24 @@ def _text(name: str) -> Column:
     return F.when(F.col(BROKEN_LINE).isNull(), F.col(name))
 
 
-def _parsed(field: StructField) -> Column:
-    raw = _text(field.name)
-    if isinstance(field.dataType, StringType):
+def parsed_cell(raw: Column, kind: DataType) -> Column:
+    """A cell's text as a value of its type, null if it is none."""
+    if isinstance(kind, StringType):
         return raw
-    if isinstance(field.dataType, (LongType, IntegerType)):
+    if isinstance(kind, (LongType, IntegerType)):
         # "5.0" is still the whole number five
         number = raw.try_cast("decimal(38,6)")
-        whole = F.when(number == F.floor(number), number.try_cast(field.dataType))
-        return F.coalesce(raw.try_cast(field.dataType), whole)
-    if isinstance(field.dataType, DoubleType):
+        whole = F.when(number == F.floor(number), number.try_cast(kind))
+        return F.coalesce(raw.try_cast(kind), whole)
+    if isinstance(kind, DoubleType):
         # "NaN" and "Infinity" are no measurements
         number = raw.try_cast("double")
         return F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
-    return raw.try_cast(field.dataType)
+    return raw.try_cast(kind)
+
+
+def _parsed(field: StructField) -> Column:
+    return parsed_cell(_text(field.name), field.dataType)
 
 
 def typed_events(lines: DataFrame) -> DataFrame:

@@ -58,13 +58,20 @@ EVENT_LAYOUT = (
 )
 
 
+# Masters whose cells may hold line breaks, being free text or JSON.
+_FREE_TEXT = ("resources", "nps_surveys")
+
+
 @dataclass(frozen=True)
 class Master:
-    """What is known about one master table before reading it."""
+    """What is known about one master table before reading it. Files whose cells may hold
+    line breaks are read whole by one task each; the others are split.
+    """
 
     name: str
     keys: tuple[str, ...]
     layout: str
+    multiline: bool = False
 
     @property
     def filename(self) -> str:
@@ -76,7 +83,7 @@ class Master:
 
 
 MASTERS: dict[str, Master] = {
-    name: Master(name, keys, layout)
+    name: Master(name, keys, layout, name in _FREE_TEXT)
     for name, (keys, layout) in _MASTER_LAYOUTS.items()
 }
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from meterlake.plans.serving import TABLES, ServingStore
 from meterlake.session import cut_lineage
+from meterlake.sources.zones import null_safe, read_zone, table_exists
 
 
 def windowed_usage(
@@ -24,47 +26,94 @@ def windowed_usage(
     return _by_window(silver.withWatermark("timestamp", lateness), window)
 
 
-def complete_windows(
-    emitted: DataFrame, silver: DataFrame, window: str = "1 day"
+# Sums of one file's events in one window, and when the file was written.
+LEDGER = (
+    "window_start timestamp, window_end timestamp, service string, cost_usd double,"
+    " genai_tokens bigint, event_count bigint, file string, written timestamp"
+)
+
+
+def unseen_files(spark: SparkSession, silver: str, ledger: str) -> DataFrame:
+    """Files of a zone, from their listing, that the ledger has no sums of."""
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(silver)
+        .select(F.col("_metadata.file_path").alias("file"), F.col("modificationTime").alias("at"))
+    )
+    if not table_exists(spark, ledger):
+        return files
+    seen = read_zone(spark, ledger, LEDGER).select("file").distinct()
+    return files.join(seen, "file", "left_anti")
+
+
+def rows_of_files(silver: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of the files listed in `files`, a stored table, and what file they are from.
+
+    The oldest of them is a scan filter on the time of writing, so the scan opens no file
+    that is older; a join leaves out those that were written meanwhile but are not listed.
+    """
+    oldest = files.agg(F.min("at")).first()[0]
+    rows = silver.withColumns(
+        {"file": F.col("_metadata.file_path"), "written": F.col("_metadata.file_modification_time")}
+    )
+    return rows.where(F.col("written") >= F.lit(oldest)).join(files.select("file"), "file", "left_semi")
+
+
+def update_ledger(
+    spark: SparkSession,
+    silver: str,
+    ledger: str,
+    window: str = "1 day",
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """All windows: those the stream has emitted whole, and the others from silver.
+    """Sums per window, service and file of a zone, brought up to date; those of the files
+    that the zone has now are returned.
+
+    Only files without sums are opened. Files of a zone never change, so a repeated call
+    counts nothing twice, and a file that is replaced by another, as by compaction, takes
+    its sums with it. A service's file has a row for each window its events fall into. A
+    ledger is of one window length: another needs another folder. One update at a time may
+    write a ledger.
+    """
+    files = cut_lineage(unseen_files(spark, silver, ledger))
+    if not files.isEmpty():
+        rows = rows_of_files(read_zone(spark, silver, schema), files)
+        sums = _by_window(rows, window, ["file", "written"])
+        # a file without rows is noted as well, with no window
+        noted = files.select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in sums.schema if f.name not in ("file", "written")],
+            "file", F.col("at").alias("written"),
+        )
+        both = sums.unionByName(noted.select(*sums.columns))
+        both.hint("rebalance").write.mode("append").parquet(ledger)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(silver)
+    current = listed.select(F.col("_metadata.file_path").alias("file"))
+    kept = read_zone(spark, ledger, LEDGER).where("window_start is not null")
+    return kept.join(current, "file", "left_semi")
+
 
-    A window's events are counted in silver, by time and service alone. Where the
-    stream has fewer, or none, the window is summed up anew; it is one of the newest, or
-    was touched late, so silver is read in full for few windows only.
+def complete_windows(emitted: DataFrame, ledger: DataFrame) -> DataFrame:
+    """All windows: those the stream has emitted whole, and the others from the ledger.
+
+    The ledger, see `update_ledger`, has the sums of all events, late ones too. Where it
+    counts more events than the stream has emitted for a window, or the stream has none,
+    its sums are taken. No event is read here.
     """
     keys = ["window_start", "service"]
-    held = (
-        silver.groupBy(F.window("timestamp", window), "service")
-        .agg(F.count("*").alias("_held"))
-        .select(F.col("window.start").alias("window_start"), "service", "_held")
+    summed = ledger.groupBy("window_start", "window_end", "service").agg(
+        *[F.sum(c).alias(c) for c in ("cost_usd", "genai_tokens", "event_count")]
     )
-    sent = emitted.select(*keys, F.col("event_count").alias("_sent"))
-    same = F.lit(True)
-    for key in keys:
-        same = same & F.col(f"h.{key}").eqNullSafe(F.col(f"s.{key}"))
-    open_ = cut_lineage(
-        held.alias("h").join(sent.alias("s"), same, "left")
-        .where("_sent is null or _sent <> _held")
-        .select("h.*").drop("_held")
+    sent = emitted.alias("e").join(
+        summed.select(*keys, F.col("event_count").alias("held")).alias("s"),
+        null_safe("e", "s", keys) & F.expr("e.event_count = s.held"), "left_semi",
     )
-    starts = open_.select("window_start").distinct()
-    in_window = F.window("timestamp", window)["start"].alias("window_start")
-    rows = silver.select("*", in_window).join(starts, "window_start", "left_semi")
-    anew = _by_window(rows.drop("window_start"), window)
-
-    def of(df: DataFrame, how: str) -> DataFrame:
-        same = F.lit(True)
-        for key in keys:
-            same = same & F.col(f"w.{key}").eqNullSafe(F.col(f"o.{key}"))
-        return df.alias("w").join(open_.alias("o"), same, how)
-
-    return of(emitted, "left_anti").unionByName(of(anew, "left_semi"))
+    sent = cut_lineage(sent)
+    others = summed.alias("s").join(sent.alias("e"), null_safe("s", "e", keys), "left_anti")
+    return sent.unionByName(others)
 
 
-def _by_window(rows: DataFrame, window: str) -> DataFrame:
+def _by_window(rows: DataFrame, window: str, also: list[str] | None = None) -> DataFrame:
     return (
-        rows.groupBy(F.window("timestamp", window), "service")
+        rows.groupBy(F.window("timestamp", window), "service", *(also or []))
         .agg(
             F.sum("cost_usd").alias("cost_usd"),
             F.sum("genai_tokens").alias("genai_tokens"),
@@ -77,6 +126,7 @@ def _by_window(rows: DataFrame, window: str) -> DataFrame:
             "cost_usd",
             "genai_tokens",
             "event_count",
+            *(also or []),
         )
     )
 

@@ -8,6 +8,7 @@ from meterlake.sources.masters import (
     master_path,
     rejected_master,
     scan_master,
+    unread_cells,
 )
 from meterlake.sources.schemas import MASTERS
 from meterlake.sources.zones import read_zone, write_snapshot
@@ -112,3 +113,36 @@ def test_only_the_newest_partition_is_opened(spark, tmp_path):
     assert newest.count() == 10
     plan = newest._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in plan
+
+
+def test_nothing_is_lost_without_a_reason(spark, landing, tmp_path):
+    path = landing(
+        "resources",
+        "resource_id,org_id,service,region,created_at,state,tags_json",
+        'r1,o1,db,eu,2025-01-02,on,"{""env"": ""a\nb""}"', "r2,o1,db", "r3,o1,db,eu,soon,on,x",
+        ",o1,db,eu,2025-01-02,on,x", "r4,o1,db,eu,2025-01-02,on,x,y,z", "r5,o1,db,eu,,on,",
+    )
+    bronze = str(tmp_path / "b")
+    ingest_masters(spark, path, bronze, dt.date(2025, 8, 1), ["resources"])
+    rows = {r.resource_id: r for r in current_master(spark, bronze, "resources").collect()}
+    assert rows.keys() == {"r1", "r3", "r5"}
+    assert rows["r1"].tags_json == '{"env": "a\nb"}'
+    assert rows["r3"].created_at is None and rows["r5"].created_at is None
+    lost = {(r.dq_rule, r.broken_line) for r in rejected_master(spark, bronze, "resources").collect()}
+    assert lost == {
+        ("broken_line", "r2,o1,db"), ("broken_line", "r4,o1,db,eu,2025-01-02,on,x,y,z"),
+        ("resource_id_null", None),
+    }
+    # of the two days that are null, one was there and could not be read
+    (cell,) = unread_cells(spark, bronze, "resources").collect()
+    assert (cell.row_key, cell.column, cell.text) == ('["r3"]', "created_at", "soon")
+    assert cell.dq_rule == "malformed_value" and cell.ingest_date == dt.date(2025, 8, 1)
+
+
+def test_an_unreadable_key_is_told_twice(spark, landing, tmp_path):
+    path = landing("nps_surveys", "org_id,survey_date,nps_score,comment", "o1,never,NaN,c")
+    bronze = str(tmp_path / "b")
+    ingest_masters(spark, path, bronze, None, ["nps_surveys"])
+    assert [r.dq_rule for r in rejected_master(spark, bronze, "nps_surveys").collect()] == ["survey_date_null"]
+    cells = {(r.row_key, r.column, r.text) for r in unread_cells(spark, bronze, "nps_surveys").collect()}
+    assert cells == {('["o1",""]', "survey_date", "never"), ('["o1",""]', "nps_score", "NaN")}

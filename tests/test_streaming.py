@@ -11,7 +11,12 @@ from meterlake.operators.quality import split_quality
 from meterlake.plans.serving import ServingStore
 from meterlake.sources.events import scan_lines, text_schema, typed_events
 from meterlake.streaming.ingest import ingest_events, start_intake
-from meterlake.streaming.marts import complete_windows, refresh_mart, windowed_usage
+from meterlake.streaming.marts import (
+    complete_windows,
+    refresh_mart,
+    update_ledger,
+    windowed_usage,
+)
 from meterlake.streaming.runs import append_to, finish
 from meterlake.streaming.silver import start_silver, stream_zone
 
@@ -179,7 +184,7 @@ def test_windows_are_final_when_the_watermark_passes(spark, place):
     conform(bronze_rows(spark, late)).write.mode("append").parquet(place.bronze)
     finish(append_to(stream, out, place.checkpoints))
     emitted = spark.read.parquet(out)
-    whole = complete_windows(emitted, spark.read.parquet(place.bronze))
+    whole = complete_windows(emitted, update_ledger(spark, place.bronze, place.at("ledger")))
     got = {str(r.window_start)[:10]: (r.cost_usd, r.event_count) for r in whole.collect()}
     assert got == {
         "2025-07-01": (1.0, 1), "2025-08-01": (3.0, 3), "2025-08-02": (1.0, 1), "2025-08-03": (1.0, 1),
