@@ -38,6 +38,6 @@ def test_optional_queries_come_together():
     if find_spec("meterlake.llm") is None:
         assert not more
     else:
-        assert {name.split("_")[0] for name in more} == {f"op{n}" for n in range(1, 11)} | {
+        assert {name.split("_")[0] for name in more} == {f"op{n}" for n in range(1, 14)} | {
             "pipeline"
         }
