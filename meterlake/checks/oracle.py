@@ -353,6 +353,18 @@ _BODIES = {
         from clean where schema_version = 2 or metric <> 'requests' group by all""",
     "reload_snapshot": """select org_id, round(total_cost_usd, 6) as total_cost_usd,
         service, org_name from cost_14d""",
+    "serving_newest_first": """select 'tickets' as "table",
+        row_number() over (order by event_date desc, severity) as place,
+        event_date || ' ' || severity as row
+        from ticket_days, newest_ticket
+        where org_id = (select org_id from busiest_tickets)
+          and event_date >= newest_ticket.day - 400
+        union all
+        select 'revenue', row_number() over (order by month desc), cast(month as varchar)
+        from revenue_months where org_id = (select org_id from busiest_tickets)
+        union all
+        select 'genai', row_number() over (order by event_date desc), cast(event_date as varchar)
+        from genai where org_id = (select min(org_id) from genai)""",
     "reload_interrupted": """select 'reloaded' as seen, org_id,
         round(total_cost_usd, 6) as total_cost_usd, service, org_name from cost_14d
         union all

@@ -959,6 +959,29 @@ def serving_genai(t: Inputs) -> DataFrame:
     return plain(_asked_twice(store.genai(None, since), one))
 
 
+def _in_order(df: DataFrame, table: str, *shown: str) -> DataFrame:
+    """Rows of a sorted answer with the place they come in."""
+    place = F.monotonically_increasing_id() + 1
+    text = F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in shown])
+    return df.coalesce(1).select(F.lit(table).alias("table"), place.alias("place"), text.alias("row"))
+
+
+@query
+def serving_newest_first(t: Inputs) -> DataFrame:
+    """Answers about one organisation in the order they are given."""
+    store, since = t.store(), F.date_sub(t.newest_ticket, 400)
+    store.load("tickets_by_org_date", t.ticket_days)
+    store.load("revenue_by_org_month", marts.revenue_by_month(t.billing))
+    store.load("genai_tokens_by_org_date", t.genai)
+    org = questions.busiest_org(t.ticket_days, as_of=t.newest_ticket).first()[0]
+    user = t.genai.agg(F.min("org_id")).first()[0]
+    first = t.clean.select(F.min("event_date")).scalar()
+    tickets = _in_order(store.tickets(org, since), "tickets", "event_date", "severity")
+    revenue = _in_order(store.revenue(org), "revenue", "month")
+    genai = _in_order(store.genai(user, first), "genai", "event_date")
+    return tickets.unionByName(revenue).unionByName(genai)
+
+
 @query
 def serving_anomalies(t: Inputs) -> DataFrame:
     store = t.store()

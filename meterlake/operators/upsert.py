@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.operators.dedupe import one_row_per_key
-from meterlake.session import cut_lineage
 from meterlake.sources.zones import among, listed, read_zone, table_exists, write_partitions
 
 
@@ -130,8 +129,7 @@ def upsert(
     if replaces is not None:
         parts = parts.union(existing.where(replaces).select(*lead))
     # one row per touched partition: bounded by the number of partitions
-    parts = cut_lineage(parts.distinct())
-    touched = parts.collect()
+    touched = parts.distinct().collect()
     if not touched:
         return
     affected = existing
@@ -139,6 +137,7 @@ def upsert(
         affected = affected.where(among(column, {r[column] for r in touched}))
     if len(lead) > 1:
         # the conditions above open the files; this leaves the touched combinations
+        parts = spark.createDataFrame(touched, parts.schema)
         affected = _in_partitions(affected, parts, lead)
     if replaces is not None:
         affected = affected.where(~F.coalesce(replaces, F.lit(False)))

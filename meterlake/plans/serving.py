@@ -158,15 +158,15 @@ class ServingStore:
         """
         table = TABLES[name]
         rows = self.laid_out(name, mart)
-        current, _, _ = slot_paths(self.spark, self.base(name))
-        staging = self.staging(name)
+        slots = slot_paths(self.spark, self.base(name))
+        current, staging = slots[0], self.staging(name)
         if current is None or whole or (table.measured_key and replaces is None):
             if current:
                 # or the next upsert would finish it, in the new table
                 finish_loads(self.spark, current, staging, table.partitions, table.order())
             if not unique:
                 rows = latest_per_key(rows, table.keys)
-            write_switched(rows, self.base(name), table.partitions, table.order())
+            write_switched(rows, self.base(name), table.partitions, table.order(), slots=slots)
             return
         upsert(
             rows,

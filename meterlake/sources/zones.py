@@ -134,7 +134,10 @@ def complete_slots(spark: SparkSession, path: str) -> dict[str, int]:
     return {s: int(n) for s, n in marks.items() if n}
 
 
-def slot_paths(spark: SparkSession, path: str) -> tuple[str | None, str, int]:
+Slots = tuple[str | None, str, int]
+
+
+def slot_paths(spark: SparkSession, path: str) -> Slots:
     """Of a switched table: the folder to read, if there is one, the folder that the next
     reload writes, and that reload's number.
     """
@@ -156,6 +159,7 @@ def write_switched(
     partition_by: str | list[str] | None = None,
     sort_within: list[Column | str] | None = None,
     mark: tuple[str, str] | None = None,
+    slots: Slots | None = None,
 ) -> None:
     """Replace a whole table that goes on answering with its old rows until the new ones
     are complete, and with them a `mark` (name, text), if given.
@@ -165,9 +169,10 @@ def write_switched(
     the greatest number. A reload that is lost midway leaves a slot without a mark, which
     the next one overwrites; nothing has to be cleaned up. `df` may read the table itself.
     A reader that started before a reload can finish, unless two reloads pass meanwhile.
+    `slots` spares looking for them, if that has just been done.
     """
     spark = df.sparkSession
-    _, target, number = slot_paths(spark, path)
+    _, target, number = slots or slot_paths(spark, path)
     write_snapshot(df, target, partition_by, sort_within)
     if mark:
         write_mark(spark, target, *mark)

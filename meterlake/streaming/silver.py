@@ -5,6 +5,7 @@ stored profile. Nothing here keeps state, so it scales with the input alone.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meterlake.operators.conform import conform, enrich
@@ -12,6 +13,9 @@ from meterlake.operators.outliers import score_against
 from meterlake.operators.quality import accepted, rejected, tag_quality
 from meterlake.streaming.runs import append_to
 
+# Heavy keys of a large lookup are looked for in so many days.
+HISTORY_DAYS = 7
+
 
 def stream_zone(
     spark: SparkSession, path: str, files_per_trigger: int | None = 64
@@ -25,6 +29,14 @@ def stream_zone(
     return reader.parquet(path)
 
 
+def newest_rows(zone: DataFrame, days: int = HISTORY_DAYS, day: str = "event_date") -> DataFrame:
+    """Rows of a zone's last days, found by its partitions; all of a zone without days."""
+    if day not in zone.columns:
+        return zone
+    newest = zone.select(F.max(day)).scalar()
+    return zone.where(F.col(day) > F.date_sub(newest, days))
+
+
 def split_and_score(
     bronze: DataFrame,
     orgs: DataFrame,
@@ -56,7 +68,7 @@ def start_silver(
     rerun alone; both add nothing for input they have seen.
     """
     clean, bad = split_and_score(
-        stream_zone(spark, bronze), orgs, profile, spark.read.parquet(bronze)
+        stream_zone(spark, bronze), orgs, profile, newest_rows(spark.read.parquet(bronze))
     )
     base = checkpoints.rstrip("/")
     return (
