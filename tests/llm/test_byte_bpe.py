@@ -83,3 +83,13 @@ def test_long_words(reference):
 
 def test_empty_table(docs):
     assert encode(docs([]), PATH, PATTERN, ["doc_id"]).collect() == []
+
+
+def test_clashing_columns(spark, tmp_path):
+    path = str(tmp_path / "clash")
+    layout = "doc_id long, text string, w int, k int, ids int, data int, _text int"
+    spark.createDataFrame([(1, "some words", 2, 3, 4, 5, 6), (2, None, 2, 3, 4, 5, 6)], layout).write.parquet(path)
+    keep = ["doc_id", "w", "k", "ids", "data", "_text"]
+    rows = encode(spark.read.parquet(path), PATH, PATTERN, keep).collect()
+    assert sorted(tuple(r[c] for c in keep) for r in rows) == [(1, 2, 3, 4, 5, 6), (2, 2, 3, 4, 5, 6)]
+    assert {r["doc_id"]: r["n_tokens"] for r in rows} == {1: 2, 2: 0}

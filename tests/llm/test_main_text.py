@@ -175,3 +175,15 @@ def model():
             counts.update(count_keys(page))
     keys = sorted({key for key, _ in counts})
     return fit([(key, counts[key, True], counts[key, False]) for key in keys])
+
+
+def test_clashing_columns(spark, tmp_path):
+    path = str(tmp_path / "clash")
+    layout = "page_id long, html string, key string, inside int, page int, _page int"
+    row = (1, "<article><p>One two three.</p></article>", "k", 2, 3, 4)
+    spark.createDataFrame([row, (2, None, "k", 2, 3, 4)], layout).write.parquet(path)
+    pages = spark.read.parquet(path)
+    keep = ["page_id", "key", "inside", "page", "_page"]
+    found = {r["page_id"]: r for r in extract(pages, train(pages), keep).collect()}
+    assert [tuple(found[i][c] for c in keep) for i in (1, 2)] == [(1, "k", 2, 3, 4), (2, "k", 2, 3, 4)]
+    assert (found[1]["text"], found[2]["text"]) == ("One two three.", "")
