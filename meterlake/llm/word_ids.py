@@ -86,12 +86,17 @@ class WordIds:
 
     def _stem_ids(self, stems: list[str]) -> list[bytes]:
         """Ids of each of some distinct stems."""
-        recent, older = self.recent, self.older
-        new = self._tokenize_stems([s for s in stems if s not in recent and s not in older])
-        ids = [recent.get(s) or older.get(s) or new[s] for s in stems]
-        recent.update((s, x) for s, x in zip(stems, ids, strict=True) if len(s) <= CACHE_LETTERS)
-        if len(recent) > CACHE_STEMS:
-            self.recent, self.older = {}, recent
+        ids = list(map(self.recent.get, stems))
+        unknown = [i for i, x in enumerate(ids) if x is None]
+        again = list(map(self.older.get, [stems[i] for i in unknown]))
+        new = self._tokenize_stems([stems[i] for i, x in zip(unknown, again, strict=True) if x is None])
+        for i, x in zip(unknown, again, strict=True):
+            stem = stems[i]
+            ids[i] = x or new[stem]
+            if len(stem) <= CACHE_LETTERS:
+                self.recent[stem] = ids[i]
+        if len(self.recent) > CACHE_STEMS:
+            self.recent, self.older = {}, self.recent
         return ids
 
     def _word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
