@@ -102,13 +102,13 @@ def complete_windows(emitted: DataFrame, ledger: DataFrame) -> DataFrame:
     summed = ledger.groupBy("window_start", "window_end", "service").agg(
         *[F.sum(c).alias(c) for c in ("cost_usd", "genai_tokens", "event_count")]
     )
-    sent = emitted.alias("e").join(
-        summed.select(*keys, F.col("event_count").alias("held")).alias("s"),
-        null_safe("e", "s", keys) & F.expr("e.event_count = s.held"), "left_semi",
+    same = null_safe("s", "e", keys) & F.expr("e.event_count = s.event_count")
+    both = summed.alias("s").join(emitted.alias("e"), same, "left")
+    return both.select(
+        *[f"s.{c}" for c in ("window_start", "window_end", "service")],
+        *[F.coalesce(f"e.{c}", f"s.{c}").alias(c) for c in ("cost_usd", "genai_tokens")],
+        "s.event_count",
     )
-    sent = cut_lineage(sent)
-    others = summed.alias("s").join(sent.alias("e"), null_safe("s", "e", keys), "left_anti")
-    return sent.unionByName(others)
 
 
 def _by_window(rows: DataFrame, window: str, also: list[str] | None = None) -> DataFrame:
