@@ -29,6 +29,7 @@ def rollup(
     keys: list[str],
     measures: Mapping[str, tuple[Column, Combine]],
     carried: list[str],
+    sparse: bool = False,
 ) -> DataFrame:
     """One row per key: the measures, and the greatest value of each carried column.
 
@@ -36,7 +37,15 @@ def rollup(
     buffers do not fit its hash aggregate. So the carried columns, which hardly vary
     within a key, first join the grouping columns; the few rows that leaves are then
     grouped by the keys alone. A measure is an aggregate and how partials combine.
+
+    With `sparse` keys, see `is_sparse`, nearly as many rows are left as came in, and two
+    groupings of them cost more than the sort. Then there is one, of the same result.
     """
+    if sparse:
+        return df.groupBy(*keys).agg(
+            *[column.alias(name) for name, (column, _) in measures.items()],
+            *[F.max(c).alias(c) for c in carried],
+        )
     partial = df.groupBy(*keys, *carried).agg(
         *[column.alias(name) for name, (column, _) in measures.items()]
     )
@@ -46,6 +55,14 @@ def rollup(
     )
 
 
+def is_sparse(df: DataFrame, keys: list[str]) -> bool:
+    """Whether there are more keys than half of the rows, about. One pass over the keys,
+    for tables that are stored; only the way to group them depends on it.
+    """
+    found = df.agg(F.count("*"), F.approx_count_distinct(F.struct(*keys))).first()
+    return found[0] < 2 * found[1]
+
+
 def _sum(column: str) -> tuple[Column, Combine]:
     return F.sum(column), F.sum
 
@@ -54,10 +71,10 @@ def _count() -> tuple[Column, Combine]:
     return F.count("*"), F.sum
 
 
-def daily_usage(silver: DataFrame) -> DataFrame:
+def daily_usage(silver: DataFrame, sparse: bool = False) -> DataFrame:
     """Organisation x service x day: measures over all regions, and whether any event
     was flagged. Organisation attributes are constant within a group; `max` skips
-    nulls and does not depend on row order.
+    nulls and does not depend on row order. `sparse` says that groups are small.
     """
     measures = {
         "cost_usd": _sum("cost_usd"),
@@ -67,7 +84,12 @@ def daily_usage(silver: DataFrame) -> DataFrame:
         "event_count": _count(),
         "has_anomaly": (F.bool_or("cost_anomaly_flag"), F.bool_or),
     }
-    return rollup(silver, list(DAILY_KEYS), measures, list(ORG_ATTRIBUTES))
+    return rollup(silver, list(DAILY_KEYS), measures, list(ORG_ATTRIBUTES), sparse)
+
+
+def daily_usage_of_stored(silver: DataFrame) -> DataFrame:
+    """The same, grouped in the way that the measured size of its groups asks for."""
+    return daily_usage(silver, is_sparse(silver, list(DAILY_KEYS)))
 
 
 Day = dt.date | Column

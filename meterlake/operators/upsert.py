@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.operators.dedupe import one_row_per_key
@@ -16,8 +17,8 @@ def latest_per_key(
     return one_row_per_key(incoming, keys, [version] if version else None)
 
 
-def merged(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Existing rows whose key is not in `incoming`, plus `incoming`.
+def without(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """Existing rows whose key is not in `incoming`.
 
     Both sides hold a key at most once, so no shuffle partition can be heavy. The
     match is null-safe: a null in a key is a value like any other.
@@ -26,30 +27,45 @@ def merged(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFra
     same = F.lit(True)
     for key in keys:
         same = same & F.col(f"old.{key}").eqNullSafe(F.col(f"new.{key}"))
-    return left.join(right, same, "left_anti").unionByName(incoming)
+    return left.join(right, same, "left_anti")
+
+
+def merged(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """Existing rows whose key is not in `incoming`, plus `incoming`."""
+    return without(existing, incoming, keys).unionByName(incoming)
 
 
 # A load's rows are below this folder; the next load replaces them.
 LOAD = "load"
-JOURNAL = "load string, state string"
+JOURNAL = "load string, state string, incoming string"
 READY, DONE = "ready", "done"
 
 
-def note(spark: SparkSession, staging: str, load: str, state: str) -> None:
+def note(
+    spark: SparkSession, staging: str, load: str, state: str, incoming: str | None = None
+) -> None:
     """Write down how far the last load has come. There is one load at a time, so this
     takes the place of what was noted. Lost between the two, the note of a load that was
     not ready, or is done, says nothing that matters.
+
+    A load's folder `merged` holds its rows whole. With `incoming`, the rows are those of
+    that folder and of the load's folder `kept`.
     """
-    row = spark.createDataFrame([(load, state)], JOURNAL)
+    row = spark.createDataFrame([(load, state, incoming)], JOURNAL)
     row.coalesce(1).write.mode("overwrite").parquet(f"{staging}/journal")
 
 
-def unfinished_loads(spark: SparkSession, staging: str) -> list[str]:
-    """The load, if any, whose merged rows are complete but may not be in the table."""
+def _unfinished(spark: SparkSession, staging: str) -> list[Row]:
     if not table_exists(spark, f"{staging}/journal"):
         return []
+    # notes of loads that were merged whole may lack the last column, which is null then
     notes = spark.read.schema(JOURNAL).parquet(f"{staging}/journal").collect()
-    return [r["load"] for r in notes if r["state"] == READY]
+    return [r for r in notes if r["state"] == READY]
+
+
+def unfinished_loads(spark: SparkSession, staging: str) -> list[str]:
+    """The load, if any, whose rows are complete but may not be in the table."""
+    return [r["load"] for r in _unfinished(spark, staging)]
 
 
 def finish_loads(
@@ -60,11 +76,14 @@ def finish_loads(
     sort_within: list[Column | str] | None = None,
     rebalance: bool = True,
 ) -> None:
-    """Write the merged rows of a load that was interrupted. They hold their partitions
-    whole, so this puts right a table that was left without some of them.
+    """Write the rows of a load that was interrupted. They hold their partitions whole, so
+    this puts right a table that was left without some of them.
     """
-    for load in unfinished_loads(spark, staging):
-        swap_in(spark, path, staging, load, partition_by, sort_within, rebalance)
+    for row in _unfinished(spark, staging):
+        swap_in(
+            spark, path, staging, row["load"], partition_by, sort_within, rebalance,
+            row["incoming"],
+        )
 
 
 def swap_in(
@@ -75,9 +94,14 @@ def swap_in(
     partition_by: str | list[str],
     sort_within: list[Column | str] | None = None,
     rebalance: bool = True,
+    incoming: str | None = None,
 ) -> None:
-    """Replace partitions by a load's merged rows."""
-    rows = read_zone(spark, f"{staging}/{load}/merged")
+    """Replace partitions by a load's rows, which are where `note` says."""
+    if incoming is None:
+        rows = read_zone(spark, f"{staging}/{load}/merged")
+    else:
+        fresh = read_zone(spark, incoming)
+        rows = read_zone(spark, f"{staging}/{load}/kept", fresh.schema).unionByName(fresh)
     write_partitions(rows, path, partition_by, sort_within, rebalance)
     note(spark, staging, load, DONE)
 
@@ -89,6 +113,17 @@ def _in_partitions(rows: DataFrame, parts: DataFrame, columns: list[str]) -> Dat
     return rows.alias("rows").join(F.broadcast(parts.alias("parts")), same, "left_semi")
 
 
+def _answers(condition: Column, rows: DataFrame, columns: list[str]) -> bool:
+    """Whether these columns of `rows` are all that a condition asks about."""
+    try:
+        rows.select(*columns).select(condition)
+    except AnalysisException as error:
+        if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            raise
+        return False
+    return True
+
+
 def upsert(
     incoming: DataFrame,
     path: str,
@@ -99,20 +134,27 @@ def upsert(
     sort_within: list[Column | str] | None = None,
     unique: bool = False,
     replaces: Column | None = None,
+    stored_at: str | None = None,
 ) -> None:
     """Merge `incoming` into the table at `path`; the last write per key stays.
 
     `unique` states that `incoming` has each key once, as grouped results do, and
     saves looking for repeated ones. `replaces` is a condition on stored rows that
-    `incoming` recomputes: those of them it no longer has go.
+    `incoming` recomputes: those of them it no longer has go. `stored_at` names the folder
+    that `incoming` is read from as it is, which saves a copy of it; then that folder must
+    stay until the load is done, or finished by the next.
 
     Only partitions that `incoming` touches are read and rewritten, or all with rows
-    that it replaces. The merged rows go to a folder of their own below `staging` first,
-    because a table cannot be overwritten while it is read, and a journal there says
-    when they are complete. Swapping partitions is not atomic: a load that was
-    interrupted is finished by the next one before it reads the table. One load at a
-    time may write a table; what it leaves below `staging`, the next one replaces. The
-    touched partitions are collected and broadcast, a row for each.
+    that it replaces. A key is in one partition. The rows of these partitions that stay go
+    to a folder of their own below `staging` first, because a table cannot be overwritten
+    while it is read, and a journal there says when they are complete. Swapping partitions
+    is not atomic: a load that was interrupted is finished by the next one before it reads
+    the table. One load at a time may write a table; what it leaves below `staging`, the
+    next one replaces. The touched partitions are collected and broadcast, a row for each.
+
+    Where `replaces` asks about the key alone, it answers alike for all rows of a key. So
+    no stored row that is left has the key of an incoming row that it holds for, and only
+    the other incoming rows, usually none, are joined to find keys that they overwrite.
     """
     spark = incoming.sparkSession
     finish_loads(spark, path, staging, partition_by, sort_within)
@@ -120,28 +162,36 @@ def upsert(
     if not table_exists(spark, path):
         write_partitions(fresh, path, partition_by, sort_within)
         return
-    # computed once, then read twice: for the touched partitions and for the merge
-    fresh.write.mode("overwrite").parquet(f"{staging}/{LOAD}/incoming")
-    fresh = read_zone(spark, f"{staging}/{LOAD}/incoming", fresh.schema)
+    if stored_at is None or not unique:
+        # computed once, then read twice: for the touched partitions and for the swap
+        stored_at = f"{staging}/{LOAD}/incoming"
+        fresh.write.mode("overwrite").parquet(stored_at)
+    fresh = read_zone(spark, stored_at, fresh.schema)
     existing = read_zone(spark, path, fresh.schema)
     lead = listed(partition_by)
-    parts = fresh.select(*lead)
+    held = F.lit(False)
+    if replaces is not None:
+        replaces = F.coalesce(replaces, F.lit(False))
+        if _answers(replaces, fresh, [*dict.fromkeys([*keys, *lead])]):
+            held = replaces
+    parts = fresh.select(*lead, held.alias("_held"))
     if replaces is not None:
-        parts = parts.union(existing.where(replaces).select(*lead))
-    # one row per touched partition: bounded by the number of partitions
-    touched = parts.distinct().collect()
-    if not touched:
+        parts = parts.union(existing.where(replaces).select(*lead, F.lit(True)))
+    # two rows at most per touched partition: bounded by the number of partitions
+    found = parts.distinct().collect()
+    if not found:
         return
     affected = existing
     for column in lead:
-        affected = affected.where(among(column, {r[column] for r in touched}))
+        affected = affected.where(among(column, {r[column] for r in found}))
     if len(lead) > 1:
         # the conditions above open the files; this leaves the touched combinations
-        parts = spark.createDataFrame(touched, parts.schema)
-        affected = _in_partitions(affected, parts, lead)
+        touched = spark.createDataFrame(found, parts.schema).select(*lead).distinct()
+        affected = _in_partitions(affected, touched, lead)
     if replaces is not None:
-        affected = affected.where(~F.coalesce(replaces, F.lit(False)))
-    result = merged(affected, fresh, keys)
-    result.write.mode("overwrite").parquet(f"{staging}/{LOAD}/merged")
-    note(spark, staging, LOAD, READY)
-    swap_in(spark, path, staging, LOAD, partition_by, sort_within)
+        affected = affected.where(~replaces)
+    if not all(r["_held"] for r in found):
+        affected = without(affected, fresh.where(~held), keys)
+    affected.write.mode("overwrite").parquet(f"{staging}/{LOAD}/kept")
+    note(spark, staging, LOAD, READY, stored_at)
+    swap_in(spark, path, staging, LOAD, partition_by, sort_within, incoming=stored_at)

@@ -30,7 +30,7 @@ ANOMALIES = "cost_anomaly_by_org_date"
 LIVE_TABLES = (DAILY, TRAILING, GENAI, ANOMALIES)
 
 _KEYS, _SUMS, _LARGEST = ["org_id", "service"], ["cost_usd"], ["org_name"]
-_STAGED, _ROUND = "_staged", "_round"
+_STAGED, _ROUND, _OF_ROUND = "_staged", "_round", "_of_round"
 _NONE = "none"
 
 
@@ -59,11 +59,11 @@ class LiveMarts:
         at or after `since`, and return these days.
 
         Days are recomputed as a whole, so refreshing one again, or two rounds that
-        overlap, count nothing twice. The daily rows of the changed days, as they were and
-        as they are now, are written below `state` before any table is touched, and a
-        round that was cut off is finished by the next from these. The trailing cost is
-        moved by their difference and by the days that enter and leave its window; no
-        other day is read for it.
+        overlap, count nothing twice. The daily rows of the changed days, as they are now
+        and, for the trailing cost, as they were, are written below `state` before any
+        table is touched, and a round that was cut off is finished by the next from these.
+        The trailing cost is moved by their difference and by the days that enter and leave
+        its window; no other day is read for it, unless a round before was made without it.
         """
         self._finish()
         days = changed_days(silver, since)
@@ -82,15 +82,19 @@ class LiveMarts:
         return self.store.table(DAILY)
 
     def _stage(self, changed: DataFrame, days: list[dt.date | None]) -> None:
-        rows = self.store.laid_out(DAILY, marts.daily_usage(changed))
-        write_snapshot(rows, self._at("new"))
-        daily = self._daily()
-        before = rows.drop(*TABLES[DAILY].partitions).limit(0) if daily is None else daily
-        write_snapshot(before.where(among("event_date", days)), self._at("old"))
+        number = int(read_mark(self.spark, self.state, _ROUND) or 0) + 1
+        rows = self.store.laid_out(DAILY, marts.daily_usage_of_stored(changed))
+        # as the grouping leaves them: sizes of files matter in the tables alone
+        rows.write.mode("overwrite").parquet(self._at("new"))
+        if TRAILING in self.tables:
+            daily = self._daily()
+            before = rows.drop(*TABLES[DAILY].partitions).limit(0) if daily is None else daily
+            before = before.where(among("event_date", days))
+            before.write.mode("overwrite").parquet(self._at("old"))
+            write_mark(self.spark, self._at("old"), _OF_ROUND, str(number))
         if ANOMALIES in self.tables:
             write_snapshot(marts.anomaly_by_day(changed), self._at("anomalies"))
         # the last thing: from here on the round can be finished without silver
-        number = int(read_mark(self.spark, self.state, _ROUND) or 0) + 1
         told = ",".join(_NONE if d is None else d.isoformat() for d in days)
         write_mark(self.spark, self.state, _STAGED, f"{number}:{told}")
 
@@ -107,8 +111,8 @@ class LiveMarts:
         days = [None if d == _NONE else dt.date.fromisoformat(d) for d in told.split(",")]
         months = {d and d.replace(day=1) for d in days}
         in_days = among("event_date", days) & among(MONTH, months)
-        new, old = (read_zone(self.spark, self._at(name)) for name in ("new", "old"))
-        self.store.load(DAILY, new, replaces=in_days)
+        new = read_zone(self.spark, self._at("new"))
+        self.store.load(DAILY, new, replaces=in_days, stored_at=self._at("new"))
         if GENAI in self.tables:
             tokens = marts.genai_from_daily(new, self.genai_service)
             self.store.load(GENAI, tokens, replaces=in_days)
@@ -116,7 +120,7 @@ class LiveMarts:
             found = read_zone(self.spark, self._at("anomalies"))
             self.store.load(ANOMALIES, found, replaces=in_days)
         if TRAILING in self.tables:
-            self._move_trailing(old, new, days, number)
+            self._move_trailing(new, days, number)
             totals = read_zone(self.spark, self._totals())
             cost = shown("cost_usd").alias("total_cost_usd")
             self.store.load(TRAILING, totals.select(*_KEYS, cost, *_LARGEST))
@@ -128,9 +132,11 @@ class LiveMarts:
         return slot_paths(self.spark, self._at("trailing"))[0]
 
     def _move_trailing(
-        self, old: DataFrame, new: DataFrame, days: list[dt.date | None], number: str
+        self, new: DataFrame, days: list[dt.date | None], number: str
     ) -> None:
-        """Totals of the window up to the newest day, from those of the last round."""
+        """Totals of the window up to the newest day, from those of the last round; from
+        nothing, if they are of an earlier one, or the rows as they were are not known.
+        """
         base, current = self._at("trailing"), self._totals()
         # round and newest day that the totals stand for
         known = current and read_mark(self.spark, current, "_as_of")
@@ -142,9 +148,11 @@ class LiveMarts:
         window = window_days(newest, self.days)
         held = window_days(None if ended == _NONE else dt.date.fromisoformat(ended), self.days)
         inside = daily.where(among("event_date", window))
-        if not held:
+        known_old = read_mark(self.spark, self._at("old"), _OF_ROUND) == number
+        if not held or int(done) + 1 != int(number) or not known_old:
             totals = summed(inside, _KEYS, _SUMS, _LARGEST)
         else:
+            old = read_zone(self.spark, self._at("old"))
             changed = {d for d in days if d is not None}
             columns = ["event_date", *_KEYS, *_SUMS, *_LARGEST]
 

@@ -148,6 +148,7 @@ class ServingStore:
         unique: bool = True,
         whole: bool = False,
         replaces: Column | None = None,
+        stored_at: str | None = None,
     ) -> None:
         """Bring a mart into its serving table: merge by key, or reload the table if
         its key holds a measure. Loading the same mart again changes nothing. Marts
@@ -155,6 +156,8 @@ class ServingStore:
         was recomputed as a `whole` takes the place of the table; one recomputed for
         the rows with `replaces` takes theirs, with a measure in the key too, since
         then no old row of theirs is left. Readers see a reload when it is complete.
+        `stored_at` names the folder of a mart that is stored as `laid_out`, and stays
+        there until it is loaded; it is not copied then.
         """
         table = TABLES[name]
         rows = self.laid_out(name, mart)
@@ -177,6 +180,7 @@ class ServingStore:
             sort_within=table.order(),
             unique=unique,
             replaces=replaces,
+            stored_at=stored_at,
         )
 
     def table(

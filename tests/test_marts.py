@@ -31,6 +31,21 @@ def test_daily_usage_adds_up_regions(spark, day):
     assert by_day[day(2)].requests is None and not by_day[day(2)].has_anomaly
 
 
+def test_small_groups_are_grouped_once(spark, day):
+    keys = list(marts.DAILY_KEYS)
+    few = [usage(f"o{i % 90}", "db", day(1), 1.0, None, i, i == 95, "eu" if i < 90 else "us") for i in range(100)]
+    few += [usage(None, None, None, -2.0, 1.0), usage(None, None, None, None, None, None)]
+    many = [usage("a", s, day(1 + i % 3), float(i), 2.0, i) for i in range(60) for s in ("db", "io")]
+    for rows, sparse in ((few, True), (many, False), ([], False)):
+        silver = spark.createDataFrame(rows, SILVER)
+        assert marts.is_sparse(silver, keys) == sparse
+        got, want = marts.daily_usage_of_stored(silver), marts.daily_usage(silver)
+        shuffles = got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        assert not rows or shuffles == (1 if sparse else 2)
+        assert got.columns == want.columns and got.dtypes == want.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 @pytest.mark.parametrize("explicit", [True, False])
 def test_trailing_window_edges(spark, day, explicit):
     layout = "org_id string, service string, event_date date, cost_usd double, org_name string"

@@ -129,6 +129,43 @@ def test_an_interrupted_load_is_finished_by_the_next(spark, store, daily, day):
     assert unfinished_loads(spark, staging) == []
 
 
+def test_rows_that_are_replaced_are_not_staged_again(spark, store, daily, day, tmp_path):
+    orgs = [f"org{i}" for i in range(20)]
+    store.load(DAILY, daily(*[(o, day(d), "db", 1.0) for o in orgs for d in (1, 2)]))
+    at, staging = str(tmp_path / "new"), store.staging(DAILY)
+    fresh = daily(*[(o, day(2), "io", 2.0) for o in orgs[:15]])
+    store.laid_out(DAILY, fresh).write.parquet(at)
+    second = F.col("event_date") == F.lit(day(2))
+    store.load(DAILY, read_zone(spark, at), replaces=second, stored_at=at)
+    got = {(r.org_id, r.event_date.day, r.service) for r in store.table(DAILY).collect()}
+    want = {(o, 1, "db") for o in orgs} | {(o, 2, "io") for o in orgs[:15]}
+    assert got == want and store.row_count(DAILY).first().rows == 35
+    # the rows that stay are staged alone, the others are where they were
+    kept = read_zone(spark, f"{staging}/load/kept")
+    assert kept.count() == 20 and not Path(f"{staging}/load/incoming").exists()
+    # interrupted while partitions were swapped, it is finished from both
+    note(spark, staging, "load", READY, at)
+    shutil.rmtree(f"{store.path(DAILY)}/{BUCKET}=2")
+    store.load(DAILY, daily(("org0", day(3), "db", 3.0)))
+    got = {(r.org_id, r.event_date.day, r.service) for r in store.table(DAILY).collect()}
+    assert got == want | {("org0", 3, "db")} and store.row_count(DAILY).first().rows == 36
+
+
+def test_a_key_that_is_not_replaced_is_overwritten(store, daily, day):
+    store.load(DAILY, daily(*[("a", day(d), "db", 1.0) for d in (1, 2, 3)], ("a", None, "db", 1.0)))
+    second = F.col("event_date") == F.lit(day(2))
+    store.load(DAILY, daily(("a", day(2), "io", 2.0), ("a", day(3), "db", 2.0), ("a", None, "db", 2.0)), replaces=second)
+    got = {(r.event_date and r.event_date.day, r.service): r.cost_usd for r in store.table(DAILY).collect()}
+    assert got == {(1, "db"): 1.0, (2, "io"): 2.0, (3, "db"): 2.0, (None, "db"): 2.0}
+    assert store.row_count(DAILY).first().rows == 4
+    # a condition that asks about a measure says nothing about keys
+    cheap = F.col("cost_usd") < 2.0
+    store.load(DAILY, daily(("a", day(2), "io", 1.0)), replaces=cheap)
+    got = {(r.event_date and r.event_date.day, r.service): r.cost_usd for r in store.table(DAILY).collect()}
+    assert got == {(2, "io"): 1.0, (3, "db"): 2.0, (None, "db"): 2.0}
+    assert store.row_count(DAILY).first().rows == 3
+
+
 def test_refreshing_a_day_leaves_other_months_alone(store, daily, day):
     march = day(1).replace(month=3)
     orgs = [f"org{i}" for i in range(20)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from meterlake.operators.trailing import moved, shown, summed, window_days
 from meterlake.plans.live import ANOMALIES, DAILY, GENAI, TRAILING, LiveMarts
 from meterlake.plans.serving import ServingStore
-from meterlake.sources.zones import among
+from meterlake.sources.zones import among, read_mark
 
 KEYS, SUMS, LARGEST = ["org", "service"], ["cost"], ["name", "top"]
 LAYOUT = "day date, org string, service string, cost double, name string, top int"
@@ -152,3 +152,19 @@ def test_a_round_that_was_cut_off_is_finished_by_the_next(spark, tmp_path, silve
     fresh = ServingStore(spark, str(tmp_path / "fresh"), 2)
     LiveMarts(fresh, str(tmp_path / "fresh_state"), days=3).refresh(zone)
     assert shown_tables(store) == shown_tables(fresh)
+
+
+def test_trailing_cost_after_rounds_without_it(spark, tmp_path, silver, day):
+    store, state = ServingStore(spark, str(tmp_path / "serving"), 2), str(tmp_path / "state")
+    LiveMarts(store, state, days=3).refresh(silver((day(1), "a", "genai", 1.0), (day(2), "b", "db", 4.0)))
+    since = dt.datetime.now(dt.timezone.utc)
+    zone = silver((day(2), "b", "db", 8.0), (day(3), "a", "db", 2.0))
+    LiveMarts(store, state, (DAILY, GENAI), days=3).refresh(zone, since)
+    # for other tables the rows as they were are not needed, and not written
+    assert read_mark(spark, f"{state}/old", "_of_round") == "1"
+    since = dt.datetime.now(dt.timezone.utc)
+    zone = silver((day(3), "a", "db", 16.0))
+    LiveMarts(store, state, days=3).refresh(zone, since)
+    fresh = ServingStore(spark, str(tmp_path / "fresh"), 2)
+    LiveMarts(fresh, str(tmp_path / "fresh_state"), days=3).refresh(zone)
+    assert shown_tables(store)[0] == shown_tables(fresh)[0]
