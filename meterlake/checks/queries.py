@@ -819,7 +819,7 @@ def stream_mart_refresh(t: Inputs) -> DataFrame:
         )
         refresh_mart(
             store, "org_daily_usage_by_service", read_zone(t.spark, silver),
-            marts.daily_usage, since,
+            marts.daily_usage_of_stored, since,
         )
         since = started
     return plain(store.table("org_daily_usage_by_service"))
