@@ -55,6 +55,7 @@ from meterlake.sources.zones import (
 from meterlake.streaming.ingest import ingest_events
 from meterlake.streaming.marts import (
     LEDGER,
+    after_newest_file,
     complete_windows,
     refresh_mart,
     update_ledger,
@@ -810,10 +811,9 @@ def stream_mart_refresh(t: Inputs) -> DataFrame:
     bronze, silver = t.scratch("bronze"), t.scratch("silver")
     bad, checkpoints = t.scratch("bad"), t.scratch("checkpoints")
     store = t.store()
-    since = None
     for version in (1, 2):
         _append_bronze(t.usage.where(F.col("schema_version") == version), bronze)
-        started = dt.datetime.now(dt.timezone.utc)
+        since = after_newest_file(t.spark, silver)
         finish(
             *start_silver(t.spark, bronze, t.org, silver, bad, checkpoints, t.profile)
         )
@@ -821,7 +821,6 @@ def stream_mart_refresh(t: Inputs) -> DataFrame:
             store, "org_daily_usage_by_service", read_zone(t.spark, silver),
             marts.daily_usage_of_stored, since,
         )
-        since = started
     return plain(store.table("org_daily_usage_by_service"))
 
 
@@ -1031,13 +1030,11 @@ def _stream_rounds(t: Inputs, *tables: str) -> ServingStore:
     live = LiveMarts(t.store(), t.scratch("live"), tables, fixtures.GENAI_SERVICE)
     early = F.col("schema_version") == 1
     left_out = F.coalesce("event_id", F.lit(1)) % 4 == 0
-    since = None
     for rows in (early & ~left_out, early & left_out, ~early):
         _append_bronze(t.usage.where(rows), bronze)
-        started = dt.datetime.now(dt.timezone.utc)
+        since = after_newest_file(t.spark, silver)
         finish(*start_silver(t.spark, bronze, t.org, silver, bad, checkpoints, t.profile))
         live.refresh(read_zone(t.spark, silver), since)
-        since = started
     return live.store
 
 

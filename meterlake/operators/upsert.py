@@ -37,30 +37,36 @@ def merged(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFra
 
 # A load's rows are below this folder; the next load replaces them.
 LOAD = "load"
-JOURNAL = "load string, state string, incoming string"
-READY, DONE = "ready", "done"
+JOURNAL = "load string, state string, incoming string, keys array<string>"
+READY, ADDING, DONE = "ready", "adding", "done"
 
 
 def note(
-    spark: SparkSession, staging: str, load: str, state: str, incoming: str | None = None
+    spark: SparkSession,
+    staging: str,
+    load: str,
+    state: str,
+    incoming: str | None = None,
+    keys: list[str] | None = None,
 ) -> None:
     """Write down how far the last load has come. There is one load at a time, so this
     takes the place of what was noted. Lost between the two, the note of a load that was
     not ready, or is done, says nothing that matters.
 
     A load's folder `merged` holds its rows whole. With `incoming`, the rows are those of
-    that folder and of the load's folder `kept`.
+    that folder and of the load's folder `kept`. A load that is `ADDING` has the rows of
+    `incoming` alone, of which some may be in the table; its `keys` find them there.
     """
-    row = spark.createDataFrame([(load, state, incoming)], JOURNAL)
+    row = spark.createDataFrame([(load, state, incoming, keys)], JOURNAL)
     row.coalesce(1).write.mode("overwrite").parquet(f"{staging}/journal")
 
 
 def _unfinished(spark: SparkSession, staging: str) -> list[Row]:
     if not table_exists(spark, f"{staging}/journal"):
         return []
-    # notes of loads that were merged whole may lack the last column, which is null then
+    # older notes may lack the last columns, which are null then
     notes = spark.read.schema(JOURNAL).parquet(f"{staging}/journal").collect()
-    return [r for r in notes if r["state"] == READY]
+    return [r for r in notes if r["state"] in (READY, ADDING)]
 
 
 def unfinished_loads(spark: SparkSession, staging: str) -> list[str]:
@@ -77,9 +83,17 @@ def finish_loads(
     rebalance: bool = True,
 ) -> None:
     """Write the rows of a load that was interrupted. They hold their partitions whole, so
-    this puts right a table that was left without some of them.
+    this puts right a table that was left without some of them. Rows that were being added
+    to partitions are merged into them by key.
     """
     for row in _unfinished(spark, staging):
+        if row["state"] == ADDING:
+            fresh = read_zone(spark, row["incoming"])
+            existing = read_zone(spark, path, fresh.schema)
+            lead = listed(partition_by)
+            found = fresh.select(*lead).distinct().collect()
+            kept = without(_touched(existing, found, lead), fresh, row["keys"])
+            _stage_kept(kept, staging, row["load"], row["incoming"])
         swap_in(
             spark, path, staging, row["load"], partition_by, sort_within, rebalance,
             row["incoming"],
@@ -113,6 +127,25 @@ def _in_partitions(rows: DataFrame, parts: DataFrame, columns: list[str]) -> Dat
     return rows.alias("rows").join(F.broadcast(parts.alias("parts")), same, "left_semi")
 
 
+def _touched(existing: DataFrame, found: list[Row], lead: list[str]) -> DataFrame:
+    """Rows of the partitions that are listed in `found`."""
+    affected = existing
+    for column in lead:
+        affected = affected.where(among(column, {r[column] for r in found}))
+    if len(lead) > 1:
+        # the conditions above open the files; this leaves the touched combinations
+        rows = [tuple(r[column] for column in lead) for r in found]
+        touched = existing.sparkSession.createDataFrame(rows, existing.select(*lead).schema)
+        affected = _in_partitions(affected, touched.distinct(), lead)
+    return affected
+
+
+def _stage_kept(kept: DataFrame, staging: str, load: str, incoming: str) -> None:
+    """Complete a load: the rows that stay beside those that come in."""
+    kept.write.mode("overwrite").parquet(f"{staging}/{load}/kept")
+    note(kept.sparkSession, staging, load, READY, incoming)
+
+
 def _answers(condition: Column, rows: DataFrame, columns: list[str]) -> bool:
     """Whether these columns of `rows` are all that a condition asks about."""
     try:
@@ -155,6 +188,9 @@ def upsert(
     Where `replaces` asks about the key alone, it answers alike for all rows of a key. So
     no stored row that is left has the key of an incoming row that it holds for, and only
     the other incoming rows, usually none, are joined to find keys that they overwrite.
+    If it holds for all incoming rows and for no stored one, no row goes, and the incoming
+    ones are added to their partitions as further files; the next load that replaces rows
+    there brings the files together.
     """
     spark = incoming.sparkSession
     finish_loads(spark, path, staging, partition_by, sort_within)
@@ -174,24 +210,23 @@ def upsert(
         replaces = F.coalesce(replaces, F.lit(False))
         if _answers(replaces, fresh, [*dict.fromkeys([*keys, *lead])]):
             held = replaces
-    parts = fresh.select(*lead, held.alias("_held"))
+    parts = fresh.select(*lead, held.alias("_held"), F.lit(False).alias("_goes"))
     if replaces is not None:
-        parts = parts.union(existing.where(replaces).select(*lead, F.lit(True)))
-    # two rows at most per touched partition: bounded by the number of partitions
+        gone = existing.where(replaces).select(*lead, F.lit(True), F.lit(True))
+        parts = parts.union(gone)
+    # three rows at most per touched partition: bounded by the number of partitions
     found = parts.distinct().collect()
     if not found:
         return
-    affected = existing
-    for column in lead:
-        affected = affected.where(among(column, {r[column] for r in found}))
-    if len(lead) > 1:
-        # the conditions above open the files; this leaves the touched combinations
-        touched = spark.createDataFrame(found, parts.schema).select(*lead).distinct()
-        affected = _in_partitions(affected, touched, lead)
+    if all(r["_held"] and not r["_goes"] for r in found):
+        note(spark, staging, LOAD, ADDING, stored_at, keys)
+        write_partitions(fresh, path, partition_by, sort_within, mode="append")
+        note(spark, staging, LOAD, DONE)
+        return
+    affected = _touched(existing, found, lead)
     if replaces is not None:
         affected = affected.where(~replaces)
     if not all(r["_held"] for r in found):
         affected = without(affected, fresh.where(~held), keys)
-    affected.write.mode("overwrite").parquet(f"{staging}/{LOAD}/kept")
-    note(spark, staging, LOAD, READY, stored_at)
+    _stage_kept(affected, staging, LOAD, stored_at)
     swap_in(spark, path, staging, LOAD, partition_by, sort_within, incoming=stored_at)

@@ -86,10 +86,12 @@ def write_partitions(
     partition_by: str | list[str],
     sort_within: list[Column | str] | None = None,
     rebalance: bool = True,
+    mode: str = "overwrite",
 ) -> None:
-    """Replace only the partitions `df` has rows for; the others stay untouched. Without
-    `rebalance` rows are written by the tasks that have them. A number of rows that was
-    kept with the table no longer holds.
+    """Replace only the partitions `df` has rows for; the others stay untouched. With the
+    mode "append" these keep the rows they have, too. Without `rebalance` rows are written
+    by the tasks that have them. A number of rows that was kept with the table no longer
+    holds.
     """
     lead = listed(partition_by)
     if read_mark(df.sparkSession, path, ROWS):
@@ -98,7 +100,7 @@ def write_partitions(
     if sort_within:
         out = out.sortWithinPartitions(*lead, *sort_within)
     (
-        out.write.mode("overwrite")
+        out.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*lead)
         .parquet(path)

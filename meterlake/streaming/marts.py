@@ -143,6 +143,22 @@ def changed_days(
     return [r[0] for r in rows.select(column).distinct().collect()]
 
 
+def after_newest_file(spark: SparkSession, zone: str) -> dt.datetime | None:
+    """The first time, in milliseconds, after the newest file of a zone was written, from
+    the listing; None if there is none.
+
+    Asked before a round adds to the zone, and with no other writer, this is the `since`
+    of that round: its files are newer, as a stream takes longer to start than files'
+    times are apart, and days that only earlier rounds wrote are left out. All times are
+    those of files, so no other clock needs slack.
+    """
+    if not table_exists(spark, zone):
+        return None
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(zone)
+    newest = files.agg(F.max("modificationTime")).first()[0]
+    return None if newest is None else newest + dt.timedelta(milliseconds=1)
+
+
 def refresh_mart(
     store: ServingStore,
     name: str,

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from meterlake.operators.conform import conform, enrich
 from meterlake.operators.outliers import score_against
 from meterlake.operators.quality import accepted, rejected, tag_quality
+from meterlake.sources.zones import balanced
 from meterlake.streaming.runs import append_to
 
 # Heavy keys of a large lookup are looked for in so many days.
@@ -65,13 +66,15 @@ def start_silver(
     every: str | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start both sides of the split. Each has its own checkpoint, so either can be
-    rerun alone; both add nothing for input they have seen.
+    rerun alone; both add nothing for input they have seen. The rows of a day are brought
+    together before they are written: as read or joined, every task holds rows of every
+    day, and would write a file for each.
     """
     clean, bad = split_and_score(
         stream_zone(spark, bronze), orgs, profile, newest_rows(spark.read.parquet(bronze))
     )
     base = checkpoints.rstrip("/")
     return (
-        append_to(clean, silver, f"{base}/silver", "event_date", every),
-        append_to(bad, quarantine, f"{base}/quarantine", "event_date", every),
+        append_to(balanced(clean, "event_date"), silver, f"{base}/silver", "event_date", every),
+        append_to(balanced(bad, "event_date"), quarantine, f"{base}/quarantine", "event_date", every),
     )

@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from meterlake.operators.upsert import READY, merged, note, unfinished_loads, upsert
+from meterlake.operators.upsert import ADDING, READY, merged, note, unfinished_loads, upsert
 from meterlake.plans.serving import BUCKET, MONTH, TABLES, ServingStore
 from meterlake.sources.zones import read_zone
 
@@ -151,6 +151,37 @@ def test_rows_that_are_replaced_are_not_staged_again(spark, store, daily, day, t
     assert got == want | {("org0", 3, "db")} and store.row_count(DAILY).first().rows == 36
 
 
+def test_rows_that_replace_none_are_added(spark, store, daily, day, tmp_path):
+    orgs = [f"org{i}" for i in range(20)]
+    store.load(DAILY, daily(*[(o, day(d), "db", 1.0) for o in orgs for d in (1, 2)]))
+    path, staging, at = store.path(DAILY), store.staging(DAILY), str(tmp_path / "new")
+    before = digests(path)
+    third = F.col("event_date") == F.lit(day(3))
+    store.load(DAILY, daily(*[(o, day(3), "db", 3.0) for o in orgs[:15]]), replaces=third)
+    assert before.items() <= digests(path).items() and not Path(f"{staging}/load/kept").exists()
+    want = {(o, d, "db", 1.0) for o in orgs for d in (1, 2)} | {(o, 3, "db", 3.0) for o in orgs[:15]}
+
+    def got():
+        rows = store.table(DAILY).collect()
+        found = {(r.org_id, r.event_date.day, r.service, r.cost_usd) for r in rows}
+        assert len(rows) == len(found)
+        return found
+
+    assert got() == want
+    # interrupted while rows were added, it is finished with each of them once
+    store.laid_out(DAILY, daily(*[(o, day(4), "io", 4.0) for o in orgs])).write.parquet(at)
+    note(spark, staging, "load", ADDING, at, TABLES[DAILY].keys)
+    part = read_zone(spark, at).where(F.col(BUCKET) != 1)
+    part.write.mode("append").partitionBy(*TABLES[DAILY].partitions).parquet(path)
+    assert unfinished_loads(spark, staging) == ["load"]
+    store.load(DAILY, daily(("org0", day(5), "db", 5.0)))
+    assert got() == want | {(o, 4, "io", 4.0) for o in orgs} | {("org0", 5, "db", 5.0)}
+    assert unfinished_loads(spark, staging) == []
+    # the same rows once more replace themselves, with a measure in the key too
+    store.load(DAILY, daily(*[(o, day(3), "db", 3.0) for o in orgs[:15]]), replaces=third)
+    assert got() == want | {(o, 4, "io", 4.0) for o in orgs} | {("org0", 5, "db", 5.0)}
+
+
 def test_a_key_that_is_not_replaced_is_overwritten(store, daily, day):
     store.load(DAILY, daily(*[("a", day(d), "db", 1.0) for d in (1, 2, 3)], ("a", None, "db", 1.0)))
     second = F.col("event_date") == F.lit(day(2))

@@ -4,14 +4,17 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from meterlake.checks.queries import QUERIES
 from meterlake.operators import marts
 from meterlake.operators.conform import conform
 from meterlake.operators.outliers import service_profile
 from meterlake.operators.quality import split_quality
+from meterlake.plans.live import LiveMarts
 from meterlake.plans.serving import ServingStore
 from meterlake.sources.events import scan_lines, text_schema, typed_events
 from meterlake.streaming.ingest import ingest_events, start_intake
 from meterlake.streaming.marts import (
+    after_newest_file,
     complete_windows,
     refresh_mart,
     update_ledger,
@@ -165,6 +168,53 @@ def test_silver_stream(spark, place, scored):
         assert flagged == ["spike"]
 
 
+def test_silver_has_few_files_for_a_day(spark, place):
+    orgs = spark.createDataFrame([("a", "Acme", "pro", "Media", "eu")], ORGS)
+    rows = [
+        line(f"e{i}", f"2025-08-0{1 + i % 3}T10:00:00Z", unit="count" if i % 2 else None) for i in range(96)
+    ]
+    bronze_rows(spark, rows).repartition(6).write.parquet(place.bronze)
+    finish(*start_silver(spark, place.bronze, orgs, place.at("silver"), place.at("bad"), place.checkpoints))
+    for zone in ("silver", "bad"):
+        written = spark.read.parquet(place.at(zone))
+        assert written.count() == 48 and len(written.inputFiles()) == 3
+
+
+def test_after_newest_file(spark, place):
+    assert after_newest_file(spark, place.at("none")) is None
+    rows = bronze_rows(spark, [line("e1"), line("e2", "2025-08-02T10:00:00Z")])
+    rows.write.partitionBy("event_date").parquet(place.bronze)
+    zone = spark.read.parquet(place.bronze)
+    newest = zone.select(F.max("_metadata.file_modification_time")).first()[0]
+    assert after_newest_file(spark, place.bronze) == newest + dt.timedelta(milliseconds=1)
+
+
+def test_rounds_refresh_the_days_they_wrote(spark, tmp_path, monkeypatch):
+    days = [dt.datetime(2024, 1, d, 12) for d in (2, 3, 4, 5, 6, 17, 18, 19)]
+    events = [
+        (i, days[i // 4 % 8], i % 7, ("signup", "view")[i % 2], 1000.0 if i == 50 else 1.0 + i % 3, '{"k": 1}')
+        for i in range(400)
+    ]
+    tables = {
+        "events": (events, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"),
+        "customer": ([(1, "c", 1, "s")], "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string"),
+        "nation": ([(1, "n", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": ([(1, "r")], "r_regionkey int, r_name string"),
+    }
+    for name, (rows, layout) in tables.items():
+        spark.createDataFrame(rows, layout).write.parquet(str(tmp_path / f"{name}.parquet"))
+    seen, refresh = [], LiveMarts.refresh
+
+    def noted(*args):
+        seen.append({d.day for d in refresh(*args)})
+
+    monkeypatch.setattr(LiveMarts, "refresh", noted)
+    assert QUERIES["stream_anomalies"](spark, str(tmp_path)).count() > 0
+    early, late = {2, 3, 4, 5, 6}, {17, 18, 19}
+    assert seen[0] == seen[1] == early
+    assert seen[2] == late
+
+
 def test_windows_are_final_when_the_watermark_passes(spark, place):
     rows = [
         line("e1", "2025-08-01T10:00:00Z"), line("e2", "2025-08-01T20:00:00Z"),
