@@ -217,18 +217,19 @@ def plan(counts: dict[int, int], size: int) -> list[tuple[Pattern, int]]:
 def slots(entries: list[tuple[Pattern, int]]) -> np.ndarray:
     """Where the pieces of each length go, in the order of their numbers.
 
-    Rows of (length, first number, times in a sequence, first sequence, offset),
-    sorted by length and number.
+    Rows of (length, first number, number after the last, times in a sequence, first
+    sequence, offset). Those of a length follow one another without gaps.
     """
     rows, used, sequence = [], Counter(), 0
     for pattern, n in entries:
         offset = 0
         for length, times in pattern:
-            rows.append((length, used[length], times, sequence, offset))
+            first = used[length]
             used[length] += times * n
+            rows.append((length, first, used[length], times, sequence, offset))
             offset += length * times
         sequence += n
-    return np.array(sorted(rows), dtype=np.int64).reshape(-1, 5)
+    return np.array(rows, dtype=np.int64).reshape(-1, 6)
 
 
 def pack(
@@ -250,7 +251,8 @@ def pack(
 
     All that is planned with, and sent to the driver, is how many pieces there are of
     each of the `size` lengths. Pieces are numbered within (task, length), and the
-    numbers of the tasks added up, so no length's pieces ever meet in one task.
+    numbers of the tasks added up, so no length's pieces ever meet in one task. A piece
+    gets its place by a join with the plan, so no ids go back to a Python worker.
     """
     spark = docs.sparkSession
     pieces, task, place = tokenized(docs, keep, tokenizer, size, with_ids)
@@ -260,7 +262,6 @@ def pack(
         r["length"]: r["n"]
         for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()
     }
-    shared = spark.sparkContext.broadcast(slots(plan(counts, size)))
     before = Window.partitionBy("length").orderBy(task).rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -275,27 +276,18 @@ def pack(
         number, F.col(place) + F.col(ahead)
     )
 
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        keys = table[:, 0] << 48 | table[:, 1]
-        for batch in batches:
-            length = batch.column("length").to_numpy()
-            nth = batch.column(number).to_numpy()
-            _, first, times, sequence, offset = table[
-                np.searchsorted(keys, length << 48 | nth, side="right") - 1
-            ].T
-            nth = nth - first
-            kept = [batch.column(c) for c in kept_names]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(sequence + nth // times),
-                 pa.array(offset + nth % times * length)],
-                names=[*kept_names, "sequence_id", "offset"],
-            )
-
-    kept_names = [*keep, "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-    kinds = "".join(
-        f"`{c}` {numbered.schema[c].dataType.simpleString()}, " for c in kept_names
+    columns = [fresh(docs, n) for n in ("of", "first", "until", "times", "sequence", "at")]
+    of, first, until, times, sequence, at = columns
+    planned = spark.createDataFrame(pa.table(list(slots(plan(counts, size)).T), names=columns))
+    placed = numbered.join(
+        F.broadcast(planned),
+        (F.col("length") == F.col(of))
+        & (F.col(number) >= F.col(first))
+        & (F.col(number) < F.col(until)),
     )
-    return numbered.select(*kept_names, number).mapInArrow(
-        placed, f"{kinds}sequence_id long, offset long"
+    nth = f"(`{number}` - `{first}`)"
+    return placed.select(
+        *keep, "piece", "start", "length", "ids_crc32", *["ids"] * with_ids,
+        F.expr(f"`{sequence}` + {nth} div `{times}`").alias("sequence_id"),
+        F.expr(f"`{at}` + {nth} % `{times}` * length").alias("offset"),
     )

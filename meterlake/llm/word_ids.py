@@ -145,7 +145,7 @@ class WordIds:
             odd = pc.or_(odd, pc.match_substring(texts, mark))
         chars = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
         alone = odd.to_numpy(zero_copy_only=False)
-        first = 0
+        first = freed = 0
         while first < len(texts):
             if alone[first]:
                 ids = np.frombuffer(self.whole(texts[first].as_py()), dtype="<u4")
@@ -158,6 +158,10 @@ class WordIds:
             last = first + int(others[0]) if len(others) else last
             yield first, *self._slice(texts.slice(first, last - first))
             first = last
+            if chars[last - 1] - freed >= SLICE_CHARS // 2 or last == len(texts):
+                # Arrow keeps what a slice has used; the worker's neighbours may need it
+                pa.default_memory_pool().release_unused()
+                freed = chars[last - 1]
 
 
 def gathered(flat: np.ndarray, size: np.ndarray, picked: np.ndarray) -> np.ndarray:

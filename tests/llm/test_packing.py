@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from meterlake.llm.packing import best_fit, pack, plan, reduce_by_dominance
+from meterlake.llm.packing import best_fit, pack, plan, reduce_by_dominance, slots
 from tests.llm.test_word_ids import ODD
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -59,6 +59,28 @@ def test_special_tokens_and_clashing_columns(spark, tmp_path):
     assert np.frombuffer(rows[0]["ids"], dtype="<u4").tolist() == [320, 49407, 321, 0]
 
 
+def test_ids_go_through_python_once(docs, sample):
+    packed = pack(docs([(d, t) for d, t, _ in sample[:5]]), PATH, ["doc_id"], with_ids=True)
+    said = packed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in said
+    assert "InArrow" not in said and "Python" not in said
+
+
+def test_slots_of_a_length_follow_without_gaps():
+    random.seed(7)
+    counts = Counter(random.randint(1, 60) for _ in range(500))
+    entries = plan(dict(counts), 100)
+    filled, used = Counter(), Counter()
+    for length, first, until, times, sequence, offset in slots(entries).tolist():
+        assert first == used[length] and times >= 1 and (until - first) % times == 0
+        used[length] = until
+        for nth in range(until - first):
+            assert offset + nth % times * length + length <= 100
+            filled[sequence + nth // times] += length
+    assert used == counts
+    assert len(filled) == sum(n for _, n in entries) and max(filled.values()) <= 100
+
+
 def test_empty_table(docs):
     assert pack(docs([]), PATH, ["doc_id"]).collect() == []
 

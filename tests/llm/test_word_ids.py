@@ -43,3 +43,20 @@ def test_special_tokens_are_ids_of_their_own():
 
 def test_no_texts():
     assert ids_of(WordIds(PATH), []) == []
+
+
+def test_memory_of_slices_is_handed_back(monkeypatch):
+    freed = []
+
+    class Pool:
+        def release_unused(self):
+            freed.append(1)
+
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    monkeypatch.setattr(module, "SLICE_CHARS", 1000)
+    encoder = WordIds(PATH)
+    ids_of(encoder, ["some words of a text"] * 500)
+    assert len(freed) >= 10
+    freed.clear()
+    ids_of(encoder, ["some words", "a<|endoftext|>b"] * 30)
+    assert len(freed) <= 2
