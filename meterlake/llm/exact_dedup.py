@@ -90,24 +90,34 @@ def fingerprints(
 ) -> DataFrame:
     """`carry` with n_bytes, h1 and h2 of the binary column `data` of `rows`.
 
-    `carry` holds narrow columns that together tell rows apart. Every chunk is hashed
-    on its own; the hashes, each shifted by the bytes after its chunk, add up to the
-    hash of the whole, so chunks may be hashed and added in any order and place.
+    `carry` holds narrow columns. Every chunk is hashed on its own; the hashes, each
+    shifted by the bytes after its chunk, add up to the hash of the whole. A row's
+    chunks follow each other in its task, the last one with no bytes after it, so they
+    are added there, whatever batches they come in, and nothing is shuffled.
     """
+    names = [*carry, "n_bytes"]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         poly = Polynomial(moduli, bases)
+        total = [0, 0]
         for batch in batches:
             data, rest = batch.column("data"), batch.column("rest").to_pylist()
-            found = [
-                poly.shifted(poly.of(x.as_buffer()), n)
-                for x, n in zip(data, rest, strict=True)
-            ]
+            ends, found = [], []
+            for i, (x, n) in enumerate(zip(data, rest, strict=True)):
+                share = poly.shifted(poly.of(x.as_buffer()), n)
+                total = [
+                    (t + s) % p for t, s, p in zip(total, share, moduli, strict=True)
+                ]
+                if n == 0:
+                    ends.append(i)
+                    found.append(total)
+                    total = [0, 0]
             h = np.array(found, dtype=np.int64).reshape(-1, 2)
-            kept = [batch.column(c) for c in [*carry, "n_bytes"]]
+            at = pa.array(ends, pa.int64())
+            kept = [batch.column(c).take(at) for c in names]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(h[:, 0]), pa.array(h[:, 1])],
-                names=[*carry, "n_bytes", "h1", "h2"],
+                names=[*names, "h1", "h2"],
             )
 
     parts = rows.select(
@@ -121,14 +131,7 @@ def fingerprints(
         if f.name in carry
     )
     schema = f"{kinds}, n_bytes long, h1 long, h2 long"
-    return (
-        parts.mapInArrow(hashed, schema)
-        .groupBy(*carry, "n_bytes")
-        .agg(
-            (F.sum("h1") % moduli[0]).alias("h1"),
-            (F.sum("h2") % moduli[1]).alias("h2"),
-        )
-    )
+    return parts.mapInArrow(hashed, schema)
 
 
 def _class_of(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -178,10 +181,10 @@ def exact_duplicates(
     )
     groups = stored(_class_of(marks, _FINGERPRINT), "groups")
 
-    shared = groups.where("group_size > 1").select(*_FINGERPRINT, "keep_row")
-    members = stored(
-        marks.join(shared, _FINGERPRINT).select("row", "keep_row"), "members"
-    )
+    # Joined once: the members of groups and the result are both read from it.
+    classed = marks.join(groups, _FINGERPRINT).drop(*_FINGERPRINT)
+    result = stored(classed, "classed")
+    members = result.where("group_size > 1").select("row", "keep_row")
     texts = joined_by_row(rows, members, "row").select(
         "row", "doc_id", "keep_row", data
     )
@@ -197,7 +200,6 @@ def exact_duplicates(
         "mixed",
     )
 
-    result = marks.join(groups, _FINGERPRINT)
     if not mixed.isEmpty():
         result = _parted(result, texts.join(mixed, "keep_row"))
     kept = (F.col("row") == F.col("keep_row")).alias("kept")

@@ -1,7 +1,9 @@
 import hashlib
 import re
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterlake.llm.exact_dedup import (
     CHUNK_BYTES,
@@ -11,7 +13,9 @@ from meterlake.llm.exact_dedup import (
     Polynomial,
     drop_duplicates,
     exact_duplicates,
+    fingerprints,
 )
+from meterlake.session import shared_root
 
 LONG = "word and more " * 20_000
 PAIRS = [
@@ -63,6 +67,46 @@ def test_chunk_hashes_combine_to_the_hash_of_the_whole():
         assert total == poly.of(whole)
 
 
+@pytest.fixture
+def settings(spark):
+    """Set settings of the session for one test."""
+    before = {}
+
+    def put(key, value):
+        before.setdefault(key, spark.conf.get(key))
+        spark.conf.set(key, value)
+
+    yield put
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("records", [1, 2, 3, 10_000])
+def test_chunks_are_added_whatever_batches_they_come_in(docs, settings, records):
+    settings("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
+    texts = [LONG, "", "a", LONG[:-3] + "é", "b" * CHUNK_BYTES, "c" * (2 * CHUNK_BYTES), "", "d"]
+    # not in the order of their ids, and one id twice
+    rows = docs([(i % 7, t) for i, t in enumerate(texts)])
+    marks = fingerprints(rows.select("doc_id", F.col("text").cast("binary").alias("data")), ["doc_id"])
+    poly = Polynomial(MODULI, BASES)
+    want = [(i % 7, len(t.encode()), *poly.of(t.encode())) for i, t in enumerate(texts)]
+    assert sorted(tuple(r) for r in marks.collect()) == sorted(want)
+
+
+def test_few_files_are_written(spark, docs, settings, tmp_path):
+    # where Hadoop's own library is missing, each file costs an executor several forks
+    settings("spark.sql.shuffle.partitions", "16")
+    settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    shared = Path(shared_root(spark).removeprefix("file://"))
+    parts = lambda: set(shared.rglob("part-*.parquet"))
+    table, before = docs([(i, f"text {i % 150}") for i in range(400)]), parts()
+    exact_duplicates(table, digest=True).write.parquet(str(tmp_path / "out"))
+    written = len(parts() - before) + len(list((tmp_path / "out").glob("part-*.parquet")))
+    # the groups and the classed rows; the rest follows the splits of the scans
+    assert 16 <= written < 3 * 16
+
+
 def test_empty_table_and_clashing_columns(docs, stored_table):
     assert exact_duplicates(docs([])).collect() == []
     rows = [(1, "x", 7, "k"), (2, "x", 8, "l"), (3, "y", 9, None)]
